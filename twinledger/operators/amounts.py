@@ -24,24 +24,24 @@ def cleaned(pair: TablePair) -> TablePair:
     return TablePair(replace(pair.spec, fields=()), zeroed(pair.src), zeroed(pair.new))
 
 
+def _delta(amount: str) -> str:
+    return f"`new_{amount}` - `src_{amount}`"
+
+
 def amount_deltas(pair: TablePair, how: str = "full_outer") -> DataFrame:
     """Per key and amount: ``src_``, ``new_``, ``delta_`` (new - source) and ``abs_delta_``."""
-    amounts = pair.spec.amounts
-    joined = join_sides(cleaned(pair), how, amounts)
     columns = []
-    for a in amounts:
-        delta = f"`new_{a}` - `src_{a}`"
-        columns += [f"`src_{a}`", f"`new_{a}`", f"{delta} AS `delta_{a}`", f"abs({delta}) AS `abs_delta_{a}`"]
-    return joined.selectExpr(*map(quoted, pair.spec.keys), *columns)
+    for a in pair.spec.amounts:
+        columns += [f"`src_{a}`", f"`new_{a}`", f"{_delta(a)} AS `delta_{a}`", f"abs({_delta(a)}) AS `abs_delta_{a}`"]
+    return join_sides(cleaned(pair), how, pair.spec.amounts).selectExpr(*map(quoted, pair.spec.keys), *columns)
 
 
 def matched_deltas(pair: TablePair) -> DataFrame:
     """Absolute deltas of matched rows that changed. One-sided rows have NULL deltas and unchanged rows add 0 to every
     sum, so that sums need neither; what is left is small."""
     amounts = pair.spec.amounts
-    names = [f"abs_delta_{a}" for a in amounts]
-    deltas = amount_deltas(pair, "inner").select(*pair.spec.keys, *names)
-    return deltas.where(any_of([f"{quoted(n)} > 0" for n in names]))
+    joined = join_sides(cleaned(pair), "inner", amounts).where(any_of([f"`src_{a}` <> `new_{a}`" for a in amounts]))
+    return joined.selectExpr(*map(quoted, pair.spec.keys), *[f"abs({_delta(a)}) AS `abs_delta_{a}`" for a in amounts])
 
 
 def delta_rollup(pair: TablePair, group_keys: Sequence[str] | None = None) -> DataFrame:

@@ -53,15 +53,21 @@ def untokenised(pair: TablePair, token: str) -> TablePair:
     return TablePair(pair.spec, restore(pair.src), restore(pair.new))
 
 
-def field_flags(pair: TablePair, null_mode: str = "coalesce", one_sided: str = "flag", null_token: str | None = None) -> DataFrame:
+def field_flags(pair: TablePair, null_mode: str = "coalesce", one_sided: str = "flag", null_token: str | None = None,
+                only_defects: bool = False) -> DataFrame:
     """The field audit: keys of both sides and a 0/1 flag per field, 1 where the two systems differ.
 
     A row of one side is compared with NULLs. ``one_sided='null_new_only'`` instead leaves the flags of new-only rows
     NULL. ``null_token`` first turns NULLs back into the token a load without null cleaning would have stored.
+    ``only_defects`` keeps the rows with at least one field flag set; rows are dropped before flags are made.
     """
     if null_token is not None:
         pair = untokenised(pair, null_token)
     joined = join_sides(pair, "full_outer")
+    if only_defects:
+        joined = joined.where(any_of([side_differs(f, pair.type_of(f), null_mode) for f in pair.spec.fields]))
+        if one_sided == "null_new_only":
+            joined = joined.where(IN_SRC)
     return joined.selectExpr(*map(quoted, pair.spec.keys), *flag_columns(pair, null_mode, one_sided))
 
 
@@ -72,7 +78,7 @@ def changed_flags(pair: TablePair, null_mode: str = "coalesce", census: DataFram
 
 
 def defect_rows(flags: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Audit rows with at least one of the flags set."""
+    """Rows of a stored audit with at least one of the flags set. Straight from a pair, use ``only_defects``."""
     return flags.where(any_of([f"{quoted(f)} = 1" for f in fields]))
 
 
@@ -86,9 +92,9 @@ def attribute_mismatches(pair: TablePair, fields: Sequence[str], finding: str =
 
 def value_differences(pair: TablePair, labels: Mapping[str, str], keys: Sequence[str] | None = None) -> DataFrame:
     """Matched rows of which one of the fields differs, rows with a NULL dropping out; ``labels``: field -> suffix."""
-    joined = join_sides(pair, "inner", list(labels))
-    changed = any_of([side_differs(f, pair.type_of(f), "plain") for f in labels])
-    shown = [F.col(f"{s}_{f}").alias(f"{s}_{label}") for f, label in labels.items() for s in ("src", "new")]
+    joined = join_sides(pair, "inner", {label: f for f, label in labels.items()})
+    changed = any_of([side_differs(label, pair.type_of(f), "plain") for f, label in labels.items()])
+    shown = [f"{s}_{label}" for label in labels.values() for s in ("src", "new")]
     return joined.where(changed).select(*(pair.spec.keys if keys is None else keys), *shown)
 
 
@@ -122,7 +128,7 @@ def error_fields(profile: DataFrame) -> list[str]:
 
 def mismatch_detail(pair: TablePair, fields: Sequence[str]) -> DataFrame:
     """Keys and both values of ``fields`` for matched rows where any of them differs, NULL being a value."""
-    joined = join_sides(pair, "inner", fields)
-    changed = any_of([side_differs(f, pair.type_of(f), "distinct") for f in fields])
-    shown = [F.col(f"{s}_{f}").alias(f"{f}_{s}") for f in fields for s in ("src", "new")]
+    joined = join_sides(pair, "inner", fields, naming="{name}_{side}")
+    changed = any_of([differs(quoted(f"{f}_src"), quoted(f"{f}_new"), pair.type_of(f), "distinct") for f in fields])
+    shown = [f"{f}_{s}" for f in fields for s in ("src", "new")]
     return joined.where(changed).select(*pair.spec.keys, *shown)

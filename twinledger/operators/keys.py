@@ -6,7 +6,7 @@ one row a side, so a skewed member, day or source never becomes a skewed join pa
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,21 +39,27 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], how)
 
 
-def side(df: DataFrame, keys: Sequence[str], columns: Sequence[str], prefix: str, marker: str) -> DataFrame:
-    return df.selectExpr(*map(quoted, keys), *[f"{quoted(c)} AS {quoted(prefix + c)}" for c in columns], f"true AS {marker}")
+def join_sides(pair: TablePair, how: str, columns: Sequence[str] | Mapping[str, str] | None = None,
+               naming: str = "{side}_{name}") -> DataFrame:
+    """keys, both sides' ``columns`` and the presence marks ``in_src``, ``in_new`` (TRUE or NULL).
 
-
-def join_sides(pair: TablePair, how: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """keys, ``src_<column>``, ``new_<column>`` and the presence marks ``in_src``, ``in_new`` (TRUE or NULL)."""
+    A mapping gives columns other names. Names are given below the join: a filter on joined values must not meet a later
+    projection that renames them, because the optimizer would derive the filter anew for every combination of renames.
+    """
     keys = pair.spec.keys
     columns = pair.spec.fields if columns is None else columns
-    src = side(pair.src, keys, columns, "src_", IN_SRC)
-    new = side(pair.new, keys, columns, "new_", IN_NEW)
+    names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
+
+    def one_side(df: DataFrame, side: str, marker: str) -> DataFrame:
+        values = [f"{quoted(column)} AS {quoted(naming.format(side=side, name=name))}" for name, column in names.items()]
+        return df.selectExpr(*map(quoted, keys), *values, f"true AS {marker}")
+
+    src, new = one_side(pair.src, "src", IN_SRC), one_side(pair.new, "new", IN_NEW)
     if not pair.spec.nullable_keys:
         return src.join(new, list(keys), how)
     new = new.withColumnsRenamed({k: f"__{k}" for k in keys})
     joined = src.join(new, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], how)
-    values = [f"{prefix}_{c}" for prefix in ("src", "new") for c in columns]
+    values = [naming.format(side=side, name=name) for side in ("src", "new") for name in names]
     return joined.selectExpr(*[f"coalesce(`{k}`, `__{k}`) AS `{k}`" for k in keys], *map(quoted, values), IN_SRC, IN_NEW)
 
 

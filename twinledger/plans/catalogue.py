@@ -167,8 +167,7 @@ def v03_claim_symmetric_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _defects(make_pair: Callable, spark: SparkSession, sf_dir: str) -> DataFrame:
-    pair = make_pair(spark, sf_dir)
-    return fields.defect_rows(fields.field_flags(pair), pair.spec.fields)
+    return fields.field_flags(make_pair(spark, sf_dir), only_defects=True)
 
 
 def _payments(fanout: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
