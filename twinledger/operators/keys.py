@@ -27,6 +27,21 @@ def null_key_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(" OR ".join(f"`{k}` IS NULL" for k in keys))
 
 
+def require_unique_keys(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> None:
+    """Raises when a table has duplicate keys or NULLs in its keys. Runs one job; there are two counts per table."""
+    parts = []
+    for name, (df, keys) in tables.items():
+        found = {"rows with a shared key": duplicate_keys(df, keys).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")),
+                 "rows with a NULL key": null_key_rows(df, keys).agg(F.count("*").alias("n"))}
+        parts += [counted.select(F.lit(f"{name}: {what}").alias("problem"), "n") for what, counted in found.items()]
+    problems = parts[0]
+    for part in parts[1:]:
+        problems = problems.unionByName(part)
+    broken = [f"{row['problem']}: {row['n']}" for row in problems.where("n > 0").collect()]
+    if broken:
+        raise ValueError("; ".join(broken))
+
+
 def split_by_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with a key of their own, rows that share a key); together they are all of ``df``."""
     shared = duplicate_keys(df, keys).drop("n_rows")
@@ -99,6 +114,13 @@ def key_census(pair: TablePair, null_mode: str = "coalesce") -> DataFrame:
     return counted.select(*keys, "n_src", "n_new", (~F.expr(same)).alias("is_changed"))
 
 
+def audited_rows(census: DataFrame) -> DataFrame:
+    """One row, ``units``: the rows a full outer join on the keys has. A key held n times by one side and m times by the
+    other stands for n * m of them."""
+    rows = F.greatest("n_src", F.lit(1)) * F.greatest("n_new", F.lit(1))
+    return census.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("units"))
+
+
 def changed_pair(pair: TablePair, census: DataFrame) -> TablePair:
     """The pair cut down to rows whose key changed. The few changed keys filter both wide scans; where they are small
     AQE broadcasts them, and then no wide row is shuffled before it is known to matter."""

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinledger.functions.compare import quoted, ratio
 from twinledger.functions.families import field_family
 from twinledger.functions.shape import as_rows
 from twinledger.functions.sigma import sigma_approx, sigma_exact
-from twinledger.model import TablePair
-from twinledger.operators.fields import STRATEGIES, changed_flags, field_flags, flag_names
-from twinledger.operators.keys import key_census
+from twinledger.model import TablePair, TableSpec
+from twinledger.operators.fields import STRATEGIES, field_flags, flag_names
+from twinledger.operators.keys import audited_rows, changed_pair, key_census
 
 # Fixed value: opportunities per million.
 MILLION = 1_000_000
@@ -23,24 +23,29 @@ def _plus(columns: Sequence[str]) -> str:
     return " + ".join(map(quoted, columns)) or "0"
 
 
-def _defects_and_units(pair: TablePair, columns: list[str], null_mode: str, strategy: str) -> DataFrame:
-    """One row: ``units`` and the defects per column.
+def defect_counts(pair: TablePair, null_mode: str = "coalesce", strategy: str = "direct") -> DataFrame:
+    """One row: ``units`` (audited rows) and the defects per column, key flags included.
 
-    ``direct`` joins whole rows. ``fingerprint`` counts units over narrow keys and joins only rows that changed; the two
-    partial results are added up.
+    ``direct`` joins whole rows. ``fingerprint`` counts units over narrow keys and joins only rows that changed.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
-    sums = [F.expr(f"coalesce(sum({quoted(c)}), 0) AS {quoted(c)}") for c in columns]
     if strategy == "direct":
-        return field_flags(pair, null_mode).agg(F.count("*").alias("units"), *sums)
+        return field_flags(pair, null_mode).agg(F.count("*").alias("units"), *_sums(flag_names(pair)))
     census = key_census(pair, null_mode)
-    # A key held n times by one side and m times by the other stands for n * m audit rows.
-    rows = F.greatest("n_src", F.lit(1)) * F.greatest("n_new", F.lit(1))
-    units = census.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("units"))
-    defects = changed_flags(pair, null_mode, census).agg(*sums)
+    return changed_defect_counts(changed_pair(pair, census), audited_rows(census), null_mode)
+
+
+def changed_defect_counts(changed: TablePair, units: DataFrame, null_mode: str = "coalesce") -> DataFrame:
+    """``defect_counts`` out of the changed rows of a pair and the number of audited rows of the whole pair."""
+    columns = flag_names(changed)
+    defects = field_flags(changed, null_mode).agg(*_sums(columns))
     both = units.unionByName(defects, allowMissingColumns=True)
-    return both.agg(F.sum("units").alias("units"), *sums)
+    return both.agg(F.sum("units").alias("units"), *_sums(columns))
+
+
+def _sums(columns: Sequence[str]) -> list[Column]:
+    return [F.expr(f"coalesce(sum({quoted(c)}), 0) AS {quoted(c)}") for c in columns]
 
 
 def with_rates(df: DataFrame) -> DataFrame:
@@ -53,16 +58,21 @@ def overall_quality(pair: TablePair, opportunities_per_row: int | None = None, n
                     strategy: str = "direct") -> DataFrame:
     """One row for the table. Every field of a row is one opportunity unless ``opportunities_per_row`` says otherwise;
     key flags are not counted."""
-    fields = list(pair.spec.fields)
-    per_row = len(fields) if opportunities_per_row is None else opportunities_per_row
     if strategy == "direct":
         flags = field_flags(pair.with_spec(key_flags=()), null_mode)
-        totals = flags.agg(F.count("*").alias("units"), F.expr(f"coalesce(sum({_plus(fields)}), 0) AS defects"))
-    else:
-        wide = _defects_and_units(pair.with_spec(key_flags=()), fields, null_mode, strategy)
-        totals = wide.selectExpr("units", f"{_plus(fields)} AS defects")
+        in_row = flags.agg(F.count("*").alias("units"), F.expr(f"coalesce(sum({_plus(pair.spec.fields)}), 0) AS defects"))
+        return _overall(in_row, pair.spec, opportunities_per_row)
+    return overall_from_counts(defect_counts(pair, null_mode, strategy), pair.spec, opportunities_per_row)
+
+
+def overall_from_counts(counts: DataFrame, spec: TableSpec, opportunities_per_row: int | None = None) -> DataFrame:
+    return _overall(counts.selectExpr("units", f"{_plus(spec.fields)} AS defects"), spec, opportunities_per_row)
+
+
+def _overall(totals: DataFrame, spec: TableSpec, opportunities_per_row: int | None) -> DataFrame:
+    per_row = len(spec.fields) if opportunities_per_row is None else opportunities_per_row
     named = totals.select(
-        F.lit(pair.spec.subject).alias("SUBJECT"),
+        F.lit(spec.subject).alias("SUBJECT"),
         F.col("units").alias("TOTAL_UNITS"),
         F.col("defects").alias("TOTAL_DEFECTS"),
         (F.col("units") * per_row).alias("TOTAL_OPPORTUNITIES"),
@@ -81,11 +91,14 @@ def column_quality(pair: TablePair, null_mode: str = "coalesce", strategy: str =
     All columns are summed side by side in one aggregate; its single row is then turned into one row per column. A
     column's opportunities are the audited rows.
     """
-    columns = flag_names(pair)
-    wide = _defects_and_units(pair, columns, null_mode, strategy)
-    stacked = as_rows(wide, "column_name", {"TOTAL_DEFECTS": {c: c for c in columns}}, carry=["units"])
+    return columns_from_counts(defect_counts(pair, null_mode, strategy), pair.spec)
+
+
+def columns_from_counts(counts: DataFrame, spec: TableSpec) -> DataFrame:
+    columns = [c for c in counts.columns if c != "units"]
+    stacked = as_rows(counts, "column_name", {"TOTAL_DEFECTS": {c: c for c in columns}}, carry=["units"])
     named = stacked.where("units > 0").select(
-        F.lit(pair.spec.subject).alias("SOURCE"), "column_name", "TOTAL_DEFECTS", F.col("units").alias("TOTAL_OPPORTUNITIES"),
+        F.lit(spec.subject).alias("SOURCE"), "column_name", "TOTAL_DEFECTS", F.col("units").alias("TOTAL_OPPORTUNITIES"),
     )
     return with_rates(named).drop("YIELD").orderBy("SOURCE", F.desc("TOTAL_DEFECTS"), "column_name")
 

@@ -69,11 +69,14 @@ SLOT_VALUES = {
 
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source claims and the numeric order key ``k`` that decides what the new system changed."""
-    aggregates = [
-        F.expr(f"{how}(CASE WHEN l_linenumber = {i} THEN {value} END) AS {family}_{i}")
-        for family, (how, value, _) in SLOT_VALUES.items() for i in range(1, N_SLOTS + 1)
+    values = [F.expr(f"{how}({value}) AS {family}") for family, (how, value, _) in SLOT_VALUES.items()]
+    per_slot = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_shipdate").alias("last_ship"), *values)
+    # Slots are put side by side after they are brought together by order: narrow slot rows are shuffled, not wide ones.
+    side_by_side = [
+        F.expr(f"max(CASE WHEN l_linenumber = {i} THEN {family} END) AS {family}_{i}")
+        for family in SLOT_VALUES for i in range(1, N_SLOTS + 1)
     ]
-    per_order = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"), *aggregates)
+    per_order = per_slot.repartition("l_orderkey").groupBy("l_orderkey").agg(F.max("last_ship").alias("last_ship"), *side_by_side)
     claims = read(spark, sf_dir, "orders").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
     return claims.selectExpr(
         "o_orderkey AS k",
