@@ -119,6 +119,14 @@ def test_key_checks(spark):
         keys.require_unique_keys({"toy": (df, ["id"])})
 
 
+def test_shared_keys_are_set_apart_on_both_sides(spark):
+    row = ("x", 1.0, 1.0)
+    pair = pair_of(spark, [("a", 1, *row)] * 3 + [("b", 1, *row)], [("a", 1, *row), ("c", 1, *row), ("c", 1, *row), ("d", 1, *row)])
+    rest, apart = keys.set_apart_shared_keys(pair, pair.spec.keys)
+    assert rows_of(rest.src.select("id")) == [("b",)] and rows_of(rest.new.select("id")) == [("d",)]
+    assert rows_of(apart.select("side", "id")) == [("new", "a"), ("new", "c"), ("new", "c"), ("src", "a"), ("src", "a"), ("src", "a")]
+
+
 def test_profile_and_detail(spark):
     pair = pair_of(spark, [("a", 1, None, 1.0, 1.0), ("b", 1, "x", 1.0, 1.0), ("c", 1, "x", 1.0, 1.0)],
                    [("a", 1, "", 1.0, 1.0), ("b", 1, "y", 2.0, 1.0)])

@@ -76,6 +76,18 @@ def test_results_from_changed_rows_equal_results_from_whole_tables(spark, sf_dir
         assert results[name].count() > 0, name
 
 
+def test_shared_keys_fail_or_are_reported(spark, sf_dir, run):
+    members, claims, results = run
+    from twinledger.model import TablePair
+    twice = TablePair(claims.spec, claims.src.unionByName(claims.src.where("CLM_ID = '5'")), claims.new)
+    args = (members, twice, pairs.state_names(spark, sf_dir), DERIVED_COLUMNS, (1996, 1998))
+    with pytest.raises(ValueError, match="source claims: rows with a shared key: 2"):
+        reconcile(*args)
+    reported = reconcile(*args, shared_keys="report")
+    assert rows_of(reported["claims_sharing_an_id"].select("side", "CLM_ID")) == [("new", "5"), ("src", "5"), ("src", "5")]
+    assert reported["six_sigma"].where("SUBJECT = 'Claims'").first().TOTAL_UNITS == results["six_sigma"].where("SUBJECT = 'Claims'").first().TOTAL_UNITS - 1
+
+
 def test_scorecard_of_written_results(spark, run):
     written = write_results(run[2], scratch_dir(spark, "results"))
     graded = grade(written)

@@ -48,6 +48,20 @@ def split_by_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFra
     return null_safe_join(df, shared, keys, "left_anti"), null_safe_join(df, shared, keys, "left_semi")
 
 
+def set_apart_shared_keys(pair: TablePair, keys: Sequence[str]) -> tuple[TablePair, DataFrame]:
+    """(the pair without keys that any side holds more than once, the rows set apart with their side).
+
+    Pairing such rows would multiply them, and a key with a third of all rows would do so in one task. They are reported
+    whole instead: no row is lost. The shared keys are few or, at worst, a few hot ones, so that the joins against them
+    spread the rows of a hot key wherever they are.
+    """
+    shared = duplicate_keys(pair.src, keys).drop("n_rows").unionByName(duplicate_keys(pair.new, keys).drop("n_rows")).distinct()
+    src, new = (null_safe_join(df, shared, keys, "left_anti") for df in (pair.src, pair.new))
+    apart = [null_safe_join(df, shared, keys, "left_semi").select(F.lit(side).alias("side"), "*")
+             for side, df in (("src", pair.src), ("new", pair.new))]
+    return TablePair(pair.spec, src, new), apart[0].unionByName(apart[1])
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """A semi or anti join in which NULL keys match each other."""
     renamed = right.select([F.col(k).alias(f"__{k}") for k in keys])

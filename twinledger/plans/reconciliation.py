@@ -84,14 +84,24 @@ def check_keys(members: TablePair, claims: TablePair, columns: Columns) -> None:
 
 
 def reconcile(members: TablePair, claims: TablePair, states: DataFrame, columns: Columns, years: tuple[int, int],
-              workdir: str | None = None, unique_keys_checked: bool = False) -> dict[str, DataFrame]:
-    """All results by name. Checks the keys unless that is done, and writes the changed rows; the results are lazy."""
-    if not unique_keys_checked:
-        check_keys(members, claims, columns)
+              workdir: str | None = None, shared_keys: str = "fail") -> dict[str, DataFrame]:
+    """All results by name. Checks the keys and writes the changed rows; the results themselves are lazy.
+
+    ``shared_keys='fail'`` raises on keys that are not unique or NULL; ``'report'`` sets the rows of keys that a side holds
+    more than once apart, in results of their own, and compares the others.
+    """
+    if shared_keys not in ("fail", "report"):
+        raise ValueError(f"shared_keys must be 'fail' or 'report', not {shared_keys!r}")
     workdir = workdir or scratch_dir(members.src.sparkSession, "reconciliation")
+    apart = {}
+    if shared_keys == "fail":
+        check_keys(members, claims, columns)
+    else:
+        members, apart["members_sharing_a_key"] = keys.set_apart_shared_keys(members, members.spec.keys)
+        claims, apart["claims_sharing_an_id"] = keys.set_apart_shared_keys(claims, [columns.claim])
     m, c = (compare(pair, os.path.join(workdir, name)) for name, pair in (("members", members), ("claims", claims)))
     return {**_counts(m, c, columns), **_findings(m, c, states, columns), **_quality(m, c, columns), **_impact(m, c),
-            **_recomputed(m, c, columns, years)}
+            **_recomputed(m, c, columns, years), **apart}
 
 
 def _counts(m: Comparison, c: Comparison, columns: Columns) -> dict[str, DataFrame]:

@@ -11,9 +11,19 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def recommended_conf() -> dict[str, str]:
-    """SQL settings for wide two-sided comparisons; none of them is needed for right results."""
+# Target size of a shuffle partition before AQE merges small ones.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def recommended_conf(shuffled_bytes: int | None = None) -> dict[str, str]:
+    """SQL settings for wide two-sided comparisons; none of them is needed for right results.
+
+    ``shuffled_bytes``: what the largest join moves, both sides together. It sets the number of shuffle partitions, so that
+    one fits in a task's memory; AQE merges partitions that turn out small.
+    """
+    sized = {"spark.sql.shuffle.partitions": str(max(1, -(-shuffled_bytes // PARTITION_BYTES)))} if shuffled_bytes else {}
     return {
+        **sized,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
