@@ -219,7 +219,8 @@ def test_line_rule_and_measures(spark):
     claims = spark.createDataFrame(
         [("m", "20080105", 1.0, 2.0, 5.0, 0.0, "A", "R"), ("m", "20081231", 4.0, None, None, 3.0, "S", "S"), ("m", "20090101", 9.0, 1.0, 1.0, 1.0, None, "N")],
         "m string, d string, PMT_1 double, PMT_2 double, ALLOW_1 double, ALLOW_2 double, IND_1 string, IND_2 string")
-    measure = lines.Measure("paid", "coalesce(PMT, 0)", lines.valid_line_rule("IND", "ALLOW"))
+    rules = spark.createDataFrame([("paid", "coalesce(PMT, 0)", lines.valid_line_rule("IND", "ALLOW"))], "name string, value_expr string, cond_expr string")
+    (measure,) = lines.measures_from(rules)
     long = lines.apply_measures(lines.explode_lines(claims, layout, ["m", "d"]), [measure])
     assert rows_of(long.groupBy(F.left("d", F.lit(4)).cast("int").alias("y")).agg(F.sum("paid"))) == [(2008, 1.0), (2009, 0.0)]
     assert rows_of(lines.annual_measures(claims, layout, [measure], "m", "d")) == [("m", 2008, 1.0), ("m", 2009, 0.0)]

@@ -44,6 +44,11 @@ class Measure:
         return f"CASE WHEN {condition} THEN {value} ELSE 0 END"
 
 
+def measures_from(rules: DataFrame) -> tuple[Measure, ...]:
+    """Measures out of a rule table ``name, value_expr, cond_expr``. Runs a job; there is one row per rule."""
+    return tuple(Measure(r["name"], r["value_expr"], r["cond_expr"] or "true") for r in rules.orderBy("name").collect())
+
+
 def _in_slot(expression: str, layout: LineLayout | None, slot: int | None) -> str:
     if layout is None or slot is None:
         return expression
