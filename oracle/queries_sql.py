@@ -523,7 +523,7 @@ def oracle_sql() -> dict[str, str]:
     verdict = "CASE grade " + " ".join(f"WHEN '{g}' THEN '{v}'" for g, v in verdicts.items()) + " END"
     q["g05_conclusion"] = both_flags + (
         f"SELECT mean_sigma, grade, {verdict} AS verdict FROM (SELECT mean_sigma, {GRADE.format(s='mean_sigma')} AS grade "
-        f"FROM (SELECT round(avg(SIGMA_LEVEL), 6) AS mean_sigma FROM ({QUALITY_BOTH})))")
+        f"FROM (SELECT round(avg({sigma('(TOTAL_DEFECTS::DOUBLE / TOTAL_OPPORTUNITIES)')}), 6) AS mean_sigma FROM ({QUALITY_BOTH})))")
     q["g06_missing_member_sample"] = ONLY["members"] + f"SELECT * FROM ({MISSING}) ORDER BY MEMBER_ID, YEAR LIMIT 5"
     q["g06_orphan_claim_sample"] = ONLY["claims"] + f"SELECT {c_all} FROM ({ORPHAN_CLAIMS}) ORDER BY {', '.join(CLAIM_KEYS)} LIMIT 5"
     return q
