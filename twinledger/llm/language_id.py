@@ -27,9 +27,11 @@ GRAMS = (1, 2, 3, 4)
 EDGE = 1
 UNKNOWN = "und"
 # Characters handled at once; a longer document is handled alone.
-CHUNK_CHARS = 1 << 19
-# Words of the documents that go through forward-backward together, padding included.
-CELLS = 1 << 17
+CHUNK_CHARS = 1 << 21
+# Posteriors (words times languages) worked out together, padding included; a longer document goes alone.
+CELLS = 1 << 20
+# Steps after which scaled values are brought back to a sum of 1.
+RESCALE = 8
 
 _letters: list[np.ndarray] = []
 
@@ -123,9 +125,8 @@ class Model:
         once = Words(np.append(words.points[source], np.uint64(EDGE)), starts, known, np.array([len(known)]), starts[:-1], starts[:-1])
         out = np.zeros((len(known), len(self.languages)), np.float32)
         for features, at in _grams(once):
-            word = np.searchsorted(starts, at, side="right") - 1
+            limits = np.append(np.searchsorted(at, starts[:-1]), len(at))
             sums = np.concatenate([np.zeros((1, out.shape[1])), np.cumsum(self.weights[features], axis=0, dtype=np.float64)])
-            limits = np.searchsorted(word, np.arange(len(known) + 1))
             out += (sums[limits[1:]] - sums[limits[:-1]]).astype(np.float32) / np.maximum(1, limits[1:] - limits[:-1])[:, None]
         if len(self.lexicon):
             place = np.minimum(np.searchsorted(self.lexicon, known), len(self.lexicon) - 1)
@@ -142,40 +143,41 @@ class Model:
         end = len(order)
         while end:
             longest = int(counts[order[end - 1]])
-            begin = max(0, end - max(1, CELLS // longest))
+            begin = max(0, end - max(1, CELLS // (longest * emissions.shape[1])))
             mine = order[begin:end]
-            width = len(mine)
-            gain, live = np.ones((longest, width, emissions.shape[1])), np.zeros((longest, width), dtype=bool)
+            gain = np.zeros((longest, len(mine), emissions.shape[1]))
             for k, text in enumerate(mine):
-                gain[: counts[text], k], live[: counts[text], k] = emissions[limits[text]: limits[text + 1]], True
-            for k in range(width):
-                gain[counts[mine[k]]:, k] = 0.0
-            gain = np.exp(gain - gain.max(axis=2, keepdims=True))
-            gamma = forward_backward(gain, live, np.exp(self.transitions))[0]
+                gain[: counts[text], k] = emissions[limits[text]: limits[text + 1]]
+            gamma = forward_backward(np.exp(gain - gain.max(axis=2, keepdims=True)), counts[mine], np.exp(self.transitions))[0]
             for k, text in enumerate(mine):
                 out[limits[text]: limits[text + 1]] = gamma[: counts[text], k]
             end = begin
         return out
 
 
-def forward_backward(gain: np.ndarray, live: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(posteriors, scaled backward values) of padded sequences [time, sequence, label]; padding follows each sequence."""
-    alpha, beta = np.empty_like(gain), np.empty_like(gain)
-    current = gain[0] / gain[0].sum(axis=1, keepdims=True)
-    alpha[0] = current
+def forward_backward(gain: np.ndarray, lengths: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(posteriors, scaled backward values) of sequences [time, sequence, label] of ascending lengths.
+
+    At each time only the sequences that are that long take part; what lies behind the end of a sequence has no meaning.
+    """
+    alpha, beta = np.ones_like(gain), np.ones_like(gain)
+    live = np.searchsorted(lengths, np.arange(len(gain)), side="right").tolist()
+    back_step = np.ascontiguousarray(step.T)
+    alpha[0] = gain[0]
     for t in range(1, len(gain)):
-        current = (current @ step) * gain[t]
-        current /= current.sum(axis=1, keepdims=True)
-        alpha[t] = current
-    back = np.ones_like(current)
-    beta[-1] = back
+        now = alpha[t, live[t]:]
+        np.matmul(alpha[t - 1, live[t]:], step, out=now)
+        now *= gain[t, live[t]:]
+        if t % RESCALE == 0:
+            now /= now.sum(axis=1, keepdims=True)
     for t in range(len(gain) - 1, 0, -1):
-        # A padded word passes nothing back, so each sequence begins at its own end.
-        back = np.where(live[t][:, None], (back * gain[t]) @ step.T, 1.0)
-        back /= back.max(axis=1, keepdims=True)
-        beta[t - 1] = back
+        then = beta[t - 1, live[t]:]
+        np.matmul(beta[t, live[t]:] * gain[t, live[t]:], back_step, out=then)
+        if t % RESCALE == 0:
+            then /= then.sum(axis=1, keepdims=True)
     gamma = alpha * beta
-    return gamma / gamma.sum(axis=2, keepdims=True), beta
+    gamma /= gamma.sum(axis=2, keepdims=True)
+    return gamma, beta
 
 
 def fit(texts: list[str], labels: list[str], epochs: int = 6, seed: int = 5) -> Model:
@@ -225,7 +227,7 @@ def fit(texts: list[str], labels: list[str], epochs: int = 6, seed: int = 5) ->
     squares, step_squares, rate = np.full(model.weights.shape, 1e-8, np.float32), np.full(model.transitions.shape, 1e-8), 0.3
     for _ in range(epochs):
         for at in range(0, len(sequences), 16):
-            batch = sequences[at: at + 16]
+            batch = sorted(sequences[at: at + 16], key=len)
             longest = max(map(len, batch))
             index = np.concatenate(batch)
             scores = prior[index].astype(np.float64)
@@ -245,15 +247,15 @@ def fit(texts: list[str], labels: list[str], epochs: int = 6, seed: int = 5) ->
                 begin += len(sequence)
             gain = np.exp(gain - gain.max(axis=2, keepdims=True))
             step = np.exp(model.transitions)
-            gamma, beta = forward_backward(gain, live, step)
+            gamma, beta = forward_backward(gain, np.array([len(sequence) for sequence in batch]), step)
             error = np.concatenate([gamma[: len(s), k] for k, s in enumerate(batch)])
             error[np.arange(len(index)), label[index]] -= 1
             # Expected transitions: alpha is gamma / beta up to scale.
             alpha = gamma[:-1] / np.maximum(beta[:-1], 1e-300)
-            pair = alpha[:, :, :, None] * step[None, None] * (gain[1:] * beta[1:])[:, :, None, :]
-            pair /= np.maximum(pair.sum(axis=(2, 3), keepdims=True), 1e-300)
             inner = live[1:]
-            expected = pair[inner].sum(axis=0)
+            pair = alpha[inner][:, :, None] * step[None] * (gain[1:] * beta[1:])[inner][:, None, :]
+            pair /= np.maximum(pair.sum(axis=(1, 2), keepdims=True), 1e-300)
+            expected = pair.sum(axis=0)
             np.subtract.at(expected, (truth[:-1][inner], truth[1:][inner]), 1.0)
             expected = expected / max(1, inner.sum()) + 1e-4 * model.transitions
             step_squares += expected**2
