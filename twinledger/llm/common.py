@@ -130,3 +130,25 @@ def word_hashes(column: pa.LargeStringArray) -> Iterator[tuple[int, np.ndarray,
         cut = offsets[row: end + 1]
         yield row, *_chunk_words(data[cut[0]: cut[-1]], cut - cut[0])
         row = end
+
+
+class Remembered:
+    """What a worker has worked out before, by key: the keys used since it last held ``limit`` of them, and those before."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
+
+    def turn(self) -> None:
+        """Lets the older keys go once there are enough newer ones; called before a part of the work, never within."""
+        if len(self.new) > self.limit:
+            self.new, self.old = {}, self.new
+
+    def missing(self, wanted: Iterator) -> set:
+        """Those of the keys that aren't known; afterwards the known ones are all in ``new``."""
+        new, old = self.new, self.old
+        absent = {key for key in wanted if key not in new}
+        if old:
+            again = {key for key in absent if key in old}
+            new.update((key, old[key]) for key in again)
+            absent -= again
+        return absent

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.common import as_large_text
+from twinledger.llm.common import Remembered, as_large_text
 
 # Fixed values of the model format.
 UNIGRAM, BPE = 1, 2
@@ -31,7 +31,7 @@ UNKNOWN_PENALTY = 10.0
 UNKNOWN_SURFACE = b" \xe2\x81\x87 "
 
 # What a worker remembers, as bounds on its memory: units with their ids, and pairs of pieces.
-REMEMBERED_UNITS = 1_000_000
+REMEMBERED_UNITS = 300_000
 PAIR_BITS = 20
 # Longer units aren't remembered.
 LONG_UNIT = 64
@@ -121,7 +121,7 @@ class Model:
         self.surfaces = [self._surface(i, k) for i, k in enumerate(kinds)]
         self._pair_keys = np.full(1 << PAIR_BITS, -1, np.int64)
         self._pair_answers = np.zeros(1 << PAIR_BITS, dtype=bool)
-        self._units: dict[str, bytes] = {}
+        self._units = Remembered(REMEMBERED_UNITS)
 
     _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -288,22 +288,19 @@ class Model:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian 32-bit integers; an empty text has none."""
-        if len(self._units) > REMEMBERED_UNITS:
-            self._units = {}
+        self._units.turn()
         cut = []
         for text in texts:
             marked = text.replace(" ", BLANK)
             if text and self.dummy_prefix:
                 marked = BLANK + marked
             cut.append(self.units.findall(marked))
-        units = self._units
-        missing = {unit for found in cut for unit in found if unit not in units}
-        if missing:
-            fresh: dict[str, bytes] = {}
-            self._learn([u for u in missing if len(u) <= LONG_UNIT], units)
-            self._learn([u for u in missing if len(u) > LONG_UNIT], fresh)
-            if fresh:
-                return [b"".join([units[u] if u in units else fresh[u] for u in found]) for found in cut]
+        missing = self._units.missing(unit for found in cut for unit in found)
+        units, fresh = self._units.new, {}
+        self._learn([u for u in missing if len(u) <= LONG_UNIT], units)
+        self._learn([u for u in missing if len(u) > LONG_UNIT], fresh)
+        if fresh:
+            return [b"".join([units[u] if u in units else fresh[u] for u in found]) for found in cut]
         return [b"".join([units[u] for u in found]) for found in cut]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -342,7 +339,7 @@ def encoded(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: s
 
 
 # Rows of a batch that are encoded or decoded together.
-PART_ROWS = 4000
+PART_ROWS = 1000
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
