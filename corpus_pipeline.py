@@ -1,19 +1,52 @@
-"""A corpus pipeline of stages, each of which works on all that the one before it kept."""
+"""A corpus pipeline of stages, each of which works on all that the one before it kept and reads it from a stored table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from twinledger.llm import exact_dedup
+from twinledger.llm import exact_dedup, language_id, mixing, near_dedup, sentencepiece_codec
 from twinledger.llm.common import read, stored
 
+# Documents whose best language makes up a smaller share of their words are rejected, as are those without any letter.
+LEAST_SHARE = 0.3
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a language that the model knows stay. The text alone decides; labels are only learned from."""
+    model = language_id.fit_on(docs)
+    rejected = language_id.identify(docs, model).where((F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < LEAST_SHARE))
+    gone = stored(rejected.select(F.col("doc_id").alias("_gone")).distinct(), "rejected")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti").select(*docs.columns)
+
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that are equal but for white space, one document stays."""
     return exact_dedup.without_exact_copies(docs)
 
 
-STAGES = [("exact dedup", exact_copies)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose sets of five-word shingles are similar by 0.8 or more, and what they link, one stays."""
+    return near_dedup.one_of_each_group(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the pieces of each document, with its id, language and source."""
+    tokens = sentencepiece_codec.encoded(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return tokens.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [
+    ("language ID", languages), ("exact dedup", exact_copies), ("MinHash near-dedup", near_copies), ("mixing to weights", source_mix),
+    ("SentencePiece encoding", pieces),
+]
+# The language model, the draws of the mix and the tokenizer cannot be said in SQL; tests compare each stage with plain versions.
 ORACLE_SQL = None
 
 

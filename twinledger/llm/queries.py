@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import public_tokenizers
 
 import corpus_pipeline
-from twinledger.llm import exact_dedup, language_id, mixing, near_dedup, sentencepiece_codec, token_files, warc
+from twinledger.llm import embedding_dedup, exact_dedup, html_tree, language_id, mixing, near_dedup, ngram_lm, sentencepiece_codec, token_files, warc
 from twinledger.llm.common import read
 
 
@@ -21,10 +21,18 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"), shingle_words=4)
 
 
+def op5_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.scored_with_holdout(read(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_counts(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -33,6 +41,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(spark, read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_tree.main_texts(read(spark, sf_dir, "pages"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, read(spark, sf_dir, "pages"))
 
