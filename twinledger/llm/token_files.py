@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from twinledger.llm.common import as_large_text, file_system, shared_folder, stored
+from twinledger.llm.common import Remembered, as_large_text, file_system, shared_folder, stored
 
 MAGIC = b"EFTOKEN1"
 SAMPLE = 64
 # Pieces of text whose ids a worker remembers; a bound on its memory, not on the vocabulary.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
+# Documents encoded together.
+PART_ROWS = 500
 # Fixed pattern of the vocabulary's pre-tokenizer.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
@@ -100,7 +102,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, dtype: str):
-        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, {}
+        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, Remembered(REMEMBERED)
         self.tokenizer.encode_special_tokens = True
 
     @staticmethod
@@ -114,20 +116,18 @@ class Encoder:
             out.append(" " + part)
         return out
 
-    def learn(self, pieces: list[str]) -> None:
-        for piece, found in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, self.dtype).tobytes()
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as bytes."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
+        self.known.turn()
         cut = [self.parts(text) for text in texts]
-        missing = {part for parts in cut for part in parts if part not in known}
+        missing = self.known.missing(part for parts in cut for part in parts)
+        known = self.known.new
         if missing:
             pieces = {part: PIECES.findall(part) for part in missing}
-            self.learn(list({piece for found in pieces.values() for piece in found if piece not in known}))
+            fresh = self.known.missing(piece for found in pieces.values() for piece in found)
+            fresh = list(fresh)
+            for piece, ids in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
+                known[piece] = np.array(ids.ids, self.dtype).tobytes()
             for part, found in pieces.items():
                 if len(found) != 1:
                     known[part] = b"".join([known[piece] for piece in found])
@@ -159,9 +159,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                 out = system.open_output_stream(f"{root}/{name}", compression=None)
             end = np.array([end_id], encoder.dtype).tobytes()
             ids += batch.column(1).to_pylist()
-            for encoded in encoder.encode(as_large_text(batch.column(2)).to_pylist()):
-                out.write(encoded + end)
-                lengths.append(len(encoded) // (width // 8) + 1)
+            for begin in range(0, len(batch), PART_ROWS):
+                for encoded in encoder.encode(as_large_text(batch.column(2).slice(begin, PART_ROWS)).to_pylist()):
+                    out.write(encoded + end)
+                    lengths.append(len(encoded) // (width // 8) + 1)
         if out is not None:
             n_null = sum(i is None for i in ids)
             present = np.array(ids[n_null:], np.int64)
