@@ -1,8 +1,10 @@
 """Near duplicates: minima of many universal hashes over word shingles, banding, signature check, full check, components.
 
-Equal shingle sets become one class first. In each bucket of a band every class is compared with the bucket's smallest class;
-what these links already connect needs no further comparison. Classes of one bucket that are still apart are then compared
-with each other, in blocks of bounded size, so every pair that shares a bucket is either connected or compared.
+Equal shingle sets become one class first. In each bucket of a band every class is compared with the bucket's lead, the class
+that shares most buckets with others (the original of a family of edited copies is nearer to all of them than they are to each
+other). What these links connect needs no further comparison. A second lead is taken from what the first left apart. Buckets that
+hold several components still are joined to clusters, whose members are compared in blocks inside tasks, which pass on links but
+no pairs. So every pair that shares a bucket is connected or compared.
 """
 
 from __future__ import annotations
@@ -22,10 +24,10 @@ from twinledger.llm.components import connected_components
 # 32 bands of 5 minima miss a pair of similarity 0.8 with a chance of 0.672^32 = 3e-6.
 BANDS = 32
 ROWS = 5
-# Pairs whose signatures agree in a smaller share than this below the threshold aren't checked in full: 6 standard deviations.
-SLACK = 0.2
-# Members of a bucket that are compared as one block.
-BLOCK = 256
+# Pairs whose signatures agree in a share this far below the threshold aren't checked in full: 4 standard deviations.
+SLACK = 0.13
+# Members of a cluster that are compared as one block.
+BLOCK = 1024
 
 _generator = np.random.default_rng(77)
 _FACTORS = _generator.integers(0, 2**63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -125,20 +127,28 @@ def _set_rows(size: int):
 
 
 def _apart(percent: float):
-    """Of groups of classes (id, component, set size, signature): pairs of different components whose signatures agree."""
+    """Of blocks of classes (id, component, set size, signature, set): links between components, as many as join them."""
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for members in batch.column(0).to_pylist():
-                ids, parts, sizes = (np.array([m[k] for m in members], np.int64) for k in ("rep", "part", "_n"))
-                signatures = np.frombuffer(b"".join(m["_sig"] for m in members), np.uint32).reshape(len(ids), -1)
+            for row in range(len(batch)):
+                members = batch.column(0)[row].values
+                ids, sizes = members.field("rep").to_numpy(), members.field("_n").to_numpy()
+                _, parts = np.unique(members.field("part").to_numpy(), return_inverse=True)
+                signatures = np.frombuffer(b"".join(members.field("_sig").to_pylist()), np.uint32).reshape(len(ids), -1)
+                sets = [np.frombuffer(x, np.uint64) for x in members.field("_set").to_pylist()]
                 found = []
                 for i in range(len(ids) - 1):
                     small, large = np.minimum(sizes[i], sizes[i + 1:]), np.maximum(sizes[i], sizes[i + 1:])
                     rest = np.flatnonzero((parts[i + 1:] != parts[i]) & (100 * small >= percent * large)) + i + 1
                     near = rest[(signatures[rest] == signatures[i]).mean(axis=1) >= percent / 100 - SLACK]
-                    found.append(np.stack([np.minimum(ids[i], ids[near]), np.maximum(ids[i], ids[near])]))
+                    for j in near.tolist():
+                        if parts[i] != parts[j]:
+                            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                            if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                                found.append((ids[i], ids[j]))
+                                parts[parts == parts[j]] = parts[i]
                 if found:
-                    a, b = np.concatenate(found, axis=1)
+                    a, b = np.array(found, np.int64).T
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
     return pairs
 
@@ -148,49 +158,69 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Linked are documents whose sets of word shingles have 100 * intersection >= percent * union. Text is lower-cased (A-Z) and
     split at white space. A document with fewer words than a shingle is one shingle; one without words, or a NULL text, has
-    none and links with nothing. Rows that share an id are one node. Rows without an id are linked with nothing: their
+    none and links with nothing. Rows that share an id are one node, with the links of the
+    one with most shingles. Rows without an id are linked with nothing: their
     component is NULL and they are kept. Other columns are ignored. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     signed = stored(texts.mapInArrow(_signed(shingle_words), "_id long, _n long, _f1 long, _f2 long, _sig binary"), "near-signatures")
     linkable = signed.where("_n > 0 AND _id IS NOT NULL")
     # Equal sets are one class; combined before the shuffle, so a large group of copies is one row per task.
-    classes = linkable.groupBy("_n", "_f1", "_f2").agg(F.min("_id").alias("rep"))
+    classes = stored(linkable.groupBy("_n", "_f1", "_f2").agg(F.min("_id").alias("rep")), "near-sets")
     members = stored(linkable.select("_id", "_n", "_f1", "_f2").join(classes, ["_n", "_f1", "_f2"]).select("_id", "_n", "rep"), "near-members")
     own = members.where("_id = rep").select("_id").distinct()
-    reps = stored(linkable.join(own, "_id", "left_semi").groupBy(F.col("_id").alias("rep")).agg(F.first("_n").alias("_n"), F.first("_sig").alias("_sig")), "near-classes")
+    reps = stored(linkable.join(own, "_id", "left_semi").groupBy(F.col("_id").alias("rep")).agg(F.max(F.struct("_n", "_sig")).alias("x")).select("rep", "x._n", "x._sig"), "near-classes")
     bands = reps.select("rep", "_sig").mapInArrow(_banded, "bucket long, rep long")
-    leads = bands.groupBy("bucket").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = stored(bands.join(leads, "bucket"), "near-buckets")
-
-    def linked(pairs: DataFrame, checked: bool) -> DataFrame:
-        """Of pairs (a, b) those whose full sets are similar enough."""
-        if not checked:
-            side = lambda name: reps.select(F.col("rep").alias(name), F.col("_n").alias(f"n_{name}"), F.col("_sig").alias(f"sig_{name}"))
-            sized = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-            pairs = sized.where(_agreement("sig_a", "sig_b") >= percent / 100 - SLACK).select("a", "b")
-        pairs = stored(pairs, "near-pairs")
-        needed = pairs.select(F.col("a").alias("_id")).unionAll(pairs.select(F.col("b").alias("_id"))).distinct()
-        sets = stored(texts.join(needed, "_id", "left_semi").mapInArrow(_set_rows(shingle_words), "_id long, _set binary"), "near-sets").dropDuplicates(["_id"])
-        side = lambda name: sets.select(F.col("_id").alias(name), F.col("_set").alias(f"set_{name}"))
-        both = pairs.join(side("a"), "a").join(side("b"), "b").select(
-            "a", "b", _common("set_a", "set_b").alias("common"), (F.octet_length("set_a") / 8 + F.octet_length("set_b") / 8).cast("long").alias("sizes"))
+    sizes = stored(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
+    shared = stored(bands.join(sizes, "bucket"), "near-buckets")
+    weights = stored(shared.groupBy("rep").agg(F.sum("size").alias("weight")), "near-weights")
+    ranked = stored(shared.join(weights, "rep").select("bucket", "size", "rep", "weight"), "near-ranked")
+
+    # The full sets of all classes that share a bucket with another one, worked out once.
+    sets = stored(texts.join(weights.select(F.col("rep").alias("_id")), "_id", "left_semi").mapInArrow(_set_rows(shingle_words), "_id long, _set binary"), "near-sets")
+    sets = sets.groupBy(F.col("_id").alias("rep")).agg(F.max(F.struct(F.octet_length("_set").alias("n"), "_set")).alias("x")).select("rep", "x._set")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b) those whose signatures and then whose full sets are similar enough."""
+        side = lambda df, name: df.select(*[F.col(c).alias(name if c == "rep" else f"{c}_{name}") for c in df.columns])
+        sized = pairs.join(side(reps, "a"), "a").join(side(reps, "b"), "b").where(100 * F.least("_n_a", "_n_b") >= percent * F.greatest("_n_a", "_n_b"))
+        likely = stored(sized.where(_agreement("_sig_a", "_sig_b") >= percent / 100 - SLACK).select("a", "b"), "near-pairs")
+        both = likely.join(side(sets, "a"), "a").join(side(sets, "b"), "b").select(
+            "a", "b", _common("_set_a", "_set_b").alias("common"), (F.octet_length("_set_a") / 8 + F.octet_length("_set_b") / 8).cast("long").alias("sizes"))
         return both.where(100 * F.col("common") >= percent * (F.col("sizes") - F.col("common"))).select("a", "b")
 
-    stars = shared.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    first = connected_components(linked(stars, checked=False))
-    first = stored(first, "near-first")
-    parted = shared.join(first, shared["rep"] == first["node"], "left").select("bucket", "size", "rep", F.coalesce("component", "rep").alias("part"))
-    unsettled = parted.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket")
-    open_rows = parted.join(unsettled, "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    # Each block meets itself and every other block of its bucket once.
-    dealt = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep")
-    groups = dealt.groupBy("bucket", "i", "j").agg(F.sort_array(F.collect_set("rep")).alias("members")).select("members").where("size(members) > 1").distinct()
-    named = groups.withColumn("g", F.xxhash64("members", F.lit(1))).select("g", F.explode("members").alias("rep"))
-    described = named.join(reps, "rep").join(first.withColumnRenamed("node", "rep"), "rep", "left").select("g", F.struct("rep", F.coalesce("component", "rep").alias("part"), "_n", "_sig").alias("m"))
-    apart = described.groupBy("g").agg(F.collect_list("m").alias("members")).select("members").mapInArrow(_apart(percent), "a long, b long").distinct()
-    second = linked(apart.join(stars, ["a", "b"], "left_anti"), checked=True)
+    def parted(parts: DataFrame | None) -> DataFrame:
+        """The rows of buckets that hold several components."""
+        if parts is None:
+            return ranked.withColumn("part", F.col("rep"))
+        now = stored(ranked.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "size", "rep", "weight", F.coalesce("component", "rep").alias("part")), "near-parted")
+        unsettled = stored(now.groupBy("bucket").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p <> q").select("bucket"), "near-unsettled")
+        return now.join(unsettled, "bucket")
+
+    def led(rows: DataFrame, name: str) -> DataFrame:
+        first = F.max(F.struct("weight", (-F.col("rep")).alias("minus"), "part"))
+        return stored(rows.groupBy("bucket").agg(first.alias("lead")).select("bucket", (-F.col("lead.minus")).alias(name), F.col("lead.part").alias(f"{name}_part")), "near-leads")
+
+    ordered = lambda one, two: (F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
+    open_rows = parted(None)
+    stars = open_rows.join(led(open_rows, "lead"), "bucket").where("rep <> lead").select(*ordered("lead", "rep")).distinct()
+    stars = stored(stars, "near-stars")
+    first = stored(connected_components(linked(stars)), "near-first")
+    open_rows = stored(parted(first), "near-open")
+    rest = open_rows.join(led(open_rows, "lead"), "bucket").where("part <> lead_part").drop("lead", "lead_part")
+    again = stored(open_rows.join(led(rest, "lead"), "bucket").where("part <> lead_part").select(*ordered("lead", "rep")).distinct().join(stars, ["a", "b"], "left_anti"), "near-stars")
+    star_links = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    first = stored(connected_components(star_links.unionAll(linked(again))), "near-first")
+    open_rows = stored(parted(first), "near-open")
+    heads = stored(open_rows.groupBy("bucket").agg(F.min("part").alias("head")), "near-heads")
+    clusters = stored(connected_components(open_rows.join(heads, "bucket").where("part <> head").select(F.col("part").alias("a"), F.col("head").alias("b")).distinct()), "near-clusters")
+    clustered = stored(open_rows.select("rep", "part").distinct().join(clusters.select(F.col("node").alias("part"), F.col("component").alias("cluster")), "part"), "near-clustered")
+    counts = stored(clustered.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "near-counts")
+    # Each block meets itself and every other block of its cluster once.
+    dealt = clustered.join(counts, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "part")
+    described = dealt.join(reps, "rep").join(sets, "rep").select("cluster", "i", "j", F.struct("rep", "part", "_n", "_sig", "_set").alias("m"))
+    second = stored(described.groupBy("cluster", "i", "j").agg(F.collect_list("m").alias("members")).select("members").mapInArrow(_apart(percent), "a long, b long"), "near-links")
     links = first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(second)
     parts = connected_components(links).withColumnRenamed("node", "rep")
     found = members.join(parts, "rep", "left").select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
