@@ -24,8 +24,8 @@ CAP = 2.0
 BLOCK = 1_000
 # Exchanges of documents that even out what the last open ones leave; each brings the total nearer.
 EXCHANGES = 8
-# A mix names its sources; more than this is refused, since targets are worked out on the driver.
-MAX_SOURCES = 1_000_000
+# A mix names its sources; more than this is refused, since targets are worked out on the driver and broadcast (some 10 MB).
+MAX_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -146,7 +146,7 @@ def mixed_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     schema = "_source string, source_size long, target double, place int, rate double, blocks int"
     table = spark.createDataFrame([
         (g["source"], g["source_size"], float(g["target"]), g["place"], g["target"] / g["source_size"] if g["source_size"] else 0.0, max(1, math.ceil(g["n"] / block))) for g in goals], schema)
-    joined = sized.join(table, sized["_source"].eqNullSafe(table["_source"])).drop(table["_source"])
+    joined = sized.join(F.broadcast(table), sized["_source"].eqNullSafe(table["_source"])).drop(table["_source"])
     whole, order = F.floor("rate"), F.xxhash64("_id", "_size", F.lit(seed))
     units = joined.select("_id", "_size", "source_size", "target", "place", "blocks", whole.cast("long").alias("_whole"), (F.col("rate") - whole).alias("_p"), order.alias("_order"))
     sides = F.col("_p").between(1e-9, 1 - 1e-9)
@@ -168,7 +168,7 @@ def mixed_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         pieces.append(closed.select(*columns))
         blocks = {k: max(1, math.ceil(2 * n / block)) for k, n in blocks.items()}
         smaller = spark.createDataFrame(list(blocks.items()), "place int, blocks int")
-        open_ = waiting.unionAll(flown.where("_p > 0 AND _p < 1").select(*columns)).join(smaller, "place")
+        open_ = waiting.unionAll(flown.where("_p > 0 AND _p < 1").select(*columns)).join(F.broadcast(smaller), "place")
         level += 1
     left = {k: w - taken_so_far.get(k, 0.0) for k, w in want.items()}
     pieces.append(open_.select(*columns).groupBy("place").applyInPandas(_landed(seed, left), units.select(*columns).schema).select(*columns))
