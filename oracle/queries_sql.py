@@ -134,7 +134,7 @@ def rollup(table: str) -> str:
     return f"""
 {table}_rollup AS (
   SELECT * FROM (
-    SELECT {', '.join(keys)}, {', '.join(f'CAST(sum(CAST({n} AS DECIMAL(18,2))) AS DOUBLE) AS {n}' for n in names)}
+    SELECT {', '.join(keys)}, {', '.join(f'CAST(sum(CAST({n} AS DECIMAL(38,6))) AS DOUBLE) AS {n}' for n in names)}
     FROM {table}_deltas GROUP BY {', '.join(keys)}
   ) WHERE list_sum(list_value({', '.join(names)})) > 0
 )"""
@@ -147,7 +147,7 @@ def totals(table: str) -> str:
   UNPIVOT (SELECT {', '.join(f'abs_delta_{a}' for a in amounts)} FROM {table}_rollup) ON COLUMNS(*) INTO NAME metric_name VALUE v
 ),
 {table}_totals AS (
-  SELECT metric_name, round(CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE), 2) AS total_abs_delta FROM {table}_metrics GROUP BY metric_name
+  SELECT metric_name, round(CAST(sum(CAST(v AS DECIMAL(38,6))) AS DOUBLE), 2) AS total_abs_delta FROM {table}_metrics GROUP BY metric_name
 )"""
 
 
@@ -159,7 +159,7 @@ def impact(table: str) -> str:
       / sum(FINANCIAL_VARIANCE) OVER (), 9) AS RUNNING_PCT_OF_TOTAL
   FROM (
     SELECT regexp_replace(regexp_replace(metric_name, '^abs_delta_', ''), '_[0-9]+$', '') AS FIELD_FAMILY,
-      CAST(sum(CAST(total_abs_delta AS DECIMAL(18,2))) AS DOUBLE) AS FINANCIAL_VARIANCE
+      CAST(sum(CAST(total_abs_delta AS DECIMAL(38,6))) AS DOUBLE) AS FINANCIAL_VARIANCE
     FROM {table}_totals GROUP BY 1
   )
 )"""
@@ -259,7 +259,7 @@ MEASURE_COLUMNS = ", ".join(f"CASE WHEN {LINE_VALID} THEN {v} ELSE 0 END AS {m}"
 
 def annual(side: str) -> str:
     sums = ", ".join(
-        f"CAST(sum(CAST(CASE WHEN {LINE_VALID} THEN {v} ELSE 0 END AS DECIMAL(18,2))) AS DOUBLE) AS {m}" for m, v in MEASURE_SQL.items()
+        f"CAST(sum(CAST(CASE WHEN {LINE_VALID} THEN {v} ELSE 0 END AS DECIMAL(38,6))) AS DOUBLE) AS {m}" for m, v in MEASURE_SQL.items()
     )
     return (f"{side}_annual AS (SELECT MEMBER_ID, CAST(left(CLM_FROM_DT, 4) AS INTEGER) AS YEAR, {sums} "
             f"FROM {side}_lines GROUP BY 1, 2)")
@@ -327,12 +327,12 @@ def normal_quantile(p: str) -> str:
 EXACT = ", CASE WHEN {p} > 0 AND {p} < 1 THEN round(" + normal_quantile("QQ").replace("QQ", "{p}") + " + 1.5::DOUBLE, 6) END AS SIX_SIGMA"
 
 RECOMMEND_COUNTS = (
-    ("missing_members", 4, "DATA LOSS", "Verify ETL completeness and investigate potential data loss."),
+    ("missing_members", 4, "DATA LOSS", "Hold the extract against the load: members are absent from one side."),
     ("member_defect_rows", 5, "DATA DISCREPANCIES",
-     "Review ingestion logs and verify source-to-target mapping at the field level."),
-    ("missing_claims", 6, "DATA LOSS", "Review ingestion logs and verify source-to-target mapping."),
+     "Compare how each differing column is filled on either side."),
+    ("missing_claims", 6, "DATA LOSS", "Hold the extract against the load: claims are absent from one side."),
     ("claim_defect_rows", 7, "DATA DISCREPANCIES",
-     "Review ingestion logs and verify source-to-target mapping at the field level."),
+     "Compare how each differing column is filled on either side."),
 )
 
 
@@ -343,15 +343,15 @@ def recommendations() -> str:
         column_quality("claims"), families("claims"), deltas("claims"), rollup("claims"), totals("claims"), impact("claims"),
     ) + f"""
 SELECT 1 AS position, CASE WHEN SIGMA_LEVEL < 3 THEN 'CRITICAL' ELSE 'HIGH PRIORITY' END AS priority, SUBJECT AS subject,
-  SIGMA_LEVEL AS value, CASE WHEN SIGMA_LEVEL < 3 THEN 'Immediate root cause analysis required.'
-    ELSE 'Target 4 sigma or higher before production deployment.' END AS advice
+  SIGMA_LEVEL AS value, CASE WHEN SIGMA_LEVEL < 3 THEN 'Find out where the defects come from and load this table again.'
+    ELSE 'Bring this table to 4 sigma before the switch.' END AS advice
 FROM ({QUALITY_BOTH}) WHERE SIGMA_LEVEL < 4
 UNION ALL
 SELECT 2, 'FOCUS AREA', FIELD_FAMILY, TOTAL_DEFECTS::DOUBLE,
-  'Prioritize data cleansing and transformation logic review for this field.'
+  'Most defects are in these columns: look at how they are filled.'
 FROM (SELECT * FROM claims_families ORDER BY TOTAL_DEFECTS DESC, FIELD_FAMILY LIMIT 1)
 UNION ALL
-SELECT 3, 'FINANCIAL PRIORITY', FIELD_FAMILY, round(RUNNING_PCT_OF_TOTAL, 6), 'Address this field first for maximum impact.'
+SELECT 3, 'FINANCIAL PRIORITY', FIELD_FAMILY, round(RUNNING_PCT_OF_TOTAL, 6), 'Most of the money that differs is here: begin with it.'
 FROM (SELECT * FROM claims_impact ORDER BY FINANCIAL_VARIANCE DESC, FIELD_FAMILY LIMIT 1) WHERE RUNNING_PCT_OF_TOTAL > 0.3
 UNION ALL
 SELECT r.position, r.priority, m.metric, m.n_rows::DOUBLE, r.advice
@@ -367,23 +367,42 @@ def oracle_sql() -> dict[str, str]:
     q["s01_csv_load"] = ONLY["members"] + f"SELECT {m_all} FROM src_members"
     q["s02_multi_file_union"] = ONLY["members"] + (
         "SELECT YEAR, count(*) AS n_rows, CAST(sum(COVER_MONS) AS BIGINT) AS months, "
-        "CAST(sum(CAST(REIMB_AMT AS DECIMAL(18,2))) AS DOUBLE) AS reimbursed FROM new_members GROUP BY YEAR")
+        "CAST(sum(CAST(REIMB_AMT AS DECIMAL(38,6))) AS DOUBLE) AS reimbursed FROM new_members GROUP BY YEAR")
     q["s03_null_cleaning"] = ONLY["members"] + (
         "SELECT count(*) AS n_rows, count(DEATH_DT) AS with_death, count(SEGMENT_CD) AS with_segment, count(REIMB_AMT) AS with_reimb, "
         "count(RESP_AMT) AS with_resp FROM new_members")
     q["s04_incremental_load"] = ONLY["claims"] + (
         "SELECT count(*) AS n_rows, count(DISTINCT CLM_ID) AS n_claims, "
-        "CAST(sum(CAST(LINE_PMT_AMT_1 AS DECIMAL(18,2))) AS DOUBLE) AS paid FROM src_claims")
+        "CAST(sum(CAST(LINE_PMT_AMT_1 AS DECIMAL(38,6))) AS DOUBLE) AS paid FROM src_claims")
     q["s05_state_lookup"] = with_ctes(MEMBERS, STATES) + (
         "SELECT coalesce(name, 'Unknown') AS STATE_NAME, count(*) AS n_rows FROM src_members LEFT JOIN states ON STATE_CODE = code GROUP BY 1")
-    control = ("SELECT '{n}' AS check, coalesce(CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE), 0) AS file_total, "
-               "coalesce(CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE), 0) AS table_total, 0::DOUBLE AS diff, true AS is_match FROM {t}")
+    control = ("SELECT '{n}' AS check, coalesce(CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE), 0) AS file_total, "
+               "coalesce(CAST(sum(CAST({c} AS DECIMAL(38,6))) AS DOUBLE), 0) AS table_total, 0::DOUBLE AS diff, 0::BIGINT AS n_rejected, true AS is_match FROM {t}")
     q["s06_control_totals"] = BOTH + "\nUNION ALL\n".join([
         control.format(n="source members", c="COVER_MONS", t="src_members"),
         control.format(n="new members", c="COVER_MONS", t="new_members"),
         control.format(n="source claims", c="LINE_PMT_AMT_1", t="src_claims"),
         control.format(n="new claims", c="LINE_PMT_AMT_1", t="new_claims"),
     ])
+    q["s06_control_totals_mismatch"] = ONLY["members"] + """
+SELECT *, abs(file_total - table_total) AS diff, abs(file_total - table_total) < 0.1 AND n_rejected = 0 AS is_match FROM (
+  SELECT 'reimbursed' AS check, CAST(sum(CAST(REIMB_AMT AS DECIMAL(38,6))) FILTER (YEAR <> 1996) AS DOUBLE) AS file_total,
+    CAST(sum(CAST(REIMB_AMT AS DECIMAL(38,6))) FILTER (YEAR <> 1996 AND COVER_MONS <> 1) AS DOUBLE) AS table_total,
+    count(REIMB_AMT) FILTER (YEAR = 1996) AS n_rejected FROM src_members
+  UNION ALL
+  SELECT 'months', CAST(sum(COVER_MONS) AS DOUBLE), CAST(sum(COVER_MONS) AS DOUBLE), 0 FROM src_members
+)"""
+    q["s01_csv_quoted_values"] = "SELECT doc_id, text, lang FROM documents"
+    decoded = "SELECT coalesce(d, 'Unknown') AS description, count(*) AS n_rows FROM customer LEFT JOIN (VALUES {v}) AS l(c, d) ON l.c = {code} GROUP BY 1"
+    q["s05_sex_lookup"] = decoded.format(v="(1, 'Male'), (2, 'Female')", code="c_custkey % 3 + 1")
+    q["s05_race_lookup"] = decoded.format(
+        v="(1, 'White'), (2, 'Black'), (3, 'Other'), (4, 'Asian/Pacific Islander'), (5, 'Hispanic'), (6, 'North American Native')", code="c_nationkey % 8")
+    q["s05_formulas"] = with_ctes(CLAIMS, lines("src")) + """
+SELECT 'PAID_AND_TAX' AS variable_name, 'Paid with deductible' AS label, CAST(sum(CAST(LINE_PMT_AMT + LINE_DDCT_AMT AS DECIMAL(38,6))) AS DOUBLE) AS total FROM src_lines
+UNION ALL SELECT 'ALLOWED', 'Allowed', CAST(sum(CAST(LINE_ALLOW_AMT AS DECIMAL(38,6))) AS DOUBLE) FROM src_lines"""
+    q["s05_variable_labels"] = ONLY["members"] + "\nUNION ALL\n".join(
+        f"SELECT '{f}' AS field_name, 'Column {i}, {f.lower()}' AS label, count(*) AS error_count FROM src_members s JOIN new_members n USING (MEMBER_ID, YEAR) "
+        f"WHERE s.{f} IS DISTINCT FROM n.{f} HAVING count(*) > 0" for i, f in enumerate(MEMBER_FIELDS, 1))
     q["s07_table_counts"] = BOTH + "\nUNION ALL\n".join(
         f"SELECT '{side}_{t}' AS table_name, count(*) AS n_rows FROM {side}_{t}" for t in TABLES for side in ("src", "new"))
     q["s08_row_count_comparison"] = BOTH + "\nUNION ALL\n".join(
@@ -458,7 +477,7 @@ def oracle_sql() -> dict[str, str]:
              "round(FINANCIAL_VARIANCE / sum(FINANCIAL_VARIANCE) OVER (), 9) AS SHARE_OF_TOTAL FROM {t}_impact")
     q["f09_claim_impact_shares"] = amount_query("claims", share.format(t="claims"), rollup, totals, impact)
     q["f09_member_impact_shares"] = amount_query("members", share.format(t="members"), rollup, totals, impact)
-    net = ", ".join(f"CAST(sum(CAST(delta_{a} AS DECIMAL(18,2))) AS DOUBLE) AS {a}" for a in MEMBER_AMOUNTS)
+    net = ", ".join(f"CAST(sum(CAST(delta_{a} AS DECIMAL(38,6))) AS DOUBLE) AS {a}" for a in MEMBER_AMOUNTS)
     q["f10_member_net_totals"] = amount_query(
         "members", f"UNPIVOT (SELECT {net} FROM members_deltas) ON COLUMNS(*) INTO NAME amount VALUE net_delta")
 
@@ -487,12 +506,29 @@ def oracle_sql() -> dict[str, str]:
     q["r05_claim_lines"] = with_ctes(CLAIMS, lines("src")) + "SELECT * FROM src_lines"
     q["r06_valid_lines"] = with_ctes(CLAIMS, lines("new")) + (
         f"SELECT coalesce({LINE_VALID}, false) AS is_valid, count(*) AS n_lines, "
-        "CAST(sum(CAST(LINE_ALLOW_AMT AS DECIMAL(18,2))) AS DOUBLE) AS allowed FROM new_lines GROUP BY 1")
+        "CAST(sum(CAST(LINE_ALLOW_AMT AS DECIMAL(38,6))) AS DOUBLE) AS allowed FROM new_lines GROUP BY 1")
+    rules = (("CALC_ALLOWED", "LINE_IND_CD = 'A'", "LINE_ALLOW_AMT"), ("CALC_COINS", "true", "LINE_COINS_AMT + LINE_DDCT_AMT"),
+             ("CALC_SHARE", "LINE_IND_CD IN ('R', 'N')", "LINE_PMT_AMT - nullif(LINE_PRPAY_AMT, 0) / 2"))
+    sums = ", ".join(f"coalesce(CAST(sum(CAST(CASE WHEN {c} THEN {v} ELSE 0 END AS DECIMAL(38,6))) AS DOUBLE), 0) AS {m}" for m, c, v in rules)
+    q["r07_annual_measures_from_rules"] = with_ctes(CLAIMS, lines("src")) + (
+        f"SELECT MEMBER_ID, YEAR, CALC_ALLOWED, CALC_COINS, CALC_SHARE FROM (SELECT MEMBER_ID, CAST(left(CLM_FROM_DT, 4) AS INTEGER) AS YEAR, {sums} "
+        "FROM src_lines GROUP BY 1, 2)")
+    fine = """WITH fine AS (
+  SELECT l_orderkey AS ORDER_ID, l_linenumber AS LINE_NUM, max(l_extendedprice) * max(l_discount) * max(l_tax) AS charge FROM lineitem GROUP BY 1, 2
+), deltas AS (
+  SELECT ORDER_ID, LINE_NUM, abs(charge + 0.004::DOUBLE - charge) AS d FROM fine WHERE LINE_NUM % 3 = 0
+)
+"""
+    q["f03_delta_rollup_fine_amounts"] = fine + (
+        "SELECT ORDER_ID, LINE_NUM, CAST(CAST(d AS DECIMAL(38,6)) AS DOUBLE) AS abs_delta_CHARGE, 0::DOUBLE AS abs_delta_TAX_PART FROM deltas WHERE CAST(d AS DECIMAL(38,6)) > 0")
+    q["f05_field_totals_fine_amounts"] = fine + (
+        "SELECT 'abs_delta_CHARGE' AS metric_name, round(CAST(sum(CAST(d AS DECIMAL(38,6))) AS DOUBLE), 2) AS total_abs_delta FROM deltas "
+        "UNION ALL SELECT 'abs_delta_TAX_PART', 0 FROM deltas HAVING count(*) > 0")
     q["r07_annual_measures"] = with_ctes(CLAIMS, lines("src"), annual("src")) + "SELECT * FROM src_annual"
 
     def recomputed(side):
-        reported = f"(SELECT coalesce(sum(CAST(REIMB_AMT AS DECIMAL(18,2))), 0) FROM {side}_members WHERE YEAR BETWEEN 1996 AND 1998)"
-        calculated = f"(SELECT coalesce(sum(CAST(CALC_REIMB AS DECIMAL(18,2))), 0) FROM {side}_annual)"
+        reported = f"(SELECT coalesce(sum(CAST(REIMB_AMT AS DECIMAL(38,6))), 0) FROM {side}_members WHERE YEAR BETWEEN 1996 AND 1998)"
+        calculated = f"(SELECT coalesce(sum(CAST(CALC_REIMB AS DECIMAL(38,6))), 0) FROM {side}_annual)"
         return (f"SELECT '{side}' AS system, CAST({reported} AS DOUBLE) AS reported_total, CAST({calculated} AS DOUBLE) AS recomputed_total, "
                 f"round(abs(CAST({reported} AS DOUBLE) - CAST({calculated} AS DOUBLE)), 2) AS difference")
 
@@ -514,11 +550,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT * FROM members_families ORDER BY TOTAL_DEFECTS DESC, FIELD_FAMILY LIMIT 5")
     q["g04_recommendations"] = recommendations()
     verdicts = {
-        "World-class": "No remedial action required.",
-        "Excellent": "Little remedial action required depending on severity of identified discrepancies.",
-        "Good": "Remedial action required.",
-        "Acceptable": "Significant improvements are needed in specific areas before production deployment.",
-        "Needs Attention": "DO NOT PROCEED with production cutover until critical issues are resolved.",
+        "World-class": "Nothing to mend.",
+        "Excellent": "Look through the few differences and mend those that matter.",
+        "Good": "Mend the differences found.",
+        "Acceptable": "Mend the weakest columns before the switch.",
+        "Needs Attention": "Do not switch systems with this data.",
     }
     verdict = "CASE grade " + " ".join(f"WHEN '{g}' THEN '{v}'" for g, v in verdicts.items()) + " END"
     q["g05_conclusion"] = both_flags + (

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from helpers import SCHEMA, pair_of, rows_of
+from twinledger.model import TablePair, TableSpec
 from twinledger.operators import amounts, fields, keys, lines, quality, rows, scorecard
 
 KEYS = [(i, y) for i in ("a", "b", "c", None) for y in (1, 2)]
@@ -273,3 +274,41 @@ def test_all_pairs_of_presence_for_payments(spark):
     assert got(False) == [("1", "Matched", "AL", 1.0), ("4", "New Only", "Unknown/Orphan", -4.0)]
     fan = [("1", "Matched", s, 1.0) for s, _ in itertools.product(("AK", "AL"), range(2))]
     assert got(True) == [*fan, ("4", "New Only", "Unknown/Orphan", -4.0)]
+
+
+def test_fractions_of_a_cent_are_summed_before_they_are_rounded(spark):
+    data = [(str(i), 1, "x", 1.0, 1e17) for i in range(100)]
+    pair = pair_of(spark, data, [(i, y, c, 1.004, 1e17 + 1e6) for i, y, c, _, _ in data])
+    totals = {r["metric_name"]: r["total_abs_delta"] for r in amounts.field_totals(pair).collect()}
+    assert totals == {"abs_delta_amt_1": 0.4, "abs_delta_amt_2": 1e8}
+    assert {round(r["abs_delta_amt_1"], 6) for r in amounts.delta_rollup(pair).collect()} == {0.004}
+
+
+def test_fingerprints_see_nulls_of_every_type(spark):
+    import datetime
+    import decimal
+
+    values = {"date": datetime.date(2020, 1, 1), "boolean": True, "timestamp": datetime.datetime(2020, 1, 1), "decimal(10,2)": decimal.Decimal("1.50"), "double": 2.5, "string": "s"}
+    for kind, value in values.items():
+        schema = f"id int, a {kind}, b {kind}"
+        spec = TableSpec("T", keys=("id",), fields=("a", "b"))
+        pair = TablePair(spec, spark.createDataFrame([(1, None, value), (2, value, value)], schema), spark.createDataFrame([(1, value, None), (2, value, value)], schema))
+        for mode in ("coalesce", "distinct"):
+            changed = {r["id"] for r in keys.key_census(pair, mode).where("is_changed").collect()}
+            assert changed == {1}, (kind, mode)
+
+
+def test_the_census_sees_amounts_outside_the_fields(spark):
+    spec = TableSpec("T", keys=("id",), fields=("a",), amounts=("m",))
+    pair = TablePair(spec, spark.createDataFrame([(1, "x", 5.0, "p")], "id int, a string, m double, other string"),
+                     spark.createDataFrame([(1, "x", 9.0, "p")], "id int, a string, m double, other string"))
+    assert amounts.field_totals(keys.changed_pair(pair, keys.key_census(pair))).collect()[0]["total_abs_delta"] == 4.0
+    other = TablePair(spec, pair.src, pair.src.withColumn("other", F.lit("q")))
+    assert keys.key_census(other, "distinct", keys.other_columns(other)).where("is_changed").count() == 1
+
+
+def test_a_slot_without_a_number_leaves_the_others(spark):
+    layout = lines.LineLayout(("V", "I"), 3)
+    claims = spark.createDataFrame([("m", "20080101", 5.0, None, float("nan"), "A", "A", "A")], "member string, day string, V_1 double, V_2 double, V_3 double, I_1 string, I_2 string, I_3 string")
+    found = lines.annual_measures(claims, layout, [lines.Measure("total", "V", "I = 'A'")], "member", "day").collect()
+    assert [r["total"] for r in found] == [5.0]

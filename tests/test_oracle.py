@@ -6,8 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import compare, connect
+from oracle import queries_sql
+from twinledger.plans import catalogue
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalogue.queries(), queries_sql.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql_and_the_other_way_round():
     assert sorted(QUERIES) == sorted(SQL)
+    assert QUERIES.keys() <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

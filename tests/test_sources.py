@@ -23,7 +23,7 @@ def write(path, text):
 
 def test_csv_is_read_by_name_cleaned_and_typed(spark, tmp_path):
     a = write(tmp_path / "a.csv", "amt,id\n1.5,x\nnan,NaN\n,y\noops,z\n")
-    df = tables.read_csv_table(spark, a, SCHEMA, {"YEAR": 2008})
+    df = tables.read_csv_table(spark, a, SCHEMA, {"YEAR": 2008}, on_bad="null")
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in SCHEMA]
     assert rows_of(df) == [(None, 2008, None), ("x", 2008, 1.5), ("y", 2008, None), ("z", 2008, None)]
     raw = tables.with_constants(tables.read_text_csv(spark, a), {"YEAR": 2008})
@@ -48,11 +48,39 @@ def test_control_totals(spark, tmp_path):
     raw = tables.read_text_csv(spark, write(tmp_path / "a.csv", "id,amt\nx,1.25\ny,nan\nz,2\n"))
     table = spark.createDataFrame([("x", 1.25), ("z", 2.0)], "id string, amt double")
     totals = controls.control_totals([controls.ControlTotal("ok", raw, table, "amt"), controls.ControlTotal("lost", raw, table.where("id = 'x'"), "amt")])
-    assert rows_of(totals) == [("lost", 3.25, 1.25, 2.0, False), ("ok", 3.25, 3.25, 0.0, True)]
+    assert rows_of(totals) == [("lost", 3.25, 1.25, 2.0, 0, False), ("ok", 3.25, 3.25, 0.0, 0, True)]
     with pytest.raises(ValueError, match="lost"):
         controls.require_match(totals)
 
 
+def test_values_that_do_not_fit_fail_the_load_and_the_control(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "id,amt\nx,$7\ny,10.5\n")
+    with pytest.raises(Exception, match="amt: not double"):
+        tables.read_csv_table(spark, path, SCHEMA, {"YEAR": 2008}).collect()
+    raw = tables.read_text_csv(spark, path)
+    table = tables.read_csv_table(spark, path, SCHEMA, {"YEAR": 2008}, on_bad="null")
+    assert rows_of(controls.control_totals([controls.ControlTotal("x", raw, table, "amt")])) == [("x", 10.5, 10.5, 0.0, 1, False)]
+
+
+def test_quotes_and_line_breaks_and_empty_texts_survive(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("amt", T.DoubleType())])
+    data = [('Smith "Al", Jr', 5.0), ("two\nlines", 6.0), ("", 7.0), ("  ", None), (None, 8.0)]
+    tables.write_csv(spark.createDataFrame(data, schema), str(tmp_path / "out"))
+    back = tables.read_csv_table(spark, str(tmp_path / "out"), schema, null_tokens=(), multi_line=True)
+    assert rows_of(back) == sorted(data, key=lambda row: tuple((v is not None, str(v)) for v in row))
+    with pytest.raises(ValueError, match="line breaks"):
+        tables.read_text_csv(spark, str(tmp_path / "out"))
+
+
+@pytest.mark.parametrize("row", ["x", "x,1,2"])
+def test_ragged_rows_fail_or_are_reported(spark, tmp_path, row):
+    path = write(tmp_path / "a.csv", f"id,amt\n{row}\ny,2\n")
+    with pytest.raises(Exception):
+        tables.read_text_csv(spark, path).collect()
+    found = tables.read_text_csv(spark, path, on_malformed="report")
+    assert [r[tables.CORRUPT] for r in found.collect()] == [row, None]
+
+
 def test_lookups(spark, tmp_path):
     assert lookups.state_lookup(spark).count() == 52 and lookups.sex_lookup(spark).count() == 2 and lookups.race_lookup(spark).count() == 6
     formulas = [{"Variable names": "PAID", "Labels": "Paid", "Sum of": "A + B", "Type": "NUM"}]

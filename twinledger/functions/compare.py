@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NULL_MODES = ("coalesce", "distinct", "plain")
-# Fixed value: money is kept in cents.
-MONEY = T.DecimalType(18, 2)
+# What amounts are added up in: exact whatever the order, with fractions of a cent.
+MONEY = T.DecimalType(38, 6)
 
 
 def quoted(name: str) -> str:
@@ -70,7 +70,7 @@ def amount_or_zero(column: str, data_type: T.DataType) -> str:
 
 
 def money_sum(value: Column) -> Column:
-    """A sum in cents, so that the result does not depend on the order in which partitions are added up."""
+    """A sum of unrounded amounts as decimals, so that it does not depend on the order in which partitions are added up."""
     return F.sum(value.cast(MONEY)).cast("double")
 
 

@@ -45,10 +45,10 @@ def matched_deltas(pair: TablePair) -> DataFrame:
 
 
 def delta_rollup(pair: TablePair, group_keys: Sequence[str] | None = None) -> DataFrame:
-    """Absolute deltas summed per group, for groups with any."""
+    """Absolute deltas summed per group, for groups whose deltas add up to more than 0."""
     names = [f"abs_delta_{a}" for a in pair.spec.amounts]
     grouped = matched_deltas(pair).groupBy(*(group_keys or pair.spec.keys))
-    return grouped.agg(*[money_sum(F.col(n)).alias(n) for n in names])
+    return grouped.agg(*[money_sum(F.col(n)).alias(n) for n in names]).where(any_of([f"`{n}` > 0" for n in names]))
 
 
 def field_totals(pair: TablePair) -> DataFrame:

@@ -107,16 +107,16 @@ def amount_differences(pair: TablePair, amount: str) -> DataFrame:
 def column_profile(pair: TablePair) -> DataFrame:
     """Per field: matched rows that differ, in numbers and in percent of all source rows; fields with none left out.
 
-    Fields are counted side by side in one aggregate and turned into rows afterwards.
+    Fields are counted side by side in one aggregate and turned into rows afterwards; the same join counts the source rows.
     """
     fields = pair.spec.fields
-    joined = join_sides(pair, "inner")
-    counts = joined.agg(*[F.expr(f"count_if({side_differs(f, pair.type_of(f), 'distinct')}) AS {quoted(f)}") for f in fields])
-    src_rows = pair.src.agg(F.count("*")).scalar()
-    stacked = as_rows(counts, "field_name", {"error_count": {f: f for f in fields}})
+    joined = join_sides(pair, "left_outer")
+    differing = [F.expr(f"count_if({IN_NEW} AND {side_differs(f, pair.type_of(f), 'distinct')}) AS {quoted(f)}") for f in fields]
+    counts = joined.agg(F.count("*").alias("__src_rows"), *differing)
+    stacked = as_rows(counts, "field_name", {"error_count": {f: f for f in fields}, "__src_rows": {f: "__src_rows" for f in fields}})
     return (
         stacked.where("error_count > 0")
-        .withColumn("error_pct", F.round(ratio(F.col("error_count") * 100, src_rows), 2))
+        .withColumn("error_pct", F.round(ratio(F.col("error_count") * 100, F.col("__src_rows")), 2)).drop("__src_rows")
         .orderBy(F.desc("error_count"), "field_name")
     )
 

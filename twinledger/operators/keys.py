@@ -92,26 +92,31 @@ def join_sides(pair: TablePair, how: str, columns: Sequence[str] | Mapping[str,
     return joined.selectExpr(*[f"coalesce(`{k}`, `__{k}`) AS `{k}`" for k in keys], *map(quoted, values), IN_SRC, IN_NEW)
 
 
-def fingerprint(pair: TablePair, null_mode: str) -> list[Column]:
-    """Two independent 64-bit hashes of the compared values of a row.
+def fingerprint(pair: TablePair, null_mode: str, columns: Sequence[str] | None = None) -> list[Column]:
+    """Two independent 64-bit hashes of the compared values of a row: of ``columns``, by default fields and amounts.
 
-    NULLs are hashed as what they count as; where they count as themselves, the pattern of NULLs is hashed too.
+    NULLs are hashed as what they count as. Hashes skip a NULL that counts as itself, so its place is hashed too.
     """
-    fields = pair.spec.fields
-    values = [normalised(quoted(f), pair.type_of(f), null_mode) for f in fields]
-    if null_mode != "coalesce":
-        values += [f"{quoted(f)} IS NULL" for f in fields]
+    columns = list(dict.fromkeys((*pair.spec.fields, *pair.spec.amounts))) if columns is None else columns
+    values = [normalised(quoted(f), pair.type_of(f), null_mode) for f in columns]
+    values += [f"{quoted(f)} IS NULL" for f, value in zip(columns, list(values)) if value == quoted(f)]
     return [F.expr(f"xxhash64({seed}, {', '.join(values)})") for seed in (1, 2)]
 
 
-def key_census(pair: TablePair, null_mode: str = "coalesce") -> DataFrame:
-    """One row per key of either side with ``n_src``, ``n_new`` and ``is_changed``.
+def other_columns(pair: TablePair) -> list[str]:
+    """Columns of both sides that are no keys."""
+    return [c for c in pair.src.columns if c in pair.new.columns and c not in pair.spec.keys]
+
+
+def key_census(pair: TablePair, null_mode: str = "coalesce", columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per key of either side with ``n_src``, ``n_new`` and ``is_changed``, which is about ``columns``, by default
+    fields and amounts.
 
     Only the keys and two hashes are shuffled, whatever the width of the table, and copies of a row are combined before
     the shuffle. ``is_changed`` is FALSE only where both sides have the key and all hashes agree.
     """
     keys = pair.spec.keys
-    prints = fingerprint(pair, null_mode)
+    prints = fingerprint(pair, null_mode, columns)
 
     def narrow(df: DataFrame, is_src: int) -> DataFrame:
         return df.select(*keys, *[p.alias(f"h{i}") for i, p in enumerate(prints)], F.lit(is_src).alias("is_src"))

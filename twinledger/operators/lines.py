@@ -91,7 +91,8 @@ def annual_measures(claims: DataFrame, layout: LineLayout, measures: Sequence[Me
     per_claim = claims.select(
         F.col(member),
         F.left(F.col(from_date), F.lit(4)).try_cast("int").alias(year),
-        *[F.expr(" + ".join(m.sql(layout, i) for i in range(1, layout.n_slots + 1))).alias(m.name) for m in measures],
+        # A slot without a number adds nothing; it must not take the others of its claim with it.
+        *[F.expr(" + ".join(f"coalesce(nanvl(CAST({m.sql(layout, i)} AS DOUBLE), 0D), 0D)" for i in range(1, layout.n_slots + 1))).alias(m.name) for m in measures],
     )
     return per_claim.groupBy(member, year).agg(*[money_sum(F.col(m.name)).alias(m.name) for m in measures])
 

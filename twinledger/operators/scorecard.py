@@ -21,20 +21,20 @@ CRITICAL_ABOVE = {
 CRITICAL_SIGMA = 3.0
 TARGET_SIGMA = 4.0
 PRIORITY_SHARE = 0.3
-# Recommendation per finding whose count is critical.
+# Recommendation per finding whose count is critical.
 COUNT_ADVICE = {
-    "missing_members": ("DATA LOSS", "Verify ETL completeness and investigate potential data loss."),
-    "member_defect_rows": ("DATA DISCREPANCIES", "Review ingestion logs and verify source-to-target mapping at the field level."),
-    "missing_claims": ("DATA LOSS", "Review ingestion logs and verify source-to-target mapping."),
-    "claim_defect_rows": ("DATA DISCREPANCIES", "Review ingestion logs and verify source-to-target mapping at the field level."),
+    "missing_members": ("DATA LOSS", "Hold the extract against the load: members are absent from one side."),
+    "member_defect_rows": ("DATA DISCREPANCIES", "Compare how each differing column is filled on either side."),
+    "missing_claims": ("DATA LOSS", "Hold the extract against the load: claims are absent from one side."),
+    "claim_defect_rows": ("DATA DISCREPANCIES", "Compare how each differing column is filled on either side."),
 }
-# The conclusion per grade.
+# The conclusion per grade.
 CONCLUSIONS = {
-    "World-class": "No remedial action required.",
-    "Excellent": "Little remedial action required depending on severity of identified discrepancies.",
-    "Good": "Remedial action required.",
-    "Acceptable": "Significant improvements are needed in specific areas before production deployment.",
-    "Needs Attention": "DO NOT PROCEED with production cutover until critical issues are resolved.",
+    "World-class": "Nothing to mend.",
+    "Excellent": "Look through the few differences and mend those that matter.",
+    "Good": "Mend the differences found.",
+    "Acceptable": "Mend the weakest columns before the switch.",
+    "Needs Attention": "Do not switch systems with this data.",
 }
 
 
@@ -85,19 +85,19 @@ def recommendations(quality: DataFrame, families: DataFrame, impact: DataFrame,
         F.when(sigma < CRITICAL_SIGMA, "CRITICAL").otherwise("HIGH PRIORITY").alias("priority"),
         F.col("SUBJECT").alias("subject"),
         sigma.alias("value"),
-        F.when(sigma < CRITICAL_SIGMA, "Immediate root cause analysis required.")
-        .otherwise("Target 4 sigma or higher before production deployment.").alias("advice"),
+        F.when(sigma < CRITICAL_SIGMA, "Find out where the defects come from and load this table again.")
+        .otherwise("Bring this table to 4 sigma before the switch.").alias("advice"),
     )
     focus = top_families(families, 1).select(
         F.lit(2).alias("position"), F.lit("FOCUS AREA").alias("priority"), F.col("FIELD_FAMILY").alias("subject"),
         F.col("TOTAL_DEFECTS").cast("double").alias("value"),
-        F.lit("Prioritize data cleansing and transformation logic review for this field.").alias("advice"),
+        F.lit("Most defects are in these columns: look at how they are filled.").alias("advice"),
     )
     largest = impact.orderBy(F.desc("FINANCIAL_VARIANCE"), "FIELD_FAMILY").limit(1)
     financial = largest.where(F.col("RUNNING_PCT_OF_TOTAL") > PRIORITY_SHARE).select(
         F.lit(3).alias("position"), F.lit("FINANCIAL PRIORITY").alias("priority"), F.col("FIELD_FAMILY").alias("subject"),
         F.col("RUNNING_PCT_OF_TOTAL").alias("value"),
-        F.lit("Address this field first for maximum impact.").alias("advice"),
+        F.lit("Most of the money that differs is here: begin with it.").alias("advice"),
     )
     advised = metrics.where(F.col("n_rows") > _lookup("metric", {m: critical_above[m] for m in COUNT_ADVICE}))
     by_count = advised.select(

@@ -5,17 +5,21 @@ Ratios are rounded so that results can be compared across engines; the operators
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinledger.functions.shape import as_rows
 from twinledger.functions.sigma import sigma_approx, sigma_exact
+from twinledger.model import TablePair
 from twinledger.operators import amounts, fields, keys, lines, quality, rows, scorecard
 from twinledger.plans import derived_pairs as pairs
+from twinledger.plans.reconciliation import Comparison, compare
 from twinledger.session import scratch_dir
-from twinledger.sources import controls, tables
+from twinledger.sources import controls, lookups, tables
 from twinledger.streaming.incremental import load_new_csv_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +109,62 @@ def s06_control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return controls.control_totals(checks)
 
 
+def s06_control_totals_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members whose files hold amounts with a currency sign, which are no numbers, and of which the load lost some."""
+    members = pairs.members_pair(spark, sf_dir).src
+    text = members.withColumn("REIMB_AMT", F.when(F.col("YEAR") == 1996, F.concat(F.lit("$"), F.col("REIMB_AMT").cast("string"))).otherwise(F.col("REIMB_AMT").cast("string")))
+    raw = tables.read_text_csv(spark, _csv_copy(spark, text, "members-signs"))
+    loaded = tables.typed(raw, members.schema, on_bad="null")
+    checks = [controls.ControlTotal("reimbursed", raw, loaded.where("COVER_MONS <> 1"), "REIMB_AMT"), controls.ControlTotal("months", raw, loaded, "COVER_MONS")]
+    return controls.control_totals(checks)
+
+
+def s01_csv_quoted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, commas and line breaks, written as CSV and loaded again."""
+    docs = pairs.read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return tables.read_csv_table(spark, _csv_copy(spark, docs, "documents"), docs.schema, null_tokens=(), multi_line=True)
+
+
+def _decoded(codes: DataFrame, lookup: DataFrame) -> DataFrame:
+    named = codes.groupBy("code").agg(F.count("*").alias("n")).join(lookup, "code", "left_outer")
+    return named.groupBy(F.coalesce("description", F.lit("Unknown")).alias("description")).agg(F.sum("n").alias("n_rows"))
+
+
+def s05_sex_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by a code out of their key, decoded; one code in three is unknown."""
+    customers = pairs.read(spark, sf_dir, "customer")
+    return _decoded(customers.select((F.col("c_custkey") % 3 + 1).cast("string").alias("code")), lookups.sex_lookup(spark))
+
+
+def s05_race_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = pairs.read(spark, sf_dir, "customer")
+    return _decoded(customers.select((F.col("c_nationkey") % 8).cast("string").alias("code")), lookups.race_lookup(spark))
+
+
+def s05_formulas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formulas read from a JSON file, evaluated over all claim lines and summed."""
+    path = scratch_dir(spark, "formulas")
+    entries = [("PAID_AND_TAX", "Paid with deductible", "LINE_PMT_AMT + LINE_DDCT_AMT"), ("ALLOWED", "Allowed", "LINE_ALLOW_AMT")]
+    listed = [{"Variable names": n, "Labels": label, "Sum of": logic, "Type": "NUM"} for n, label, logic in entries]
+    spark.createDataFrame([(json.dumps(listed),)], "value string").coalesce(1).write.text(path)
+    formulas = lookups.read_payment_formulas(spark, path)
+    long = lines.explode_lines(pairs.claims_pair(spark, sf_dir).src, pairs.LINES, ("CLM_ID",))
+    rules = lines.measures_from(formulas.select(F.col("variable_name").alias("name"), F.col("calculation_logic").alias("value_expr"), F.lit(None).cast("string").alias("cond_expr")))
+    sums = lines.apply_measures(long, rules).agg(*[amounts.money_sum(F.col(r.name)).alias(r.name) for r in rules])
+    stacked = as_rows(sums, "variable_name", {"total": {r.name: r.name for r in rules}})
+    return stacked.join(formulas.select("variable_name", "label"), "variable_name")
+
+
+def s05_variable_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column profile of members with the label of each column, out of a label file."""
+    path = scratch_dir(spark, "labels")
+    labels = [(f"Members, {i}, {c}, Column {i}, {c.lower()}",) for i, c in enumerate(pairs.MEMBER_SPEC.fields, 1)]
+    spark.createDataFrame([("File Source, #, Variable Names, Labels",), *labels], "value string").coalesce(1).write.text(path)
+    profile = fields.column_profile(pairs.members_pair(spark, sf_dir))
+    named = lookups.read_variable_labels(spark, path).select(F.col("variable_name").alias("field_name"), "label")
+    return profile.join(named, "field_name", "left_outer").select("field_name", "label", "error_count")
+
+
 def s07_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims, members = pairs.claims_pair(spark, sf_dir), pairs.members_pair(spark, sf_dir)
     return rows.table_counts({
@@ -119,7 +179,7 @@ def s08_row_count_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s09_csv_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A result written as CSV and read back."""
     found = rows.claim_mismatches(pairs.claims_pair(spark, sf_dir), "CLM_ID")
-    return tables.read_csv_table(spark, _csv_copy(spark, found, "claim-mismatches"), found.schema)
+    return tables.read_csv_table(spark, _csv_copy(spark, found, "claim-mismatches"), found.schema, null_tokens=())
 
 
 def s10_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,8 +231,12 @@ def _defects(make_pair: Callable, spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def _payments(fanout: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _payments_of(pairs.claims_pair(spark, sf_dir), pairs.members_pair(spark, sf_dir), spark, sf_dir, fanout)
+
+
+def _payments_of(claims: TablePair, members: TablePair, spark: SparkSession, sf_dir: str, fanout: bool) -> DataFrame:
     return lines.line_payment_differences(
-        pairs.claims_pair(spark, sf_dir), pairs.members_pair(spark, sf_dir), pairs.state_names(spark, sf_dir),
+        claims, members, pairs.state_names(spark, sf_dir),
         claim="CLM_ID", member="MEMBER_ID", from_date="CLM_FROM_DT", year="YEAR", state_code="STATE_CODE",
         payment="LINE_PMT_AMT_1", indicator="LINE_IND_CD_1", allowed="LINE_ALLOW_AMT_1", fanout=fanout,
     )
@@ -266,6 +330,19 @@ def r07_annual_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _annual(pairs.claims_pair(spark, sf_dir).src)
 
 
+# A rule table as it may be kept next to the data; no rule guards against NULL itself.
+RULE_ROWS = (
+    ("CALC_ALLOWED", "LINE_ALLOW_AMT", "LINE_IND_CD = 'A'"), ("CALC_COINS", "LINE_COINS_AMT + LINE_DDCT_AMT", None),
+    ("CALC_SHARE", "LINE_PMT_AMT - nullif(LINE_PRPAY_AMT, 0) / 2", "LINE_IND_CD IN ('R', 'N')"),
+)
+
+
+def r07_annual_measures_from_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annual measures out of a rule table."""
+    rules = lines.measures_from(spark.createDataFrame(RULE_ROWS, "name string, value_expr string, cond_expr string"))
+    return lines.annual_measures(pairs.claims_pair(spark, sf_dir).src, pairs.LINES, rules, "MEMBER_ID", "CLM_FROM_DT")
+
+
 def r08_recomputed_vs_reported(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims, members = pairs.claims_pair(spark, sf_dir), pairs.members_pair(spark, sf_dir)
     systems = {"src": (members.src, _annual(claims.src)), "new": (members.new, _annual(claims.new))}
@@ -281,13 +358,23 @@ def a08_line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Scorecard
 
-def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _compared(spark: SparkSession, sf_dir: str) -> tuple[Comparison, Comparison]:
+    """Members and claims, each derived, stored and compared once; the scorecard is then worked out from what changed."""
+    def stored(make_pair: Callable, name: str) -> Comparison:
+        pair, folder = make_pair(spark, sf_dir), scratch_dir(spark, name)
+        kept = TablePair(pair.spec, *(tables.write_table(df, f"{folder}/{side}") for side, df in (("src", pair.src), ("new", pair.new))))
+        return compare(kept, f"{folder}/compared")
+
+    return stored(pairs.members_pair, "members"), stored(pairs.claims_pair, "claims")
+
+
+def _metrics(m: Comparison, c: Comparison, spark: SparkSession, sf_dir: str) -> DataFrame:
     return scorecard.count_metrics({
-        "missing_members": _findings(("missing", "extra"), spark, sf_dir),
-        "member_defect_rows": _defects(pairs.members_pair, spark, sf_dir),
-        "missing_claims": rows.claim_mismatches(pairs.claims_pair(spark, sf_dir), "CLM_ID"),
-        "claim_defect_rows": _defects(pairs.claims_pair, spark, sf_dir),
-        "payment_differences": _payments(False, spark, sf_dir),
+        "missing_members": rows.member_findings(m.changed, "MEMBER_ID", "YEAR", "DEATH_DT", which=("missing", "extra")),
+        "member_defect_rows": fields.field_flags(m.changed, only_defects=True),
+        "missing_claims": rows.claim_mismatches(c.changed, "CLM_ID"),
+        "claim_defect_rows": fields.field_flags(c.changed, only_defects=True),
+        "payment_differences": _payments_of(c.changed, m.whole, spark, sf_dir, fanout=False),
     })
 
 
@@ -296,7 +383,7 @@ def g01_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def g02_count_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scorecard.count_grades(_metrics(spark, sf_dir))
+    return scorecard.count_grades(_metrics(*_compared(spark, sf_dir), spark, sf_dir))
 
 
 def _top_families(make_pair: Callable, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,11 +391,12 @@ def _top_families(make_pair: Callable, spark: SparkSession, sf_dir: str) -> Data
 
 
 def g04_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    advice = scorecard.recommendations(
-        _overall(spark, sf_dir), _families(pairs.claims_pair, spark, sf_dir), _impact(pairs.claims_pair, spark, sf_dir),
-        _metrics(spark, sf_dir),
-    )
-    return rounded(advice, value=6)
+    m, c = _compared(spark, sf_dir)
+    m_counts, c_counts = (quality.changed_defect_counts(side.changed, side.units) for side in (m, c))
+    overall = quality.overall_from_counts(c_counts, c.whole.spec).unionByName(quality.overall_from_counts(m_counts, m.whole.spec))
+    families = quality.family_quality(quality.columns_from_counts(c_counts, c.whole.spec))
+    impact = amounts.family_impact(amounts.field_totals(c.changed), c.whole.spec.subject)
+    return rounded(scorecard.recommendations(overall, families, impact, _metrics(m, c, spark, sf_dir)), value=6)
 
 
 def g05_conclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,11 +421,17 @@ def queries() -> dict[str, Query]:
     by_claim = lambda spark, sf_dir: claims(spark, sf_dir).keyed_by("CLM_ID")
     found: dict[str, Query] = {
         "s01_csv_load": s01_csv_load,
+        "s01_csv_quoted_values": s01_csv_quoted_values,
         "s02_multi_file_union": s02_multi_file_union,
         "s03_null_cleaning": s03_null_cleaning,
         "s04_incremental_load": s04_incremental_load,
         "s05_state_lookup": s05_state_lookup,
+        "s05_sex_lookup": s05_sex_lookup,
+        "s05_race_lookup": s05_race_lookup,
+        "s05_formulas": s05_formulas,
+        "s05_variable_labels": s05_variable_labels,
         "s06_control_totals": s06_control_totals,
+        "s06_control_totals_mismatch": s06_control_totals_mismatch,
         "s07_table_counts": s07_table_counts,
         "s08_row_count_comparison": s08_row_count_comparison,
         "s09_csv_results": s09_csv_results,
@@ -372,6 +466,8 @@ def queries() -> dict[str, Query]:
         "f02_claim_amount_deltas": lambda spark, sf_dir: cents(amounts.amount_deltas(claims(spark, sf_dir))),
         "f03_member_delta_rollup": on_pair(amounts.delta_rollup, members),
         "f04_claim_delta_rollup": on_pair(amounts.delta_rollup, claims),
+        "f03_delta_rollup_fine_amounts": on_pair(amounts.delta_rollup, pairs.fine_charges_pair),
+        "f05_field_totals_fine_amounts": on_pair(amounts.field_totals, pairs.fine_charges_pair),
         "f05_member_field_totals": on_pair(amounts.field_totals, members),
         "f06_claim_field_totals": on_pair(amounts.field_totals, claims),
         "f07_claim_family_impact": lambda spark, sf_dir: rounded(_impact(claims, spark, sf_dir)),
@@ -392,6 +488,7 @@ def queries() -> dict[str, Query]:
         "r05_claim_lines": r05_claim_lines,
         "r06_valid_lines": r06_valid_lines,
         "r07_annual_measures": r07_annual_measures,
+        "r07_annual_measures_from_rules": r07_annual_measures_from_rules,
         "r08_recomputed_vs_reported": r08_recomputed_vs_reported,
         "a08_line_measures": a08_line_measures,
         "g01_quality_grades": g01_quality_grades,

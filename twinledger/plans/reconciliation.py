@@ -11,13 +11,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from twinledger.model import TablePair
 from twinledger.operators import amounts, fields, keys, lines, quality, rows, scorecard
 from twinledger.session import scratch_dir
-from twinledger.sources import schemas
+from twinledger.sources import controls, schemas
 from twinledger.sources.lookups import state_lookup
-from twinledger.sources.tables import read_csv_table, read_yearly_csv_table, write_csv, write_table
+from twinledger.sources.tables import read_csv_table, read_text_csv, typed, union_tables, with_constants, write_csv, write_table
 
 # NULL counts as a value here, so that the changed rows hold whatever any of the operators regards as a change.
 CENSUS_MODE = "distinct"
@@ -57,22 +58,26 @@ MEDICAL_CLAIMS = Columns(
 
 @dataclass(frozen=True)
 class Comparison:
-    """One compared pair: the rows that changed, and how many rows there are to audit."""
+    """One compared pair: all rows, the rows that changed, and how many rows there are to audit."""
 
     whole: TablePair
     changed: TablePair
     units: DataFrame
 
 
-def compare(pair: TablePair, workdir: str) -> Comparison:
-    """Finds the changed rows of a pair and writes them below ``workdir``, which must be shared storage."""
-    census = write_table(keys.key_census(pair, CENSUS_MODE), os.path.join(workdir, "census"))
+def compare(pair: TablePair, workdir: str, whole: TablePair | None = None) -> Comparison:
+    """Finds the changed rows of a pair and writes them below ``workdir``, which must be shared storage.
+
+    A row counts as changed if any column does, since results are worked out from more columns than the compared fields.
+    ``whole``: the pair with the rows that are not compared, for counts and lookups.
+    """
+    census = write_table(keys.key_census(pair, CENSUS_MODE, keys.other_columns(pair)), os.path.join(workdir, "census"))
     changed = keys.changed_pair(pair, census)
     written = TablePair(
         pair.spec, write_table(changed.src, os.path.join(workdir, "changed-src")),
         write_table(changed.new, os.path.join(workdir, "changed-new")),
     )
-    return Comparison(pair, written, keys.audited_rows(census))
+    return Comparison(whole or pair, written, keys.audited_rows(census))
 
 
 def check_keys(members: TablePair, claims: TablePair, columns: Columns) -> None:
@@ -88,18 +93,20 @@ def reconcile(members: TablePair, claims: TablePair, states: DataFrame, columns:
     """All results by name. Checks the keys and writes the changed rows; the results themselves are lazy.
 
     ``shared_keys='fail'`` raises on keys that are not unique or NULL; ``'report'`` sets the rows of keys that a side holds
-    more than once apart, in results of their own, and compares the others.
+    more than once apart, in results of their own, and compares the others; counts, recomputed payments and lookups of members
+    take all rows.
     """
     if shared_keys not in ("fail", "report"):
         raise ValueError(f"shared_keys must be 'fail' or 'report', not {shared_keys!r}")
     workdir = workdir or scratch_dir(members.src.sparkSession, "reconciliation")
-    apart = {}
+    apart, originals = {}, (members, claims)
     if shared_keys == "fail":
         check_keys(members, claims, columns)
     else:
         members, apart["members_sharing_a_key"] = keys.set_apart_shared_keys(members, members.spec.keys)
         claims, apart["claims_sharing_an_id"] = keys.set_apart_shared_keys(claims, [columns.claim])
-    m, c = (compare(pair, os.path.join(workdir, name)) for name, pair in (("members", members), ("claims", claims)))
+    m, c = (compare(pair, os.path.join(workdir, name), whole)
+            for name, pair, whole in (("members", members, originals[0]), ("claims", claims, originals[1])))
     return {**_counts(m, c, columns), **_findings(m, c, states, columns), **_quality(m, c, columns), **_impact(m, c),
             **_recomputed(m, c, columns, years), **apart}
 
@@ -165,7 +172,7 @@ def write_results(results: dict[str, DataFrame], directory: str) -> dict[str, Da
     for name, df in results.items():
         write_csv(df, os.path.join(directory, name))
     return {
-        name: read_csv_table(df.sparkSession, os.path.join(directory, name), df.schema, null_tokens=("",))
+        name: read_csv_table(df.sparkSession, os.path.join(directory, name), df.schema, null_tokens=(), multi_line=True)
         for name, df in results.items()
     }
 
@@ -197,11 +204,19 @@ def grade(results: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def load_medical_claims(spark: SparkSession, members: tuple[dict[int, str | Sequence[str]], dict[int, str | Sequence[str]]],
                         claims: tuple[str | Sequence[str], str | Sequence[str]], directory: str) -> tuple[TablePair, TablePair]:
     """Loads the exports of both systems (source, new) into parquet below ``directory``: yearly member files by year, and
-    claim files."""
-    m = [write_table(read_yearly_csv_table(spark, paths, schemas.MEMBER_SCHEMA), os.path.join(directory, f"{side}-members"))
-         for side, paths in zip(("src", "new"), members)]
-    c = [write_table(read_csv_table(spark, paths, schemas.CLAIM_SCHEMA), os.path.join(directory, f"{side}-claims"))
-         for side, paths in zip(("src", "new"), claims)]
+    claim files. Malformed rows, values that do not fit and control totals that differ between files and tables fail the load."""
+    checks = []
+
+    def loaded(name: str, parts: dict[int | None, str | Sequence[str]], schema: StructType, total: str) -> DataFrame:
+        raws = {year: read_text_csv(spark, paths) for year, paths in parts.items()}
+        tables = [typed(with_constants(raw, {} if year is None else {"YEAR": year}), schema) for year, raw in raws.items()]
+        table = write_table(union_tables(tables), os.path.join(directory, name))
+        checks.append(controls.ControlTotal(name, union_tables([raw.select(total) for raw in raws.values()]), table, total))
+        return table
+
+    m = [loaded(f"{side}-members", paths, schemas.MEMBER_SCHEMA, MEDICAL_CLAIMS.reported) for side, paths in zip(("src", "new"), members)]
+    c = [loaded(f"{side}-claims", {None: paths}, schemas.CLAIM_SCHEMA, MEDICAL_CLAIMS.payment) for side, paths in zip(("src", "new"), claims)]
+    controls.require_match(controls.control_totals(checks))
     return TablePair(schemas.MEMBER_SPEC, *m), TablePair(schemas.CLAIM_SPEC, *c)
 
 

@@ -25,11 +25,16 @@ class ControlTotal:
 
 
 def control_totals(checks: Sequence[ControlTotal], tolerance: float = TOLERANCE) -> DataFrame:
-    """``check``, ``file_total``, ``table_total``, ``diff``, ``is_match``; only the summed column is read."""
+    """``check``, ``file_total``, ``table_total``, ``diff``, ``n_rejected``, ``is_match``; only the summed column is read.
+
+    ``n_rejected`` counts values of the files that are neither a null token nor a number: the load and the total of the files
+    both leave them out, so totals alone would agree. A check matches only if there are none.
+    """
     parts = []
     for check in checks:
         text = null_if_token(F.col(check.column).cast("string"))
-        in_files = check.raw.agg(F.sum(text.try_cast(MONEY)).alias("file_total"))
+        number = text.try_cast(MONEY)
+        in_files = check.raw.agg(F.sum(number).alias("file_total"), F.count_if(text.isNotNull() & number.isNull()).alias("n_rejected"))
         in_table = check.table.agg(F.sum(F.col(check.column).try_cast(MONEY)).alias("table_total"))
         parts.append(in_files.unionByName(in_table, allowMissingColumns=True).withColumn("check", F.lit(check.name)))
     stacked = parts[0]
@@ -37,9 +42,10 @@ def control_totals(checks: Sequence[ControlTotal], tolerance: float = TOLERANCE)
         stacked = stacked.unionByName(part)
     totals = stacked.groupBy("check").agg(*[
         F.coalesce(F.sum(c).cast("double"), F.lit(0.0)).alias(c) for c in ("file_total", "table_total")
-    ])
+    ], F.coalesce(F.sum("n_rejected"), F.lit(0)).alias("n_rejected"))
     with_diff = totals.withColumn("diff", F.abs(F.col("file_total") - F.col("table_total")))
-    return with_diff.withColumn("is_match", F.col("diff") < tolerance)
+    return with_diff.select("check", "file_total", "table_total", "diff", "n_rejected",
+                            ((F.col("diff") < tolerance) & (F.col("n_rejected") == 0)).alias("is_match"))
 
 
 def require_match(totals: DataFrame) -> None:

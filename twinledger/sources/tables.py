@@ -10,23 +10,52 @@ from pyspark.sql import types as T
 
 from twinledger.functions.compare import null_if_token
 
-# Texts that stand for NULL in the exports.
+# Texts that stand for NULL in the exports, compared trimmed and in lower case.
 NULL_TOKENS = ("nan", "")
+# The wider set that spreadsheet and data frame tools read as NULL; pass it as ``null_tokens`` where it is wanted.
+COMMON_NULL_TOKENS = ("", "#n/a", "#n/a n/a", "#na", "-1.#ind", "-1.#qnan", "-nan", "1.#ind", "1.#qnan", "<na>", "n/a", "na", "nan", "none", "null")
+# Quotes within quoted values are doubled; blanks at the ends of a value belong to it.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# What stands for a missing value while a file is read: no value at all, unlike a pair of quotes, which is an empty text.
+READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\u0000"}
+CORRUPT = "_corrupt_record"
+
+
+def read_text_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False, on_malformed: str = "fail") -> DataFrame:
+    """CSV files as they are: columns by header name, every value text. Files whose header differs fail the read.
+
+    A row with more or fewer values than the header fails the read; ``on_malformed='report'`` keeps it and puts its text into
+    the column ``_corrupt_record``. ``multi_line`` allows line breaks in quoted values; a file is then read by one task. Without
+    it, a line with an odd number of quotes is refused by a scan of the lines beforehand, since it would be read as two rows.
+    """
+    if on_malformed not in ("fail", "report"):
+        raise ValueError(f"on_malformed must be 'fail' or 'report', not {on_malformed!r}")
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not multi_line and not unbalanced_lines(spark, paths).isEmpty():
+        raise ValueError("quoted values hold line breaks, or a quote is missing: read with multi_line=True")
+    reader = spark.read.options(**READ_OPTIONS).option("enforceSchema", False).option("multiLine", multi_line).option("columnPruning", False)
+    columns = reader.csv(paths).schema
+    if on_malformed == "fail":
+        return reader.schema(columns).option("mode", "FAILFAST").csv(paths)
+    columns = T.StructType([*columns.fields, T.StructField(CORRUPT, T.StringType())])
+    return reader.schema(columns).option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
 
 
-def read_text_csv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """CSV files as they are: columns by header name, every value text. Files whose header differs fail the read."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.option("header", True).option("enforceSchema", False).csv(paths)
+def unbalanced_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Lines of the files that begin or end within a quoted value."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return spark.read.text(list(paths)).where(quotes % 2 == 1)
 
 
 def with_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in constants.items()}) if constants else df
 
 
-def typed(raw: DataFrame, schema: T.StructType, null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
-    """The declared columns with their types. Null tokens become NULL, and so do values that do not fit the type;
-    ``cast_failures`` counts the latter."""
+def typed(raw: DataFrame, schema: T.StructType, null_tokens: Sequence[str] = NULL_TOKENS, on_bad: str = "fail") -> DataFrame:
+    """The declared columns with their types. Null tokens become NULL. A value that does not fit its type fails the job that
+    reads it; with ``on_bad='null'`` it becomes NULL, and ``cast_failures`` counts such values."""
+    if on_bad not in ("fail", "null"):
+        raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
     present = {c.lower(): c for c in raw.columns}
     missing = [f.name for f in schema.fields if f.name.lower() not in present]
     if missing:
@@ -36,7 +65,11 @@ def typed(raw: DataFrame, schema: T.StructType, null_tokens: Sequence[str] = NUL
         value = F.col(present[field.name.lower()])
         if isinstance(raw.schema[present[field.name.lower()]].dataType, T.StringType):
             value = null_if_token(value, tuple(null_tokens))
-        columns.append(value.try_cast(field.dataType).alias(field.name))
+        fitting = value.try_cast(field.dataType)
+        if on_bad == "fail" and not isinstance(field.dataType, T.StringType):
+            bad = F.raise_error(F.concat(F.lit(f"{field.name}: not {field.dataType.simpleString()}: "), value.cast("string")))
+            fitting = F.when(value.isNotNull() & fitting.isNull(), bad.cast(field.dataType)).otherwise(fitting)
+        columns.append(fitting.alias(field.name))
     return raw.select(*columns)
 
 
@@ -55,9 +88,11 @@ def cast_failures(raw: DataFrame, schema: T.StructType, null_tokens: Sequence[st
 
 
 def read_csv_table(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
-                   constants: Mapping[str, object] | None = None, null_tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
-    """One table out of one or more CSV files, with constant columns (such as the year of a yearly file) added."""
-    return typed(with_constants(read_text_csv(spark, paths), constants or {}), schema, null_tokens)
+                   constants: Mapping[str, object] | None = None, null_tokens: Sequence[str] = NULL_TOKENS,
+                   multi_line: bool = False, on_bad: str = "fail") -> DataFrame:
+    """One table out of one or more CSV files, with constant columns (such as the year of a yearly file) added. Malformed rows
+    and values that do not fit their type fail the load."""
+    return typed(with_constants(read_text_csv(spark, paths, multi_line), constants or {}), schema, null_tokens, on_bad)
 
 
 def read_yearly_csv_table(spark: SparkSession, paths_by_year: Mapping[int, str | Sequence[str]], schema: T.StructType,
@@ -76,9 +111,10 @@ def union_tables(parts: Sequence[DataFrame]) -> DataFrame:
     return table
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A result as a folder of CSV parts with a header each; no part is gathered in one task."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A result as a folder of CSV parts with a header each; no part is gathered in one task. NULL is written as nothing and an
+    empty text as a pair of quotes, so both come back as they were."""
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:

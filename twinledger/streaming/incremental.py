@@ -9,19 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from twinledger.sources.tables import NULL_TOKENS, typed, with_constants
+from twinledger.sources.tables import READ_OPTIONS, NULL_TOKENS, typed, with_constants
 
 
 def load_new_csv_files(spark: SparkSession, directory: str, file_columns: Sequence[str], schema: T.StructType,
                        table: str, checkpoint: str, constants: Mapping[str, object] | None = None,
-                       null_tokens: Sequence[str] = NULL_TOKENS, files_per_batch: int | None = None) -> StreamingQuery:
+                       null_tokens: Sequence[str] = NULL_TOKENS, files_per_batch: int | None = None, multi_line: bool = False) -> StreamingQuery:
     """Appends the CSV files of a directory that no earlier run has loaded to a parquet table, and ends.
 
-    ``file_columns`` is the header of the files. Cleaning and typing are those of the batch load. ``checkpoint``
+    ``file_columns`` is the header of the files. Cleaning and typing are those of the batch load: a malformed row or a value that
+    does not fit fails the run, which can be repeated once the file is mended. ``checkpoint``
     remembers what is loaded and must be in shared storage, as must ``table``.
     """
     text = T.StructType([T.StructField(c, T.StringType()) for c in file_columns])
-    reader = spark.readStream.schema(text).option("header", True).option("enforceSchema", False)
+    reader = spark.readStream.schema(text).options(**READ_OPTIONS, mode="FAILFAST", multiLine=str(multi_line).lower()).option("enforceSchema", False)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     loaded = typed(with_constants(reader.csv(directory), constants or {}), schema, null_tokens)
