@@ -54,7 +54,9 @@ def test_unigram_paths_score_as_high_as_the_librarys(sf_dir, tmp_path):
     for text, ids in zip(texts, model.encode(texts)):
         ids, theirs = np.frombuffer(ids, "<i4"), library.encode(text)
         assert model.decode(ids) == text
-        assert float(model.scores[ids].sum()) == pytest.approx(float(model.scores[theirs].sum()), rel=1e-5)
+        # The library adds single-precision scores up over the whole text, which costs it a little on long ones.
+        ours, library_score = (float(model.scores[x].astype(float).sum()) for x in (ids, theirs))
+        assert library_score <= ours <= library_score + 2e-4 * abs(library_score)
 
 
 def test_encoded_and_decoded_tables(spark):

@@ -47,6 +47,7 @@ PLAIN = frozenset("body article main p h1 h2 h3 h4 h5 h6 blockquote pre li td th
 WORD_EDGE = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=\d)")
 DIGITS = re.compile(r"\d+")
 SPACE = re.compile(r"\s+")
+UNFINISHED = re.compile(r"</?[A-Za-z]|<[!?]")
 
 
 class Page(HTMLParser):
@@ -57,6 +58,9 @@ class Page(HTMLParser):
         self.parent, self.tag, self.path, self.noise, self.judged, self.muted, self.children = [-1], ["#"], [0], [False], [False], [False], [[]]
         self.stack, self.blocks, self.words = [0], [], []
         self.feed(html)
+        # A page that ends within a tag or comment has no more text.
+        if UNFINISHED.match(self.rawdata):
+            self.rawdata = ""
         self.close()
         self.flush()
 

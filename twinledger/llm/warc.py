@@ -22,6 +22,7 @@ from twinledger.llm.common import file_system, shared_folder, stored
 # Fixed values of the format.
 VERSION = b"WARC/1.1\r\n"
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+FIELD_NAME = re.compile(rb"[A-Za-z0-9!#$%&'*+.^_`|~-]+")
 MEMBER_MAGIC = b"\x1f\x8b\x08"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_DATE = "2024-01-01T00:00:00Z"
@@ -73,7 +74,7 @@ def _parsed(data: bytes, at: int, end: int) -> tuple[Record, int]:
     headers = {}
     for line in data[at: stop].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
-        if not colon:
+        if not colon or not FIELD_NAME.fullmatch(name):
             raise ValueError("bad header line")
         headers[name.strip().decode("utf-8", "replace").lower()] = value.strip().decode("utf-8", "replace")
     length = headers.get("content-length", "")
