@@ -6,6 +6,7 @@ manifest, stored as a table, names the files of the attempts that succeeded.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
@@ -23,6 +24,7 @@ from twinledger.llm.common import file_system, shared_folder, stored
 VERSION = b"WARC/1.1\r\n"
 VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
 FIELD_NAME = re.compile(rb"[A-Za-z0-9!#$%&'*+.^_`|~-]+")
+DIGESTS = ("md5", "sha1", "sha256", "sha512")
 MEMBER_MAGIC = b"\x1f\x8b\x08"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_DATE = "2024-01-01T00:00:00Z"
@@ -85,9 +87,13 @@ def _parsed(data: bytes, at: int, end: int) -> tuple[Record, int]:
     if finish + 4 > end or data[finish: finish + 4] != b"\r\n\r\n":
         raise ValueError("content length doesn't fit")
     block = data[begin: finish]
-    kind, _, digest = headers.get("warc-block-digest", "").partition(":")
-    if kind == "sha256" and digest != hashlib.sha256(block).hexdigest():
-        raise ValueError("block digest differs")
+    if given := headers.get("warc-block-digest"):
+        kind, _, digest = given.partition(":")
+        if kind not in DIGESTS:
+            raise ValueError("unknown block digest")
+        value = hashlib.new(kind, block)
+        if digest.lower() != value.hexdigest() and digest != base64.b32encode(value.digest()).decode():
+            raise ValueError("block digest differs")
     return Record(headers, block), finish + 4
 
 
