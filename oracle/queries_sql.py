@@ -307,6 +307,21 @@ THRESHOLDS = ("(VALUES ('missing_members', 100), ('member_defect_rows', 1000), (
 QUALITY_BOTH = overall("claims") + "\nUNION ALL" + overall("members")
 
 
+# Coefficients of algorithm AS 241 (Wichura 1988, PPND16), lowest power first, for the three ranges.
+CENTRAL = (
+    (3.3871328727963665, 133.14166789178438, 1971.5909503065513, 13731.69376550946, 45921.95393154987, 67265.7709270087, 33430.57558358813, 2509.0809287301227),
+    (1.0, 42.31333070160091, 687.1870074920579, 5394.196021424751, 21213.794301586597, 39307.89580009271, 28729.085735721943, 5226.495278852854),
+)
+MIDDLE = (
+    (1.4234371107496835, 4.630337846156546, 5.769497221460691, 3.6478483247632045, 1.2704582524523684, 0.2417807251774506, 0.022723844989269184, 0.0007745450142783414),
+    (1.0, 2.053191626637759, 1.6763848301838038, 0.6897673349851, 0.14810397642748008, 0.015198666563616457, 0.0005475938084995345, 1.0507500716444169e-09),
+)
+TAIL = (
+    (6.657904643501103, 5.463784911164114, 1.7848265399172913, 0.29656057182850487, 0.026532189526576124, 0.0012426609473880784, 2.7115555687434876e-05, 2.0103343992922881e-07),
+    (1.0, 0.599832206555888, 0.1369298809227358, 0.014875361290850615, 0.0007868691311456133, 1.8463183175100548e-05, 1.421511758316446e-07, 2.0442631033899397e-15),
+)
+
+
 def _poly(x: str, coefficients) -> str:
     text = repr(coefficients[-1])
     for c in reversed(coefficients[:-1]):
@@ -316,8 +331,6 @@ def _poly(x: str, coefficients) -> str:
 
 def normal_quantile(p: str) -> str:
     """Inverse normal distribution for yields of at least one half, after Wichura (1988)."""
-    from twinledger.functions.sigma import CENTRAL, MIDDLE, TAIL
-
     q, r = f"({p} - 0.5::DOUBLE)", f"sqrt(-ln(1 - {p}))"
     rational = lambda x, c: f"({_poly(x, c[0])} / {_poly(x, c[1])})"
     return (f"CASE WHEN {q} <= 0.425 THEN {q} * {rational(f'(0.180625::DOUBLE - {q} * {q})', CENTRAL)} "

@@ -312,3 +312,14 @@ def test_a_slot_without_a_number_leaves_the_others(spark):
     claims = spark.createDataFrame([("m", "20080101", 5.0, None, float("nan"), "A", "A", "A")], "member string, day string, V_1 double, V_2 double, V_3 double, I_1 string, I_2 string, I_3 string")
     found = lines.annual_measures(claims, layout, [lines.Measure("total", "V", "I = 'A'")], "member", "day").collect()
     assert [r["total"] for r in found] == [5.0]
+
+
+def test_a_key_with_a_third_of_all_rows_is_never_paired(spark):
+    hot = [("hot", 1, "x", 1.0, 1.0)] * 30 + [(str(i), 1, "x", 1.0, 1.0) for i in range(60)]
+    pair = pair_of(spark, hot, hot)
+    assert fields.field_flags(pair).count() == 30 * 30 + 60
+    with pytest.raises(ValueError, match="more than one row"):
+        fields.field_flags(pair.with_spec(on_shared_keys="fail"))
+    apart = pair.with_spec(on_shared_keys="set_apart")
+    assert fields.field_flags(apart).count() == 60 and amounts.amount_deltas(apart).count() == 60
+    assert keys.set_apart_shared_keys(pair, pair.spec.keys)[1].count() == 60

@@ -85,6 +85,8 @@ def test_shared_keys_fail_or_are_reported(spark, sf_dir, run):
         reconcile(*args)
     reported = reconcile(*args, shared_keys="report")
     assert rows_of(reported["claims_sharing_an_id"].select("side", "CLM_ID")) == [("new", "5"), ("src", "5"), ("src", "5")]
+    counts = {r["table_name"]: r for r in reported["row_counts"].collect()}
+    assert (counts["claims"].src_count, counts["claims"].new_count) == (twice.src.count(), twice.new.count())
     assert reported["six_sigma"].where("SUBJECT = 'Claims'").first().TOTAL_UNITS == results["six_sigma"].where("SUBJECT = 'Claims'").first().TOTAL_UNITS - 1
 
 

@@ -15,7 +15,9 @@ class TableSpec:
     ``keys`` identify a row in both systems; they must be unique on each side (``operators.keys`` checks that before a
     run). ``fields`` are compared value by value. ``amounts`` are the fields whose deltas are money. ``key_flags`` are
     key columns that get a flag of their own, set on rows that exist on one side only. ``nullable_keys=False`` promises
-    that no key is NULL, which lets a join use plain equality and so reuse a bucketed layout.
+    that no key is NULL, which lets a join use plain equality and so reuse a bucketed layout. ``on_shared_keys`` says what
+    two-sided operators do about keys that a side holds more than once: ``pair`` joins their rows, each with each, ``fail``
+    raises and ``set_apart`` leaves them out (``operators.keys.set_apart_shared_keys`` gives them).
     """
 
     subject: str
@@ -24,12 +26,15 @@ class TableSpec:
     amounts: tuple[str, ...] = ()
     key_flags: tuple[str, ...] = ()
     nullable_keys: bool = True
+    on_shared_keys: str = "pair"
 
     def __post_init__(self) -> None:
         for name in ("keys", "fields", "amounts", "key_flags"):
             object.__setattr__(self, name, tuple(getattr(self, name)))
         if not self.keys:
             raise ValueError(f"{self.subject}: at least one key is needed")
+        if self.on_shared_keys not in ("pair", "fail", "set_apart"):
+            raise ValueError(f"{self.subject}: on_shared_keys must be 'pair', 'fail' or 'set_apart', not {self.on_shared_keys!r}")
         overlap = set(self.keys) & set(self.fields)
         if overlap:
             raise ValueError(f"{self.subject}: {sorted(overlap)} are both keys and fields")

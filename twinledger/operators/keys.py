@@ -62,6 +62,18 @@ def set_apart_shared_keys(pair: TablePair, keys: Sequence[str]) -> tuple[TablePa
     return TablePair(pair.spec, src, new), apart[0].unionByName(apart[1])
 
 
+def guarded(pair: TablePair) -> TablePair:
+    """The pair as its ``on_shared_keys`` asks for; ``fail`` runs a job."""
+    keys = pair.spec.keys
+    if pair.spec.on_shared_keys == "fail":
+        shared = [f"{side}: {key}" for side, df in (("source", pair.src), ("new", pair.new)) for key in duplicate_keys(df, keys).limit(1).collect()]
+        if shared:
+            raise ValueError(f"{pair.spec.subject}: keys held by more than one row, such as {'; '.join(shared)}")
+    if pair.spec.on_shared_keys == "set_apart":
+        return set_apart_shared_keys(pair, keys)[0]
+    return pair
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """A semi or anti join in which NULL keys match each other."""
     renamed = right.select([F.col(k).alias(f"__{k}") for k in keys])
@@ -75,6 +87,7 @@ def join_sides(pair: TablePair, how: str, columns: Sequence[str] | Mapping[str,
     A mapping gives columns other names. Names are given below the join: a filter on joined values must not meet a later
     projection that renames them, because the optimizer would derive the filter anew for every combination of renames.
     """
+    pair = guarded(pair)
     keys = pair.spec.keys
     columns = pair.spec.fields if columns is None else columns
     names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}

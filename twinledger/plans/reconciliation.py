@@ -102,6 +102,8 @@ def reconcile(members: TablePair, claims: TablePair, states: DataFrame, columns:
     apart, originals = {}, (members, claims)
     if shared_keys == "fail":
         check_keys(members, claims, columns)
+        # Checked: joins on members need not match NULLs any more.
+        members = members.with_spec(nullable_keys=False)
     else:
         members, apart["members_sharing_a_key"] = keys.set_apart_shared_keys(members, members.spec.keys)
         claims, apart["claims_sharing_an_id"] = keys.set_apart_shared_keys(claims, [columns.claim])
@@ -112,7 +114,10 @@ def reconcile(members: TablePair, claims: TablePair, states: DataFrame, columns:
 
 
 def _counts(m: Comparison, c: Comparison, columns: Columns) -> dict[str, DataFrame]:
-    return {"row_counts": rows.row_count_comparison({"members": m.whole, "claims": c.whole})}
+    return {
+        "row_counts": rows.row_count_comparison({"members": m.whole, "claims": c.whole}),
+        "table_counts": rows.table_counts({f"{side}_{name}": df for name, x in (("members", m), ("claims", c)) for side, df in (("src", x.whole.src), ("new", x.whole.new))}),
+    }
 
 
 def _findings(m: Comparison, c: Comparison, states: DataFrame, columns: Columns) -> dict[str, DataFrame]:
@@ -153,10 +158,15 @@ def _quality(m: Comparison, c: Comparison, columns: Columns) -> dict[str, DataFr
 
 
 def _impact(m: Comparison, c: Comparison) -> dict[str, DataFrame]:
-    return {
+    impact = {
         name: amounts.family_impact(amounts.field_totals(side.changed), side.whole.spec.subject)
         for name, side in (("financial_impact_carrier_claim", c), ("financial_impact_beneficiary", m))
     }
+    # Unchanged rows have deltas of 0, so those of the changed ones are all there are.
+    for name, side in (("carrier_claim", c), ("beneficiary", m)):
+        impact[f"amount_deltas_{name}"] = amounts.amount_deltas(side.changed)
+        impact[f"amount_delta_rollup_{name}"] = amounts.delta_rollup(side.changed)
+    return impact
 
 
 def _recomputed(m: Comparison, c: Comparison, columns: Columns, years: tuple[int, int]) -> dict[str, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
 import os
 import tempfile
 import uuid
@@ -53,13 +55,21 @@ def build_session(app_name: str = "twinledger", master: str | None = None, **con
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name below the cluster's shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local session without that setting falls back to a temporary
-    folder of its own, because there the driver and the executors are one process.
+    The folder comes from ``spark.checkpoint.dir``. Only a session whose driver and executors are one process (master ``local``
+    or ``local[n]``) falls back to a temporary folder without that setting; it is removed when Python ends.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="twinledger-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        root = _local_root()
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")
+
+
+@functools.cache
+def _local_root() -> str:
+    """One temporary folder a process."""
+    folder = tempfile.TemporaryDirectory(prefix="twinledger-", ignore_cleanup_errors=True)
+    atexit.register(folder.cleanup)
+    return folder.name
