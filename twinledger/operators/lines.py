@@ -143,13 +143,14 @@ def line_payment_differences(claims: TablePair, members: TablePair, states: Data
     )
     found = found.withColumn("claim_year", F.left("CLM_FROM_DT", F.lit(4)).try_cast("int"))
     for name, df in (("src", members.src), ("new", members.new)):
-        # The state's name is looked up per member row: that table is the smaller one.
-        named = df.select(F.col(member).alias("m"), F.col(year).alias("y"), F.col(state_code).alias("code"))
-        named = named.join(states.select("code", F.col("name").alias(f"{name}_state")), "code", "left_outer").drop("code")
+        coded = df.select(F.col(member).alias("m"), F.col(year).alias("y"), F.col(state_code).alias(f"{name}_code"))
         condition = [F.col("member") == F.col("m")]
         if not fanout:
             condition.append(F.col("claim_year") == F.col("y"))
-        found = found.join(named, condition, "left_outer").drop("m", "y")
+        found = found.join(coded, condition, "left_outer").drop("m", "y")
+    # Names are looked up last, for the claims found only.
+    for name in ("src", "new"):
+        found = found.join(states.select(F.col("code").alias(f"{name}_code"), F.col("name").alias(f"{name}_state")), f"{name}_code", "left_outer")
     return found.select(
         claim, "record_status", F.coalesce("src_state", "new_state", F.lit("Unknown/Orphan")).alias("STATE_NAME"),
         "CLM_FROM_DT", "src_pmt", "new_pmt", "processing_ind", "allowed_amt", "business_rule_status", "variance",
