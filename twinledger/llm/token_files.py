@@ -27,13 +27,26 @@ from twinledger.llm.common import Remembered, as_large_text, file_system, shared
 MAGIC = b"EFTOKEN1"
 SAMPLE = 64
 # Pieces of text whose ids a worker remembers; a bound on its memory, not on the vocabulary.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 # Documents encoded together.
 PART_ROWS = 500
 # Fixed pattern of the vocabulary's pre-tokenizer.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 
 
+def _byte_characters() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+BLANK_THEN_SPACE = regex.compile(r" (?:\s|$)")
+
+
 @dataclass
 class EliasFano:
     """Ascending numbers from 0 to ``top``; ``select`` gives them back by index."""
@@ -105,33 +118,45 @@ class Encoder:
         self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, Remembered(REMEMBERED)
         self.tokenizer.encode_special_tokens = True
 
+    # Parts go by a key: what follows the blank that begins a part, or a blank and the part itself if it begins with none.
+
     @staticmethod
-    def parts(text: str) -> list[str]:
-        first, *rest = text.split(" ")
-        out = [first] if first else []
-        for part in rest:
-            if out and (not part or part[0].isspace()):
-                # White space behind white space: cut by the pattern together with what precedes and follows it.
-                return PIECES.findall(text)
-            out.append(" " + part)
-        return out
+    def _key(part: str) -> str:
+        return part[1:] if len(part) > 1 and part[0] == " " and not part[1].isspace() else " " + part
+
+    @staticmethod
+    def _part(key: str) -> str:
+        return key[1:] if key[0] == " " else " " + key
+
+    def keys(self, text: str) -> list[str]:
+        if BLANK_THEN_SPACE.search(text):
+            # White space behind a blank: cut by the pattern, which looks at what follows.
+            return [self._key(piece) for piece in PIECES.findall(text)]
+        keys = text.split(" ")
+        if keys[0]:
+            keys[0] = " " + keys[0]
+            return keys
+        return keys[1:]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as bytes."""
         self.known.turn()
-        cut = [self.parts(text) for text in texts]
-        missing = self.known.missing(part for parts in cut for part in parts)
+        cut = [self.keys(text) for text in texts]
+        missing = self.known.missing(key for keys in cut for key in keys)
         known = self.known.new
         if missing:
-            pieces = {part: PIECES.findall(part) for part in missing}
-            fresh = self.known.missing(piece for found in pieces.values() for piece in found)
-            fresh = list(fresh)
-            for piece, ids in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-                known[piece] = np.array(ids.ids, self.dtype).tobytes()
-            for part, found in pieces.items():
+            # A part of letters only is one piece as it stands.
+            pieces = {key: [key] if (key[1:] if key[0] == " " else key).isalpha() else [self._key(p) for p in PIECES.findall(self._part(key))] for key in missing}
+            fresh = self.known.missing(key for found in pieces.values() for key in found)
+            width, encode = np.dtype(self.dtype).itemsize, self.tokenizer.model.tokenize
+            for key in fresh:
+                # What the library's byte-level pre-tokenizer makes of a piece: one character a byte.
+                shown = self._part(key).encode("utf-8", "replace").decode("latin-1").translate(BYTE_CHARACTERS)
+                known[key] = b"".join([token.id.to_bytes(width, "little") for token in encode(shown)])
+            for key, found in pieces.items():
                 if len(found) != 1:
-                    known[part] = b"".join([known[piece] for piece in found])
-        return [b"".join([known[part] for part in parts]) for parts in cut]
+                    known[key] = b"".join([known[piece] for piece in found])
+        return [b"".join([known[key] for key in keys]) for keys in cut]
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
