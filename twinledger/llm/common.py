@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -152,3 +154,15 @@ class Remembered:
             new.update((key, old[key]) for key in again)
             absent -= again
         return absent
+
+
+def tidy(run: Callable) -> Callable:
+    """A task function that hands freed memory back to the system when it is done: later stages reuse its worker."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    return rows

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinledger.llm.common import as_large_text, in_training
+from twinledger.llm.common import as_large_text, in_training, tidy
 
 # Bounds of the sample that the model is fitted on: documents a language (expected number) and characters a document.
 SAMPLE_DOCS = 200
@@ -27,9 +27,9 @@ GRAMS = (1, 2, 3, 4)
 EDGE = 1
 UNKNOWN = "und"
 # Characters handled at once; a longer document is handled alone.
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 19
 # Posteriors (words times languages) worked out together, padding included; a longer document goes alone.
-CELLS = 1 << 20
+CELLS = 1 << 19
 # Steps after which scaled values are brought back to a sum of 1.
 RESCALE = 8
 
@@ -341,7 +341,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     from pyspark.sql.types import DoubleType, StringType, StructType
 
     schema = StructType().add(id_col, kind).add("lang_pred", StringType()).add("score", DoubleType())
-    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(rows, schema)
+    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(tidy(rows), schema)
 
 
 def spans(text: str, model: Model) -> list[tuple[int, int, str]]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.common import as_large_text, mixed, stored, word_hashes
+from twinledger.llm.common import as_large_text, mixed, stored, tidy, word_hashes
 from twinledger.llm.components import connected_components
 
 # 32 bands of 5 minima miss a pair of similarity 0.8 with a chance of 0.672^32 = 3e-6.
@@ -113,9 +113,17 @@ def _agreement(one: pd.Series, two: pd.Series) -> pd.Series:
     return pd.Series((a == b).mean(axis=1))
 
 
-@F.pandas_udf(T.LongType())
-def _common(one: pd.Series, two: pd.Series) -> pd.Series:
-    return pd.Series([len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True)) for a, b in zip(one, two)], dtype="int64")
+def _similar(percent: float):
+    """Pairs (a, b, set of a, set of b) to those whose sets are similar enough; sets are read where Arrow has them."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(len(batch), dtype=bool)
+            for row, (one, two) in enumerate(zip(batch.column(2), batch.column(3))):
+                one, two = (np.frombuffer(x.as_buffer(), np.uint64) for x in (one, two))
+                common = len(np.intersect1d(one, two, assume_unique=True))
+                keep[row] = 100 * common >= percent * (len(one) + len(two) - common)
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep)) for k in (0, 1)], names=["a", "b"])
+    return rows
 
 
 def _set_rows(size: int):
@@ -163,21 +171,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component is NULL and they are kept. Other columns are ignored. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    signed = stored(texts.mapInArrow(_signed(shingle_words), "_id long, _n long, _f1 long, _f2 long, _sig binary"), "near-signatures")
+    signed = stored(texts.mapInArrow(tidy(_signed(shingle_words)), "_id long, _n long, _f1 long, _f2 long, _sig binary"), "near-signatures")
     linkable = signed.where("_n > 0 AND _id IS NOT NULL")
     # Equal sets are one class; combined before the shuffle, so a large group of copies is one row per task.
     classes = stored(linkable.groupBy("_n", "_f1", "_f2").agg(F.min("_id").alias("rep")), "near-sets")
     members = stored(linkable.select("_id", "_n", "_f1", "_f2").join(classes, ["_n", "_f1", "_f2"]).select("_id", "_n", "rep"), "near-members")
     own = members.where("_id = rep").select("_id").distinct()
     reps = stored(linkable.join(own, "_id", "left_semi").groupBy(F.col("_id").alias("rep")).agg(F.max(F.struct("_n", "_sig")).alias("x")).select("rep", "x._n", "x._sig"), "near-classes")
-    bands = reps.select("rep", "_sig").mapInArrow(_banded, "bucket long, rep long")
+    bands = reps.select("rep", "_sig").mapInArrow(tidy(_banded), "bucket long, rep long")
     sizes = stored(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
     shared = stored(bands.join(sizes, "bucket"), "near-buckets")
     weights = stored(shared.groupBy("rep").agg(F.sum("size").alias("weight")), "near-weights")
     ranked = stored(shared.join(weights, "rep").select("bucket", "size", "rep", "weight"), "near-ranked")
 
     # The full sets of all classes that share a bucket with another one, worked out once.
-    sets = stored(texts.join(weights.select(F.col("rep").alias("_id")), "_id", "left_semi").mapInArrow(_set_rows(shingle_words), "_id long, _set binary"), "near-sets")
+    sets = stored(texts.join(weights.select(F.col("rep").alias("_id")), "_id", "left_semi").mapInArrow(tidy(_set_rows(shingle_words)), "_id long, _set binary"), "near-sets")
     sets = sets.groupBy(F.col("_id").alias("rep")).agg(F.max(F.struct(F.octet_length("_set").alias("n"), "_set")).alias("x")).select("rep", "x._set")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -185,9 +193,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         side = lambda df, name: df.select(*[F.col(c).alias(name if c == "rep" else f"{c}_{name}") for c in df.columns])
         sized = pairs.join(side(reps, "a"), "a").join(side(reps, "b"), "b").where(100 * F.least("_n_a", "_n_b") >= percent * F.greatest("_n_a", "_n_b"))
         likely = stored(sized.where(_agreement("_sig_a", "_sig_b") >= percent / 100 - SLACK).select("a", "b"), "near-pairs")
-        both = likely.join(side(sets, "a"), "a").join(side(sets, "b"), "b").select(
-            "a", "b", _common("_set_a", "_set_b").alias("common"), (F.octet_length("_set_a") / 8 + F.octet_length("_set_b") / 8).cast("long").alias("sizes"))
-        return both.where(100 * F.col("common") >= percent * (F.col("sizes") - F.col("common"))).select("a", "b")
+        both = likely.join(side(sets, "a"), "a").join(side(sets, "b"), "b").select("a", "b", "_set_a", "_set_b")
+        return stored(both.mapInArrow(tidy(_similar(percent)), "a long, b long"), "near-links")
 
     def parted(parts: DataFrame | None) -> DataFrame:
         """The rows of buckets that hold several components."""
@@ -220,7 +227,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = clustered.join(counts, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "part")
     described = dealt.join(reps, "rep").join(sets, "rep").select("cluster", "i", "j", F.struct("rep", "part", "_n", "_sig", "_set").alias("m"))
-    second = stored(described.groupBy("cluster", "i", "j").agg(F.collect_list("m").alias("members")).select("members").mapInArrow(_apart(percent), "a long, b long"), "near-links")
+    second = stored(described.groupBy("cluster", "i", "j").agg(F.collect_list("m").alias("members")).select("members").mapInArrow(tidy(_apart(percent)), "a long, b long"), "near-links")
     links = first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(second)
     parts = connected_components(links).withColumnRenamed("node", "rep")
     found = members.join(parts, "rep", "left").select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))

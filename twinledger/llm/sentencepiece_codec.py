@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.common import Remembered, as_large_text
+from twinledger.llm.common import Remembered, as_large_text, tidy
 
 # Fixed values of the model format.
 UNIGRAM, BPE = 1, 2
@@ -31,13 +32,13 @@ UNKNOWN_PENALTY = 10.0
 UNKNOWN_SURFACE = b" \xe2\x81\x87 "
 
 # What a worker remembers, as bounds on its memory: units with their ids, and pairs of pieces.
-REMEMBERED_UNITS = 300_000
+REMEMBERED_UNITS = 80_000
 PAIR_BITS = 20
 # Longer units aren't remembered.
 LONG_UNIT = 64
 FILTER_BITS = 22
 # Characters of units of one length that advance together.
-ADVANCE_CHARS = 1 << 21
+ADVANCE_CHARS = 1 << 19
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -153,7 +154,7 @@ class Model:
         """How merging builds a piece from its characters, the best-scored union first and the leftmost of equals: the scores
         of the merges, and the first and the last part before each merge and at the end. Also whether one part is left."""
         parts, score = list(piece), self.score_of
-        steps, firsts, lasts = [], [parts[0]], [parts[-1]]
+        steps, firsts, lasts = [], [sys.intern(parts[0])], [sys.intern(parts[-1])]
         while len(parts) > 1:
             best, at = None, -1
             for k in range(len(parts) - 1):
@@ -164,8 +165,8 @@ class Model:
                 break
             parts[at: at + 2] = [parts[at] + parts[at + 1]]
             steps.append(best)
-            firsts.append(parts[0])
-            lasts.append(parts[-1])
+            firsts.append(sys.intern(parts[0]))
+            lasts.append(sys.intern(parts[-1]))
         return (steps, firsts, lasts), len(parts) == 1
 
     def _stays_apart(self, one: int, two: int) -> bool:
@@ -335,11 +336,11 @@ def encoded(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: s
 
     schema = T.StructType([docs.schema[c] for c in rest]).add(ids_col, T.ArrayType(T.IntegerType()))
     source = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text_col}`").cast("string").alias("__text"))
-    return source.mapInArrow(rows, schema)
+    return source.mapInArrow(tidy(rows), schema)
 
 
 # Rows of a batch that are encoded or decoded together.
-PART_ROWS = 1000
+PART_ROWS = 500
 
 
 def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -359,7 +360,7 @@ def decoded(tokens: DataFrame, model_path: str, ids_col: str = "ids", text_col:
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], pa.array(texts, pa.string())], names=[*rest, text_col])
 
     schema = T.StructType([tokens.schema[c] for c in rest]).add(text_col, T.StringType())
-    return tokens.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{ids_col}`").alias("__ids")).mapInArrow(rows, schema)
+    return tokens.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{ids_col}`").alias("__ids")).mapInArrow(tidy(rows), schema)
 
 
 def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -384,4 +385,4 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     schema = T.StructType().add(id_col, docs.schema[id_col].dataType)
     for name in ("n_tokens", "n_bytes", "ids_crc32", "text_crc32"):
         schema = schema.add(name, T.LongType())
-    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(rows, schema.add("same", T.BooleanType()))
+    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(tidy(rows), schema.add("same", T.BooleanType()))
