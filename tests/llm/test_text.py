@@ -192,6 +192,17 @@ def test_main_text_of_one_page(html, text):
     assert html_tree.Page(html).main_text(set()) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ('<article class="post has-comments"><p>a</article>', "a"), ('<div class="content no-sidebar"><article>a</article></div>', "a"), ('<main class="layout-sidebar-right"><p>a</main>', "a"),
+    ('<article class="comments"><p>a</article>', "a"), ('<p class="share-price">a</p><p class="notice">b</p>', "a\nb"), ('<div class="sidebar"><main>a</main></div>', "a"),
+    ('<div class="banner"><article>a</article></div>', "a"), ('<x-search class="search">s<article>a</article>s</x-search>', "a"), ('<span class="related"><main>a</main></span>', "a"),
+    ("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</article>", "so x=1 holds"),
+    ('<article>a<section class="post-comments"><article>c</article></section></article>', "a"), ('<p>a</p><div id="cookie-banner-2">c</div><div class="related-posts">r</div><span class="share">s</span>', "a"),
+])
+def test_names_cut_whole_roles_and_no_article(html, text):
+    assert html_tree.Page(html).main_text(set()) == text
+
+
 def test_branches_that_all_pages_share_are_cut(spark):
     page = "<body><div class='promoted-box'><div>Our house style, on each page</div></div><article><p>Text {i} of its own</p><section><p>See also our archive</p></section></article></body>"
     rows = [(i, "http://a.example/x", page.replace("{i}", str(i)), "x") for i in range(30)] + [(100, "http://b.example", page, "x"), (101, None, None, None), (101, "::", "<p>q", None)]

@@ -27,12 +27,16 @@ MIN_PAGES = 10
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # Elements that are no article.
-NOISE_TAGS = frozenset("head title script style noscript template nav header footer aside form iframe object svg math canvas button select textarea option datalist dialog menu audio video map".split())
+NOISE_TAGS = frozenset("head title script style noscript template nav header footer aside form iframe object svg canvas button select textarea option datalist dialog menu audio video map".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NOISE_WORDS = frozenset((
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification popup modal overlay "
     "newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments disqus respond replies related share sharing "
     "social widget widgets pagination pager login signup search toolbar skip").split())
+# Words that go with the above in the name of a role: a name of other words too, like share-price or has-comments, is no such role.
+ROLE_WORDS = frozenset((
+    "js site main top bottom left right primary secondary global sticky fixed inline list bar box block area container wrapper wrap inner section panel group button buttons btn "
+    "link links icon icons item items media post posts article articles form field thread message alert unit slot heading header").split())
 # Elements that begin and end a block of text.
 BLOCKS = frozenset((
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu "
@@ -50,12 +54,21 @@ SPACE = re.compile(r"\s+")
 UNFINISHED = re.compile(r"</?[A-Za-z]|<[!?]")
 
 
+def named_noise(names: str) -> bool:
+    """Whether one of the names (classes and ids in lower case) is as a whole that of a role that is no article."""
+    for name in names.split():
+        parts = [word for word in WORD_EDGE.split(name) if word and not word.isdigit()]
+        if not NOISE_WORDS.isdisjoint(parts) and all(word in NOISE_WORDS or word in ROLE_WORDS for word in parts):
+            return True
+    return False
+
+
 class Page(HTMLParser):
     """Elements of a page, parents before children, and its blocks of text in page order."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.parent, self.tag, self.path, self.noise, self.judged, self.muted, self.children = [-1], ["#"], [0], [False], [False], [False], [[]]
+        self.parent, self.tag, self.path, self.noise, self.named, self.judged, self.hard, self.muted, self.children = [-1], ["#"], [0], [False], [False], [False], [False], [False], [[]]
         self.stack, self.blocks, self.words = [0], [], []
         self.feed(html)
         # A page that ends within a tag or comment has no more text.
@@ -120,11 +133,12 @@ class Page(HTMLParser):
         inside = any(self.tag[n] in ARTICLES for n in self.stack)
         noisy = (tag in NOISE_TAGS and not (tag == "header" and inside)) or "hidden" in given or (given.get("aria-hidden") or "").lower() == "true"
         noisy = noisy or (given.get("role") or "").lower() in NOISE_ROLES
-        if not noisy and names != " " and tag not in ("html", "body"):
-            noisy = not NOISE_WORDS.isdisjoint(WORD_EDGE.split(names))
+        named = not noisy and names != " " and tag != "html" and tag not in PLAIN and named_noise(names)
         self.noise.append(noisy)
-        # Inline elements that are no article are left out of the text around them; they don't divide it.
-        self.muted.append(self.muted[up] or (noisy and tag not in BLOCKS))
+        self.named.append(named)
+        # Inline elements that are no article are left out of the text around them; they don't divide it. A name mutes no article within.
+        self.hard.append(self.hard[up] or (noisy and tag not in BLOCKS))
+        self.muted.append(self.hard[-1] or (tag not in ARTICLES and (self.muted[up] or (named and tag not in BLOCKS))))
         self.judged.append(tag in BLOCKS and (tag not in PLAIN or (names != " " and tag not in ("article", "main"))))
         self.children.append([])
         self.stack.append(len(self.tag) - 1)
@@ -157,15 +171,25 @@ class Page(HTMLParser):
             yield self.path[node], xxhash.xxh64_intdigest(" ".join(self.children[node])) >> 1, xxhash.xxh64_intdigest("\n".join(parts)) >> 1
 
     def main_text(self, cut: frozenset[int] | set[int]) -> str:
-        """Blocks of the article, or of the whole page if it has none, outside of what is cut."""
+        """Blocks of the article, or of the whole page if it has none, outside of what is cut.
+
+        A name cuts no element that holds a main. It cuts one that holds articles (comments, say) only if there is one elsewhere.
+        """
         count = len(self.tag)
-        dropped, inside, holds = [False] * count, [False] * count, [False] * count
+        dropped, inside, holds, holds_main, within = [False] * count, [False] * count, [False] * count, [False] * count, [False] * count
         for node in range(count - 1, 0, -1):
             if self.tag[node] in ARTICLES or holds[node]:
                 holds[self.parent[node]] = True
+            if self.tag[node] == "main" or holds_main[node]:
+                holds_main[self.parent[node]] = True
+        elsewhere = False
+        for node in range(1, count):
+            within[node] = within[self.parent[node]] or self.noise[node] or (self.named[node] and not holds_main[node])
+            elsewhere = elsewhere or (self.tag[node] in ARTICLES and not within[node])
         for node in range(1, count):
             up = self.parent[node]
-            dropped[node] = dropped[up] or self.noise[node] or (self.path[node] in cut and self.judged[node] and not holds[node])
+            named = self.named[node] and not holds_main[node] and (elsewhere or not holds[node])
+            dropped[node] = dropped[up] or self.noise[node] or named or (self.path[node] in cut and self.judged[node] and not holds[node])
             inside[node] = inside[up] or (self.tag[node] in ARTICLES and not dropped[node])
         whole = not any(inside)
         return "\n".join(text for owner, text in self.blocks if not dropped[owner] and (whole or inside[owner]))
