@@ -214,6 +214,18 @@ def test_branches_that_all_pages_share_are_cut(spark):
     assert html_tree.main_texts(pages.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_make_no_template(spark):
+    page = "<body><div class='promoted-box'><div>Our house style, on each page</div></div><div class='content'><p>Text {i} of its own</div></body>"
+    rows = [(i, "http://a.example/x", page.replace("{i}", str(max(i, 949)))) for i in range(1000)]
+    # Copies of a few pages say nothing about a host.
+    rows += [(2000 + i, "http://b.example/x", page.replace("{i}", str(i % 9))) for i in range(100)]
+    found = {r.page_id: r.text for r in html_tree.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)).collect()}
+    assert found[0] == "Text 949 of its own" and found[999] == "Text 999 of its own"
+    assert found[2000] == "Our house style, on each page\nText 0 of its own"
+    tree = {r.pages for r in html_tree.style_tree(spark.createDataFrame(rows[:1000], "page_id long, url string, html string").repartition(8)).collect()}
+    assert tree == {51}
+
+
 def test_pages_of_the_table_give_their_articles(spark, sf_dir):
     import html
     import re

@@ -3,7 +3,8 @@
 The element trees of all pages of a host are merged: elements with the same chain of tags, classes and ids are one node. A node is
 important if its presentation (the sequence of its children) or its content (its text) differs between pages; both are measured
 by entropy. Branches of low importance are cut out of every page, as are elements that HTML or their names mark as no article.
-Statistics are aggregates over (host, node, content) that tasks combine beforehand; no host's pages are brought together.
+Statistics are aggregates over (host, node, content) that tasks combine beforehand; no host's pages are brought together. Copies of
+a page on its host count once, so they don't make its text look like that of a template.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from twinledger.llm.common import as_large_text, stored
 
-# A node is cut if its importance, from 0 to 1, is below LOW and it was seen on so many pages of the host.
+# A node is cut if its importance, from 0 to 1, is below LOW and it was seen on so many distinct pages of the host.
 LOW = 0.2
 MIN_PAGES = 10
 
@@ -210,8 +211,29 @@ def _host_key(host: str) -> int:
 COMBINE = 200_000
 
 
+def _page_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (url, html) to (host, page, nodes) for pages with judged nodes; page is a hash of the html, nodes holds (path, children,
+    text) one after the other. Copies a task has met lately are left out."""
+    met: set[tuple[int, bytes]] = set()
+    for batch in batches:
+        hosts, pages, nodes = [], [], []
+        for url, html in zip(as_large_text(batch.column(0)).to_pylist(), as_large_text(batch.column(1)).to_pylist()):
+            key = _host_key(host_of(url)), xxhash.xxh3_128_digest(html.encode("utf-8", "surrogatepass"))
+            if key in met:
+                continue
+            if len(met) >= COMBINE:
+                met.clear()
+            met.add(key)
+            found = [value for node in Page(html).nodes() for value in node]
+            if found:
+                hosts.append(key[0])
+                pages.append(key[1])
+                nodes.append(found)
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), pa.array(pages, pa.binary()), pa.array(nodes, pa.list_(pa.int64()))], names=["host", "page", "nodes"])
+
+
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (url, html) to (host, path, kind, value, pages), combined: kind 0 is the node itself, 1 its children, 2 its text."""
+    """Rows (host, nodes) to (host, path, kind, value, pages), combined: kind 0 is the node itself, 1 its children, 2 its text."""
     counts: Counter = Counter()
 
     def out() -> pa.RecordBatch:
@@ -221,9 +243,9 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return batch
 
     for batch in batches:
-        for url, html in zip(as_large_text(batch.column(0)).to_pylist(), as_large_text(batch.column(1)).to_pylist()):
-            host, seen = _host_key(host_of(url)), set()
-            for path, style, text in Page(html).nodes():
+        for host, nodes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            seen = set()
+            for path, style, text in zip(nodes[::3], nodes[1::3], nodes[2::3]):
                 seen |= {(host, path, 0, 0), (host, path, 1, style), (host, path, 2, text)}
             counts.update(seen)
             if len(counts) >= COMBINE:
@@ -233,12 +255,14 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Judged nodes of all hosts: host and path (hashes), pages, importance from 0 to 1.
+    """Judged nodes of all hosts: host and path (hashes), distinct pages, importance from 0 to 1.
 
-    A node on m pages with values (children, texts) that k1, k2, ... of them share has importance 1 - sum(k log k) / (n log m)
+    Pages of a host with the same html are one page. A node on m pages with values (children, texts) that k1, k2, ... of them share has importance 1 - sum(k log k) / (n log m)
     for each of the two, n being the sum of the k: 0 if all pages share one value, 1 if each has its own. The mean counts.
     """
-    counts = pages.select(F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(_statistics, "host long, path long, kind long, value long, pages long")
+    nodes = pages.select(F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(_page_nodes, "host long, page binary, nodes array<long>")
+    distinct = nodes.groupBy("host", "page").agg(F.first("nodes").alias("nodes"))
+    counts = distinct.select("host", "nodes").mapInArrow(_statistics, "host long, path long, kind long, value long, pages long")
     values = counts.groupBy("host", "path", "kind", "value").agg(F.sum("pages").alias("k"))
     node = values.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("k"))).alias("m"),
@@ -255,7 +279,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     A NULL page is an empty one. Pages without a readable URL are one host of their own. Rows that repeat an id are pages of their
     own. Other columns are ignored; an empty table gives an empty result. Nodes to cut are joined by host; their number depends on
-    the templates of a host, not on its pages, since each was seen on ``MIN_PAGES`` pages with hardly any difference.
+    the templates of a host, not on its pages, since each was seen on ``MIN_PAGES`` distinct pages with hardly any difference.
     """
     low = style_tree(pages, url_col, html_col).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW))
     cuts = stored(low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("_cut")), "style-tree")
