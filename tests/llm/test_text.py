@@ -104,6 +104,20 @@ def test_token_files_round_trip(spark):
     assert token_files.round_trip(spark, docs.limit(0), BYTES).count() == 0
 
 
+def test_token_ids_equal_those_of_the_library_as_it_comes(spark, sf_dir):
+    library, encoder = Tokenizer.from_file(BYTES), token_files.Encoder(BYTES, "<u4")
+    # Letters of a newer Unicode than the library knows, and the other way round, if there are any.
+    odd = [chr(c) for c in (*range(0x80, 0x3000), *range(0xA640, 0xAC00), *range(0x10000, 0x12000), 0x2FFFE, *range(0x3FC30, 0x3FC40)) if encoder._differs(chr(c))]
+    texts = [*ODD_TEXTS, "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<|endoftext", "\x1c a \x1cb", *[f"a{c}b {c} 1{c}  {c}!" for c in odd[:40]], "ab \u0558cd" * 3, *[t for t in texts_of(sf_dir) if t]]
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = 0
+    for r, text in zip(sorted(token_files.round_trip(spark, docs, BYTES).collect(), key=lambda r: r.doc_id), texts, strict=True):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 0]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), text[:80]
+        start += len(ids)
+
+
 def brute_lm(train, rows):
     split = {i: words(t) + [None] for i, t in rows}
     counts = Counter(w for i in train for w in split[i])

@@ -112,11 +112,14 @@ class Encoder:
 
     A blank before a character that isn't white space always begins a piece of the vocabulary's pre-tokenizer, so texts are
     cut there and the parts looked up; an unknown part is cut by the pre-tokenizer's pattern and only new pieces are encoded.
+    Texts that hold an added token, or a character that the pattern and the library class differently, go to the library whole.
     """
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, special_tokens: bool = True):
         self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, Remembered(REMEMBERED)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special_tokens
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values() if special_tokens or not token.special]
+        self.tried, self.differing = set(), set()
 
     # Parts go by a key: what follows the blank that begins a part, or a blank and the part itself if it begins with none.
 
@@ -138,11 +141,29 @@ class Encoder:
             return keys
         return keys[1:]
 
+    def _differs(self, character: str) -> bool:
+        """Whether the library takes a character for another class (letter, number, white space, other) than the pattern does."""
+        joins = lambda before: len(self.tokenizer.pre_tokenizer.pre_tokenize_str(before + character)) == 1
+        letter, number, other = (len(PIECES.findall(before + character)) == 1 for before in "a1!")
+        return (letter, number, other) != (joins("a"), joins("1"), joins("!")) or (character.isalpha() and not letter)
+
+    def _odd(self, keys: set[str]) -> set[str]:
+        """Those of the keys that hold a character of different classes; they are never remembered."""
+        characters = set("".join(keys))
+        self.differing.update(filter(self._differs, characters - self.tried))
+        self.tried |= characters
+        return {key for key in keys if not self.differing.isdisjoint(key)} if not self.differing.isdisjoint(characters) else set()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as bytes."""
         self.known.turn()
-        cut = [self.keys(text) for text in texts]
+        whole = {k for k, text in enumerate(texts) if any(token in text for token in self.added)}
+        cut = [[] if k in whole else self.keys(text) for k, text in enumerate(texts)]
         missing = self.known.missing(key for keys in cut for key in keys)
+        odd = self._odd(missing)
+        if odd:
+            missing -= odd
+            whole |= {k for k, keys in enumerate(cut) if not odd.isdisjoint(keys)}
         known = self.known.new
         if missing:
             # A part of letters only is one piece as it stands.
@@ -156,14 +177,18 @@ class Encoder:
             for key, found in pieces.items():
                 if len(found) != 1:
                     known[key] = b"".join([known[piece] for piece in found])
-        return [b"".join([known[key] for key in keys]) for keys in cut]
+        return [self._by_library(texts[k]) if k in whole else b"".join([known[key] for key in keys]) for k, keys in enumerate(cut)]
+
+    def _by_library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", special_tokens: bool = False) -> DataFrame:
     """Encodes the documents in ascending order of their ids into files below ``folder``; returns the stored manifest.
 
     Manifest: shard (ascending with the ids), path, n_docs, n_ids. Each text is followed by ``end_id``; a NULL text is empty.
-    Rows without an id come first. Rows that share an id follow each other in the order of a hash of their texts. Other columns
+    With ``special_tokens`` a special token spelled out in a text gives its id, as the library does unless told otherwise; without,
+    it is text like any other. Rows without an id come first. Rows that share an id follow each other in the order of a hash of their texts. Other columns
     are ignored; an empty table gives no file. Texts are dealt out by ranges of (id, text hash), so nothing is gathered.
     """
     typed = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text")).withColumn("_tie", F.xxhash64("_text"))
@@ -176,7 +201,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
             if not len(batch):
                 continue
             if out is None:
-                encoder = _encoder(tokenizer_path)
+                encoder = _encoder(tokenizer_path, special_tokens)
                 width, shard = 8 * np.dtype(encoder.dtype).itemsize, batch.column(0)[0].as_py()
                 system, root = file_system(folder)
                 system.create_dir(root, recursive=True)
@@ -205,16 +230,16 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     return stored(ranged.mapInArrow(write, "shard int, path string, n_docs long, n_ids long"), "token-manifest")
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        encoder = Encoder(path, "<u4")
+def _encoder(path: str, special_tokens: bool) -> Encoder:
+    if (path, special_tokens) not in _encoders:
+        encoder = Encoder(path, "<u4", special_tokens)
         if encoder.tokenizer.get_vocab_size() <= 1 << 16:
             encoder.dtype = "<u2"
-        _encoders[path] = encoder
-    return _encoders[path]
+        _encoders[path, special_tokens] = encoder
+    return _encoders[path, special_tokens]
 
 
 def _attempt() -> str:
@@ -295,5 +320,5 @@ def read_token_files(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Writes the documents as token files and reads them back."""
-    return read_token_files(write_token_files(docs, shared_folder(spark, "tokens"), tokenizer_path))
+    """Writes the documents as token files, with the library's defaults for special tokens, and reads them back."""
+    return read_token_files(write_token_files(docs, shared_folder(spark, "tokens"), tokenizer_path, special_tokens=True))
