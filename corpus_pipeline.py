@@ -14,11 +14,14 @@ LEAST_SHARE = 0.3
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a language that the model knows stay. The text alone decides; labels are only learned from."""
+    """Documents of a language that the model knows stay. The text alone decides; labels are only learned from.
+
+    Each row goes by its own text, whatever other rows have its id or none.
+    """
     model = language_id.fit_on(docs)
-    rejected = language_id.identify(docs, model).where((F.col("lang_pred") == language_id.UNKNOWN) | (F.col("score") < LEAST_SHARE))
-    gone = stored(rejected.select(F.col("doc_id").alias("_gone")).distinct(), "rejected")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti").select(*docs.columns)
+    numbered = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    found = language_id.identify(numbered, model, text_col=f"_{docs.columns.index('text')}", keep=numbered.columns)
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SHARE)).select(*numbered.columns).toDF(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -278,6 +278,16 @@ def test_salvage_goes_on_behind_damage():
     assert list(warc.salvage(b"")) == []
 
 
+def test_language_stage_goes_by_rows_not_ids(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    english = docs.where("lang = 'en' and length(text) > 500").first().text
+    extra = spark.createDataFrame([(None, "12 34", "en", "src0", 5), (None, english, "en", "src0", 1), (None, english, None, None, None), (-7, None, None, "src1", 0), (-7, english, "en", "src1", 2), (-7, english, "en", "src1", 2)], docs.schema)
+    kept = corpus_pipeline.languages(spark, docs.unionByName(extra), sf_dir)
+    assert kept.schema.names == docs.columns
+    rows = lambda df: Counter(tuple(r) for r in df.collect())
+    assert rows(kept) == rows(docs.unionByName(extra.where("text like '%a%'")))
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     names = docs.columns

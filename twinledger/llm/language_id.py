@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
 from twinledger.llm.common import as_large_text, in_training, tidy
 
@@ -311,19 +312,25 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield begin, texts[begin:]
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Per document: its id, lang_pred, score (share of the predicted language over all words, by their posteriors).
 
+    With ``keep`` these columns of the document stand in place of its id; none may be named like the two others.
+
     A text that is NULL or has no letter is ``und`` with score 0; so is every text if the model knows no language. Ties go to
     the first language by code point. Other columns are ignored; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[id_col].dataType
+    names = [id_col] if keep is None else list(keep)
+    # A text that is kept goes to the tasks once.
+    once = text_col in names and docs.schema[text_col].dataType == StringType()
+    at = names.index(text_col) if once else len(names)
+    given = docs.select(*names, *([] if once else [F.col(text_col).cast("string").alias("_text")]))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field_ = shared.value
         for batch in batches:
-            texts = as_large_text(batch.column(1)).to_pylist()
+            texts = as_large_text(batch.column(at)).to_pylist()
             for begin, part in _chunks(texts):
                 words = words_of(part)
                 if field_.languages:
@@ -332,16 +339,15 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                     sums = np.concatenate([np.zeros((1, posterior.shape[1])), np.cumsum(posterior, axis=0, dtype=np.float64)])
                     share = (sums[limits[1:]] - sums[limits[:-1]]) / np.maximum(1, words.counts)[:, None]
                     best = share.argmax(axis=1)
-                    names = [field_.languages[k] if n else UNKNOWN for k, n in zip(best, words.counts)]
+                    languages = [field_.languages[k] if n else UNKNOWN for k, n in zip(best, words.counts)]
                     scores = np.where(words.counts > 0, np.clip(share[np.arange(len(part)), best], 0, 1), 0.0)
                 else:
-                    names, scores = [UNKNOWN] * len(part), np.zeros(len(part))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(part)), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[id_col, "lang_pred", "score"])
-
-    from pyspark.sql.types import DoubleType, StringType, StructType
+                    languages, scores = [UNKNOWN] * len(part), np.zeros(len(part))
+                kept = [batch.column(k).slice(begin, len(part)) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(languages, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
 
-    schema = StructType().add(id_col, kind).add("lang_pred", StringType()).add("score", DoubleType())
-    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(tidy(rows), schema)
+    schema = StructType([docs.schema[name] for name in names]).add("lang_pred", StringType()).add("score", DoubleType())
+    return given.mapInArrow(tidy(rows), schema)
 
 
 def spans(text: str, model: Model) -> list[tuple[int, int, str]]:
