@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
 import corpus_pipeline
-from twinledger.llm import embedding_dedup, exact_dedup, html_tree, language_id, mixing, near_dedup, ngram_lm, sentencepiece_codec, token_files, warc
+from twinledger.llm import (
+    decontamination, embedding_dedup, exact_dedup, hard_negatives, html_tree, language_id, mixing, near_dedup, ngram_lm, periodic_runs, sentencepiece_codec,
+    token_files, warc,
+)
 from twinledger.llm.common import read
 
 
@@ -53,11 +57,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_with_holdout(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", relabelled), F.col("vec_id") % 100 == 0)
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.summarised(decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.summarised(periodic_runs.periodic_runs(periodic_runs.with_planted_runs(read(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: query for name, query in globals().items() if name.startswith("op")}
     return {**found, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op2_exact_dedup": exact_dedup.SQL, "op9_warc": warc.SQL}
+    sql = {"op2_exact_dedup": exact_dedup.SQL, "op9_warc": warc.SQL, "op11_hard_negatives": hard_negatives.SQL, "op12_decontamination": decontamination.SQL,
+           "op13_periodic_runs": periodic_runs.SQL}
     return {**sql, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
