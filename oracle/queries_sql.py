@@ -454,11 +454,24 @@ UNION ALL SELECT 'ALLOWED', 'Allowed', CAST(sum(CAST(LINE_ALLOW_AMT AS DECIMAL(3
     for table, op in (("members", "v06_member"), ("claims", "v06_claim")):
         columns = ", ".join((*TABLES[table][0], *flag_names(table)))
         q[f"{op}_defect_rows"] = flag_query(table, f"SELECT {columns} FROM {table}_flags WHERE {any_flag(table)}")
+    for op, table in (("v04_member", "members"), ("v05_claim", "claims")):
+        names = flag_names(table)
+        bits = ", ".join(
+            f"CAST({' + '.join(f'{name} * {1 << i}::BIGINT' for i, name in enumerate(names[k:k + 63]))} AS BIGINT) AS flags_{k // 64}" for k in range(0, len(names), 64))
+        q[f"{op}_packed_flags"] = flag_query(table, f"SELECT {', '.join(TABLES[table][0])}, {bits} FROM {table}_flags")
+    q["v06_claim_defects_per_row"] = flag_query(
+        "claims", f"SELECT CAST({' + '.join(CLAIM_FIELDS)} AS INTEGER) AS n_defects, count(*) AS n_rows FROM claims_flags GROUP BY 1")
     q["v07_line_payment_differences"] = with_ctes(CLAIMS, MEMBERS, STATES, payment_differences(False)) + "SELECT * FROM payments"
     q["v07_line_payment_differences_fanout"] = with_ctes(CLAIMS, MEMBERS, STATES, payment_differences(True)) + "SELECT * FROM payments"
     q["v08_member_column_profile"] = ONLY["members"] + profile("members", MEMBER_KEYS, MEMBER_FIELDS)
     by_id = ("MEMBER_ID", "CLM_FROM_DT", "CLM_THRU_DT", *CLAIM_FIELDS)
     q["v08_claim_column_profile"] = ONLY["claims"] + profile("claims", ("CLM_ID",), by_id)
+    q["v08_claim_profile_of_differences"] = q["v08_claim_column_profile"]
+    text = {a: f"CAST(CAST(round({{s}}.{a} * 100) AS BIGINT) AS VARCHAR)" for a in MEMBER_AMOUNTS}
+    q["v09_member_mismatch_cells"] = ONLY["members"] + "\nUNION ALL\n".join(
+        f"SELECT s.MEMBER_ID, s.YEAR, '{f}' AS field_name, {text.get(f, f'CAST({{s}}.{f} AS VARCHAR)').format(s='s')} AS src_value, "
+        f"{text.get(f, f'CAST({{s}}.{f} AS VARCHAR)').format(s='n')} AS new_value FROM src_members s JOIN new_members n USING (MEMBER_ID, YEAR) "
+        f"WHERE s.{f} IS DISTINCT FROM n.{f}" for f in MEMBER_FIELDS)
     changed = ("CLM_FROM_DT", "HCPCS_CD_2", "LINE_PMT_AMT_1", "LINE_IND_CD_3")
     q["v09_claim_mismatch_detail"] = ONLY["claims"] + pair_select(
         "claims", changed, f"s.CLM_ID, {side_by_side(changed, '{f}_{s}')}", "IS DISTINCT FROM", ("CLM_ID",))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from helpers import SCHEMA, pair_of, rows_of
 from twinledger.model import TablePair, TableSpec
-from twinledger.operators import amounts, fields, keys, lines, quality, rows, scorecard
+from twinledger.operators import amounts, fields, keys, lines, masks, quality, rows, scorecard
 
 KEYS = [(i, y) for i in ("a", "b", "c", None) for y in (1, 2)]
 CODES = st.sampled_from([None, "", "x", "y"])
@@ -323,3 +323,39 @@ def test_a_key_with_a_third_of_all_rows_is_never_paired(spark):
     apart = pair.with_spec(on_shared_keys="set_apart")
     assert fields.field_flags(apart).count() == 60 and amounts.amount_deltas(apart).count() == 60
     assert keys.set_apart_shared_keys(pair, pair.spec.keys)[1].count() == 60
+
+
+@FEW
+@given(src=TABLE, new=TABLE, mode=st.sampled_from(["coalesce", "distinct", "plain"]), one_sided=st.sampled_from(["flag", "null_new_only"]))
+def test_packed_flags_are_the_flags(spark, src, new, mode, one_sided):
+    pair = pair_of(spark, as_rows(src), as_rows(new), key_flags=("id",))
+    names, packed = fields.flag_names(pair), fields.packed_flags(pair, mode, one_sided)
+    plain = fields.field_flags(pair, mode, one_sided)
+    assert rows_of(masks.unpacked(packed, names, pair.spec.keys)) == rows_of(plain)
+    assert rows_of(packed.agg(*masks.sums(names))) == rows_of(plain.agg(*[F.coalesce(F.sum(n), F.lit(0)) for n in names]))
+    counted = packed.selectExpr(f"{masks.n_set(names, pair.spec.fields)} AS n")
+    assert sorted(r.n for r in counted.collect()) == sorted(sum(v or 0 for v in row[3:]) for row in rows_of(plain))
+
+
+def test_masks_of_more_columns_than_one_number_holds(spark):
+    names = [f"c{i}" for i in range(138)]
+    df = spark.range(300).selectExpr("id", *masks.packed([f"(id * {i + 7}) % 11 = 0" for i in range(138)]))
+    expected = [[int(i * (k + 7) % 11 == 0) for k in range(138)] for i in range(300)]
+    assert [list(r)[1:] for r in masks.unpacked(df, names, ["id"]).orderBy("id").collect()] == expected
+    assert [r[0] for r in df.orderBy("id").selectExpr(masks.n_set(names, names[60:70])).collect()] == [sum(e[60:70]) for e in expected]
+    assert df.where(masks.any_set(names, ["c63", "c64", "c137"])).count() == sum(any((e[63], e[64], e[137])) for e in expected)
+    only = spark.range(1).selectExpr(*masks.packed([str(i in (0, 63, 64, 137)).lower() for i in range(138)]))
+    assert masks.names_set(names, only.agg(*masks.combined(names)).first().asDict()) == ["c0", "c63", "c64", "c137"]
+
+
+@FEW
+@given(src=TABLE, new=TABLE)
+def test_one_comparison_gives_profile_detail_and_amounts(spark, tmp_path_factory, src, new):
+    pair = pair_of(spark, as_rows(src), as_rows(new))
+    found = fields.differences(pair, str(tmp_path_factory.mktemp("d") / "rows"))
+    assert rows_of(found.profile()) == rows_of(fields.column_profile(pair)) and found.src_rows == len(src)
+    assert set(found.fields) == {r[0] for r in rows_of(fields.column_profile(pair))}
+    same = lambda df: [tuple(map(canonical, row)) for row in rows_of(df)]
+    assert same(found.detail()) == same(fields.mismatch_detail(pair, found.fields))
+    assert same(found.amounts("amt_1")) == same(fields.amount_differences(pair, "amt_1"))
+    assert found.cells().count() == sum(r[1] for r in rows_of(fields.column_profile(pair)))

@@ -67,6 +67,15 @@ def test_results_from_changed_rows_equal_results_from_whole_tables(spark, sf_dir
         "claim_payment_amount_discrepancies": lines.line_payment_differences(
             claims, members, states, claim=c.claim, member=c.member, from_date=c.from_date, year=c.year, state_code=c.state_code,
             payment=c.payment, indicator=c.indicator, allowed=c.allowed),
+        "row_status_beneficiary": rows.row_status(members),
+        "row_status_carrier_claim": rows.row_status(claims),
+        "orphan_rates": rows.orphan_rate(members).unionByName(rows.orphan_rate(claims)),
+        "column_profile_beneficiary": fields.column_profile(members),
+        "column_profile_carrier_claim": fields.column_profile(claims.keyed_by(c.claim)),
+        "mismatch_detail_carrier_claim": fields.mismatch_detail(claims.keyed_by(c.claim), ("CLM_FROM_DT", "HCPCS_CD_2", "LINE_PMT_AMT_1", "LINE_IND_CD_3")).select(
+            results["mismatch_detail_carrier_claim"].columns),
+        "amount_differences": fields.amount_differences(claims.keyed_by(c.claim), c.payment),
+        "comprehensive_orphan_claims_sample": rows.extra_rows(claims).orderBy(*claims.src.columns).limit(5),
         "six_sigma": quality.with_exact_sigma(quality.overall_quality(claims).unionByName(quality.overall_quality(members))),
         "six_sigma_columns": quality.column_quality(claims).unionByName(quality.column_quality(members)),
         "financial_impact_carrier_claim": amounts.family_impact(amounts.field_totals(claims), claims.spec.subject),
@@ -76,6 +85,25 @@ def test_results_from_changed_rows_equal_results_from_whole_tables(spark, sf_dir
         assert results[name].count() > 0, name
 
 
+def test_counts_come_from_packed_flags_and_details_from_stored_rows(run):
+    """Nothing but keys and a few numbers is read for counts; the detail has no join and only the columns that differ."""
+    _, claims, results = run
+    for name in ("six_sigma_columns", "audit_claim_summary", "row_status_carrier_claim"):
+        plan = plan_of(results[name])
+        assert "LINE_PMT_AMT_1#" not in plan.replace("AS LINE_PMT_AMT_1#", "") or name != "row_status_carrier_claim"
+        assert "src_HCPCS_CD_2" not in plan and "FullOuter" not in plan
+    detail = plan_of(results["mismatch_detail_carrier_claim"])
+    assert "Join" not in detail and "Exchange" not in detail and "TAX_NUM_1" not in detail
+
+
+def test_packed_flags_need_one_join_and_no_job_beforehand(spark, sf_dir):
+    pair = stored(spark, pairs.claims_pair(spark, sf_dir), "packed-test")
+    packed = fields.packed_flags(pair)
+    assert [c for c in packed.columns if c not in pair.spec.keys] == ["in_src", "in_new", "flags_0"]
+    packed.collect()
+    assert plan_of(packed).count("SortMergeJoin") + plan_of(packed).count("ShuffledHashJoin") >= 1 and "WholeStageCodegen" in plan_of(packed) or "*(" in plan_of(packed)
+
+
 def test_shared_keys_fail_or_are_reported(spark, sf_dir, run):
     members, claims, results = run
     from twinledger.model import TablePair

@@ -12,7 +12,8 @@ from twinledger.functions.families import field_family
 from twinledger.functions.shape import as_rows
 from twinledger.functions.sigma import sigma_approx, sigma_exact
 from twinledger.model import TablePair, TableSpec
-from twinledger.operators.fields import STRATEGIES, field_flags, flag_names
+from twinledger.operators import masks
+from twinledger.operators.fields import STRATEGIES, flag_names, packed_flags
 from twinledger.operators.keys import audited_rows, changed_pair, key_census
 
 # Fixed value: opportunities per million.
@@ -31,17 +32,20 @@ def defect_counts(pair: TablePair, null_mode: str = "coalesce", strategy: str =
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
     if strategy == "direct":
-        return field_flags(pair, null_mode).agg(F.count("*").alias("units"), *_sums(flag_names(pair)))
+        return packed_flags(pair, null_mode).agg(F.count("*").alias("units"), *masks.sums(flag_names(pair)))
     census = key_census(pair, null_mode)
     return changed_defect_counts(changed_pair(pair, census), audited_rows(census), null_mode)
 
 
 def changed_defect_counts(changed: TablePair, units: DataFrame, null_mode: str = "coalesce") -> DataFrame:
     """``defect_counts`` out of the changed rows of a pair and the number of audited rows of the whole pair."""
-    columns = flag_names(changed)
-    defects = field_flags(changed, null_mode).agg(*_sums(columns))
-    both = units.unionByName(defects, allowMissingColumns=True)
-    return both.agg(F.sum("units").alias("units"), *_sums(columns))
+    return counts_of_flags(packed_flags(changed, null_mode), flag_names(changed), units)
+
+
+def counts_of_flags(flags: DataFrame, names: Sequence[str], units: DataFrame) -> DataFrame:
+    """``defect_counts`` out of the packed flags of all rows that changed."""
+    both = units.unionByName(flags.agg(*masks.sums(names)), allowMissingColumns=True)
+    return both.agg(F.sum("units").alias("units"), *_sums(names))
 
 
 def _sums(columns: Sequence[str]) -> list[Column]:
@@ -59,8 +63,8 @@ def overall_quality(pair: TablePair, opportunities_per_row: int | None = None, n
     """One row for the table. Every field of a row is one opportunity unless ``opportunities_per_row`` says otherwise;
     key flags are not counted."""
     if strategy == "direct":
-        flags = field_flags(pair.with_spec(key_flags=()), null_mode)
-        in_row = flags.agg(F.count("*").alias("units"), F.expr(f"coalesce(sum({_plus(pair.spec.fields)}), 0) AS defects"))
+        in_row = packed_flags(pair, null_mode).agg(
+            F.count("*").alias("units"), F.expr(f"coalesce(sum({masks.n_set(flag_names(pair), pair.spec.fields)}), 0) AS defects"))
         return _overall(in_row, pair.spec, opportunities_per_row)
     return overall_from_counts(defect_counts(pair, null_mode, strategy), pair.spec, opportunities_per_row)
 

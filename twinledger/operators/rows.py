@@ -92,6 +92,29 @@ def row_status(pair: TablePair) -> DataFrame:
     )
 
 
+def status_of(flags: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``row_status`` out of the packed flags of all rows that changed."""
+    status = F.when(F.col("in_new").isNull(), MISSING_STATUS).otherwise(EXTRA_STATUS).alias("status")
+    return flags.where("in_src IS NULL OR in_new IS NULL").select(status, *keys)
+
+
+def orphan_rates_of(statuses: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """``orphan_rate`` of several tables out of their row status and source rows."""
+    parts = []
+    for subject, (status, src) in statuses.items():
+        parts.append(status.agg(F.count_if(F.col("status") == MISSING_STATUS).alias("orphan_rows")).withColumn("subject", F.lit(subject)))
+        parts.append(src.agg(F.count("*").alias("src_rows")).withColumn("subject", F.lit(subject)))
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    totals = stacked.groupBy("subject").agg(F.sum("src_rows").alias("src_rows"), F.sum("orphan_rows").alias("orphan_rows"))
+    return totals.select("subject", "src_rows", "orphan_rows", _orphan_rate())
+
+
+def _orphan_rate() -> Column:
+    return F.round(F.coalesce(ratio(F.col("orphan_rows") * 100, F.col("src_rows")), F.lit(0.0)), 4).alias("orphan_rate")
+
+
 def orphan_rate(pair: TablePair) -> DataFrame:
     """Missing source rows in percent of all source rows; 0 for an empty source."""
     keys = pair.spec.keys
@@ -104,7 +127,7 @@ def orphan_rate(pair: TablePair) -> DataFrame:
     totals = checked.agg(F.count("*").alias("src_rows"), (F.count("*") - F.count("known")).alias("orphan_rows"))
     return totals.select(
         F.lit(pair.spec.subject).alias("subject"), "src_rows", "orphan_rows",
-        F.round(F.coalesce(ratio(F.col("orphan_rows") * 100, F.col("src_rows")), F.lit(0.0)), 4).alias("orphan_rate"),
+        _orphan_rate(),
     )
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from twinledger.functions.shape import as_rows
 from twinledger.functions.sigma import sigma_approx, sigma_exact
 from twinledger.model import TablePair
-from twinledger.operators import amounts, fields, keys, lines, quality, rows, scorecard
+from twinledger.operators import amounts, fields, keys, lines, masks, quality, rows, scorecard
 from twinledger.plans import derived_pairs as pairs
 from twinledger.plans.reconciliation import Comparison, compare
 from twinledger.session import scratch_dir
@@ -246,10 +247,42 @@ def v08_claim_column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.column_profile(pairs.claims_pair(spark, sf_dir).keyed_by("CLM_ID"))
 
 
+def _differences(make_pair: Callable, keys: tuple[str, ...], spark: SparkSession, sf_dir: str) -> fields.Differences:
+    return fields.differences(make_pair(spark, sf_dir).keyed_by(*keys), scratch_dir(spark, "differences"))
+
+
+def v08_claim_profile_of_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column profile out of the rows that one comparison wrote."""
+    return _differences(pairs.claims_pair, ("CLM_ID",), spark, sf_dir).profile()
+
+
 def v09_claim_mismatch_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both values of the columns that the column profile finds to differ."""
-    pair = pairs.claims_pair(spark, sf_dir).keyed_by("CLM_ID")
-    return fields.mismatch_detail(pair, fields.error_fields(fields.column_profile(pair)))
+    """Both values of the columns that differ anywhere, from the same comparison as the profile."""
+    return _differences(pairs.claims_pair, ("CLM_ID",), spark, sf_dir).detail()
+
+
+def v09_member_mismatch_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every differing value of members as a row."""
+    pair = pairs.members_pair(spark, sf_dir)
+    whole_cents = [F.round(F.col(a) * 100).cast("long").alias(a) for a in pair.spec.amounts]
+    others = [c for c in (*pair.spec.keys, *pair.spec.fields) if c not in pair.spec.amounts]
+    in_cents = TablePair(pair.spec, *(df.select(*others, *whole_cents) for df in (pair.src, pair.new)))
+    return fields.differences(in_cents, scratch_dir(spark, "differences")).cells()
+
+
+def v04_member_packed_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fields.packed_flags(pairs.members_pair(spark, sf_dir)).drop("in_src", "in_new")
+
+
+def v05_claim_packed_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fields.packed_flags(pairs.claims_pair(spark, sf_dir)).drop("in_src", "in_new")
+
+
+def v06_claim_defects_per_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the number of their defects, which are the set bits of their flags."""
+    pair = pairs.claims_pair(spark, sf_dir)
+    n_defects = F.expr(masks.n_set(fields.flag_names(pair), pair.spec.fields)).cast("int").alias("n_defects")
+    return fields.packed_flags(pair).groupBy(n_defects).agg(F.count("*").alias("n_rows"))
 
 
 def v10_amount_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,15 +398,17 @@ def _compared(spark: SparkSession, sf_dir: str) -> tuple[Comparison, Comparison]
         kept = TablePair(pair.spec, *(tables.write_table(df, f"{folder}/{side}") for side, df in (("src", pair.src), ("new", pair.new))))
         return compare(kept, f"{folder}/compared")
 
-    return stored(pairs.members_pair, "members"), stored(pairs.claims_pair, "claims")
+    # Both are derived and compared at the same time: the stages of one fill what those of the other leave idle.
+    with ThreadPoolExecutor(2) as pool:
+        return tuple(pool.map(lambda part: stored(*part), ((pairs.members_pair, "members"), (pairs.claims_pair, "claims"))))
 
 
 def _metrics(m: Comparison, c: Comparison, spark: SparkSession, sf_dir: str) -> DataFrame:
     return scorecard.count_metrics({
         "missing_members": rows.member_findings(m.changed, "MEMBER_ID", "YEAR", "DEATH_DT", which=("missing", "extra")),
-        "member_defect_rows": fields.field_flags(m.changed, only_defects=True),
+        "member_defect_rows": m.flags.where(masks.any_set(fields.flag_names(m.whole), m.whole.spec.fields)),
         "missing_claims": rows.claim_mismatches(c.changed, "CLM_ID"),
-        "claim_defect_rows": fields.field_flags(c.changed, only_defects=True),
+        "claim_defect_rows": c.flags.where(masks.any_set(fields.flag_names(c.whole), c.whole.spec.fields)),
         "payment_differences": _payments_of(c.changed, m.whole, spark, sf_dir, fanout=False),
     })
 
@@ -392,7 +427,7 @@ def _top_families(make_pair: Callable, spark: SparkSession, sf_dir: str) -> Data
 
 def g04_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     m, c = _compared(spark, sf_dir)
-    m_counts, c_counts = (quality.changed_defect_counts(side.changed, side.units) for side in (m, c))
+    m_counts, c_counts = (quality.counts_of_flags(side.flags, fields.flag_names(side.whole), side.units) for side in (m, c))
     overall = quality.overall_from_counts(c_counts, c.whole.spec).unionByName(quality.overall_from_counts(m_counts, m.whole.spec))
     families = quality.family_quality(quality.columns_from_counts(c_counts, c.whole.spec))
     impact = amounts.family_impact(amounts.field_totals(c.changed), c.whole.spec.subject)
@@ -452,12 +487,17 @@ def queries() -> dict[str, Query]:
         "v03_claim_symmetric_diff": v03_claim_symmetric_diff,
         "v04_member_field_flags": on_pair(fields.field_flags, members),
         "v05_claim_field_flags": on_pair(fields.field_flags, claims),
+        "v04_member_packed_flags": v04_member_packed_flags,
+        "v05_claim_packed_flags": v05_claim_packed_flags,
+        "v06_claim_defects_per_row": v06_claim_defects_per_row,
         "v06_member_defect_rows": partial(_defects, members),
         "v06_claim_defect_rows": partial(_defects, claims),
         "v07_line_payment_differences": partial(_payments, False),
         "v07_line_payment_differences_fanout": partial(_payments, True),
         "v08_member_column_profile": on_pair(fields.column_profile, members),
         "v08_claim_column_profile": v08_claim_column_profile,
+        "v08_claim_profile_of_differences": v08_claim_profile_of_differences,
+        "v09_member_mismatch_cells": v09_member_mismatch_cells,
         "v09_claim_mismatch_detail": v09_claim_mismatch_detail,
         "v10_amount_differences": v10_amount_differences,
         "v11_claim_field_flags_source_driven": on_pair(fields.field_flags, claims, one_sided="null_new_only"),

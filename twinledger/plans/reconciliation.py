@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,13 +57,19 @@ MEDICAL_CLAIMS = Columns(
 )
 
 
+# Results that are written at the same time: each is a small job over the changed rows, which leaves most of a cluster idle.
+WRITERS = 8
+
+
 @dataclass(frozen=True)
 class Comparison:
-    """One compared pair: all rows, the rows that changed, and how many rows there are to audit."""
+    """One compared pair: all rows, the rows that changed, how many rows there are to audit, and the packed flags of the changed
+    rows (``fields.compared_flags``), from which everything is counted that needs no values."""
 
     whole: TablePair
     changed: TablePair
     units: DataFrame
+    flags: DataFrame
 
 
 def compare(pair: TablePair, workdir: str, whole: TablePair | None = None) -> Comparison:
@@ -77,7 +84,8 @@ def compare(pair: TablePair, workdir: str, whole: TablePair | None = None) -> Co
         pair.spec, write_table(changed.src, os.path.join(workdir, "changed-src")),
         write_table(changed.new, os.path.join(workdir, "changed-new")),
     )
-    return Comparison(whole or pair, written, keys.audited_rows(census))
+    flags = write_table(fields.compared_flags(written), os.path.join(workdir, "flags"))
+    return Comparison(whole or pair, written, keys.audited_rows(census), flags)
 
 
 def check_keys(members: TablePair, claims: TablePair, columns: Columns) -> None:
@@ -109,10 +117,39 @@ def reconcile(members: TablePair, claims: TablePair, states: DataFrame, columns:
         claims, apart["claims_sharing_an_id"] = keys.set_apart_shared_keys(claims, [columns.claim])
     m, c = (compare(pair, os.path.join(workdir, name), whole)
             for name, pair, whole in (("members", members, originals[0]), ("claims", claims, originals[1])))
-    return {**_counts(m, c, columns), **_findings(m, c, states, columns), **_quality(m, c, columns), **_impact(m, c),
+    findings = _findings(m, c, states, columns)
+    return {**_counts(m, c, columns), **findings, **_samples(findings), **_profiles(m, c, columns, workdir), **_quality(m, c, columns), **_impact(m, c),
             **_recomputed(m, c, columns, years), **apart}
 
 
+# The findings of which a few rows are shown.
+SAMPLED = (
+    "missing_beneficiaries", "extra_beneficiaries", "beneficiary_date_differences", "beneficiary_attribute_mismatches", "comprehensive_beneficiary_differences",
+    "audit_beneficiary_summary", "claim_payment_amount_discrepancies", "comprehensive_orphan_claims", "audit_claim_summary",
+)
+
+
+def _samples(findings: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The first rows of the findings in the order of all of their columns."""
+    return {f"{name}_sample": scorecard.sample_rows(findings[name], findings[name].columns) for name in SAMPLED}
+
+
+def _profiles(m: Comparison, c: Comparison, columns: Columns, workdir: str) -> dict[str, DataFrame]:
+    """Which columns differ, where, and which rows have no partner. Claims are matched by id here, members by their key; each
+    pair is compared once more over its changed rows, whose differing ones are written with their values."""
+    results = {}
+    for name, side, keyed in (("beneficiary", m, ()), ("carrier_claim", c, (columns.claim,))):
+        pair = side.changed.keyed_by(*keyed) if keyed else side.changed
+        found = fields.differences(pair, os.path.join(workdir, f"differences-{name}"), src_rows=side.whole.src.count())
+        results[f"column_profile_{name}"], results[f"mismatch_detail_{name}"] = found.profile(), found.detail()
+        if keyed:
+            results["amount_differences"] = found.amounts(columns.payment)
+    statuses = [rows.status_of(side.flags, side.whole.spec.keys) for side in (m, c)]
+    results["row_status_beneficiary"], results["row_status_carrier_claim"] = statuses
+    results["orphan_rates"] = rows.orphan_rates_of({side.whole.spec.subject: (status, side.whole.src) for side, status in zip((m, c), statuses)})
+    return results
+
+
 def _counts(m: Comparison, c: Comparison, columns: Columns) -> dict[str, DataFrame]:
     return {
         "row_counts": rows.row_count_comparison({"members": m.whole, "claims": c.whole}),
@@ -133,19 +170,19 @@ def _findings(m: Comparison, c: Comparison, states: DataFrame, columns: Columns)
         "beneficiary_date_differences": fields.value_differences(
             members, {columns.birth_date: "dob", columns.death_date: "dod"}, keys=[columns.member]),
         "comprehensive_beneficiary_differences": rows.symmetric_difference(members.src, members.new),
-        "audit_beneficiary_summary": fields.field_flags(members, only_defects=True),
+        "audit_beneficiary_summary": fields.defects_of(m.flags, members),
         "missing_claims": rows.claim_mismatches(claims, columns.claim),
         # Members are looked up whole: an unchanged member can have a changed claim.
         "claim_payment_amount_discrepancies": lines.line_payment_differences(
             claims, m.whole, states, claim=columns.claim, member=columns.member, from_date=columns.from_date, year=columns.year,
             state_code=columns.state_code, payment=columns.payment, indicator=columns.indicator, allowed=columns.allowed),
         "comprehensive_orphan_claims": rows.extra_rows(claims),
-        "audit_claim_summary": fields.field_flags(claims, only_defects=True),
+        "audit_claim_summary": fields.defects_of(c.flags, claims),
     }
 
 
 def _quality(m: Comparison, c: Comparison, columns: Columns) -> dict[str, DataFrame]:
-    m_counts, c_counts = (quality.changed_defect_counts(side.changed, side.units) for side in (m, c))
+    m_counts, c_counts = (quality.counts_of_flags(side.flags, fields.flag_names(side.whole), side.units) for side in (m, c))
     overall = quality.overall_from_counts(c_counts, c.whole.spec, columns.claim_opportunities).unionByName(
         quality.overall_from_counts(m_counts, m.whole.spec))
     m_columns, c_columns = (quality.columns_from_counts(counts, side.whole.spec) for counts, side in ((m_counts, m), (c_counts, c)))
@@ -178,9 +215,9 @@ def _recomputed(m: Comparison, c: Comparison, columns: Columns, years: tuple[int
 
 
 def write_results(results: dict[str, DataFrame], directory: str) -> dict[str, DataFrame]:
-    """Writes every result as CSV, small and large alike as folders of parts, and reads the counted ones back."""
-    for name, df in results.items():
-        write_csv(df, os.path.join(directory, name))
+    """Writes every result as CSV, small and large alike as folders of parts, and reads them back."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        list(pool.map(lambda result: write_csv(result[1], os.path.join(directory, result[0])), results.items()))
     return {
         name: read_csv_table(df.sparkSession, os.path.join(directory, name), df.schema, null_tokens=(), multi_line=True)
         for name, df in results.items()
