@@ -257,6 +257,47 @@ MEASURE_SQL = {
 MEASURE_COLUMNS = ", ".join(f"CASE WHEN {LINE_VALID} THEN {v} ELSE 0 END AS {m}" for m, v in MEASURE_SQL.items())
 
 
+SHARED_FIELDS = ("PART", "SUPPLIER", "QUANTITY", "FLAG", "STATUS", "CENTS")
+SHARED_LINES = """
+src_shared AS (
+  SELECT l_orderkey AS ORDER_ID, l_linenumber AS LINE_NUM, l_partkey AS PART, l_suppkey AS SUPPLIER, CAST(l_quantity AS BIGINT) AS QUANTITY,
+    l_returnflag AS FLAG, l_linestatus AS STATUS, CAST(round(l_extendedprice * 100) AS BIGINT) AS CENTS
+  FROM lineitem
+),
+new_shared AS (
+  SELECT ORDER_ID, LINE_NUM, PART, SUPPLIER, CASE WHEN PART % 53 = 0 THEN QUANTITY + 1 ELSE QUANTITY END AS QUANTITY,
+    CASE WHEN SUPPLIER % 71 = 0 THEN NULL ELSE FLAG END AS FLAG, STATUS, CASE WHEN SUPPLIER % 37 = 0 THEN CENTS - 5 ELSE CENTS END AS CENTS
+  FROM src_shared, range(2) AS t(copy)
+  WHERE (PART + SUPPLIER) % 97 <> 0 AND (copy = 0 OR PART % 89 = 0)
+)"""
+
+
+def matched_lines(fields) -> str:
+    """Rows of shared keys: equal ones paired off one by one, the others by the order of a digest of their values."""
+    columns = ", ".join(fields)
+    digest = "md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({f} AS VARCHAR), '')" for f in fields) + "))"
+    key, same = "ORDER_ID, LINE_NUM", " AND ".join(f"s.{f} IS NOT DISTINCT FROM n.{f}" for f in ("ORDER_ID", "LINE_NUM", *fields, "nth"))
+
+    def numbered(side):
+        return f"{side}_copies AS (SELECT *, row_number() OVER (PARTITION BY {key}, {columns}) AS nth, {digest} AS digest FROM {side}_shared)"
+
+    def rest(side, other):
+        return (f"{side}_rest AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY digest, nth) AS place FROM {side}_copies s "
+                f"WHERE NOT EXISTS (SELECT 1 FROM {other}_copies n WHERE {same}))")
+
+    return f"""{SHARED_LINES},
+{numbered('src')},
+{numbered('new')},
+{rest('src', 'new')},
+{rest('new', 'src')},
+matched AS (
+  SELECT s.ORDER_ID, s.LINE_NUM, {side_by_side(fields)} FROM src_copies s JOIN new_copies n ON {same}
+  UNION ALL
+  SELECT coalesce(s.ORDER_ID, n.ORDER_ID), coalesce(s.LINE_NUM, n.LINE_NUM), {side_by_side(fields)}
+  FROM src_rest s FULL JOIN new_rest n ON s.ORDER_ID = n.ORDER_ID AND s.LINE_NUM = n.LINE_NUM AND s.place = n.place
+)"""
+
+
 def annual(side: str) -> str:
     sums = ", ".join(
         f"CAST(sum(CAST(CASE WHEN {LINE_VALID} THEN {v} ELSE 0 END AS DECIMAL(38,6))) AS DOUBLE) AS {m}" for m, v in MEASURE_SQL.items()
@@ -482,6 +523,22 @@ UNION ALL SELECT 'ALLOWED', 'Allowed', CAST(sum(CAST(LINE_ALLOW_AMT AS DECIMAL(3
     nulled = ", ".join(f"CASE WHEN in_src THEN {f} END AS {f}" for f in flag_names("claims"))
     q["v11_claim_field_flags_source_driven"] = flag_query("claims", f"SELECT {', '.join(CLAIM_KEYS)}, {nulled} FROM claims_flags")
 
+    shared_flags = ", ".join(
+        f"CAST(coalesce(src_{f}, {d}) <> coalesce(new_{f}, {d}) AS INTEGER) AS {f}" for f in SHARED_FIELDS for d in ["''" if f in ("FLAG", "STATUS") else "0"])
+    with_flags = with_ctes(matched_lines(SHARED_FIELDS)) + "SELECT * FROM (SELECT ORDER_ID, LINE_NUM, " + shared_flags + " FROM matched)"
+    q["v05_line_flags_of_shared_keys"] = with_flags
+    q["v06_line_defects_of_shared_keys"] = f"{with_flags} WHERE {' + '.join(SHARED_FIELDS)} > 0"
+    q["q04_line_quality_of_shared_keys"] = "\nUNION ALL\n".join(
+        f"SELECT 'Order lines' AS SOURCE, '{f}' AS column_name, d AS TOTAL_DEFECTS, n AS TOTAL_OPPORTUNITIES, round(d::DOUBLE / n * 1000000, 6) AS DPMO, "
+        f"round({sigma('(d::DOUBLE / n)')}, 6) AS SIGMA_LEVEL FROM (SELECT CAST(sum({f}) AS BIGINT) AS d, count(*) AS n FROM ({with_flags}))" for f in SHARED_FIELDS)
+    money = ("CENTS", "QUANTITY")
+    q["f02_line_deltas_of_shared_keys"] = with_ctes(matched_lines(money)) + "SELECT ORDER_ID, LINE_NUM, " + ", ".join(
+        f"src_{a}, new_{a}, new_{a} - src_{a} AS delta_{a}, abs(new_{a} - src_{a}) AS abs_delta_{a}" for a in money) + " FROM matched"
+    q["v03_member_symmetric_diff_by_ranges"] = q["v03_member_symmetric_diff"]
+    q["v03_claim_symmetric_diff_by_ranges"] = q["v03_claim_symmetric_diff"]
+    q["j05_orphan_claims_by_ranges"] = q["j05_orphan_claims"]
+    q["j06_missing_claims_by_ranges"] = ONLY["claims"] + anti("claims", "src", "new", ", ".join(f"s.{c}" for c in (*CLAIM_KEYS, *CLAIM_FIELDS)))
+
     # Amounts
     for table, op in (("members", "f01_member"), ("claims", "f02_claim")):
         rounded = ", ".join(

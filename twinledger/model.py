@@ -17,7 +17,8 @@ class TableSpec:
     key columns that get a flag of their own, set on rows that exist on one side only. ``nullable_keys=False`` promises
     that no key is NULL, which lets a join use plain equality and so reuse a bucketed layout. ``on_shared_keys`` says what
     two-sided operators do about keys that a side holds more than once: ``pair`` joins their rows, each with each, ``fail``
-    raises and ``set_apart`` leaves them out (``operators.keys.set_apart_shared_keys`` gives them).
+    raises, ``set_apart`` leaves them out (``operators.keys.set_apart_shared_keys`` gives them) and ``match`` pairs every row with one
+    other at most (``operators.keys.matched_sides``).
     """
 
     subject: str
@@ -33,8 +34,8 @@ class TableSpec:
             object.__setattr__(self, name, tuple(getattr(self, name)))
         if not self.keys:
             raise ValueError(f"{self.subject}: at least one key is needed")
-        if self.on_shared_keys not in ("pair", "fail", "set_apart"):
-            raise ValueError(f"{self.subject}: on_shared_keys must be 'pair', 'fail' or 'set_apart', not {self.on_shared_keys!r}")
+        if self.on_shared_keys not in ("pair", "fail", "set_apart", "match"):
+            raise ValueError(f"{self.subject}: on_shared_keys must be 'pair', 'fail', 'set_apart' or 'match', not {self.on_shared_keys!r}")
         overlap = set(self.keys) & set(self.fields)
         if overlap:
             raise ValueError(f"{self.subject}: {sorted(overlap)} are both keys and fields")

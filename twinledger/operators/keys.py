@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinledger.functions.compare import normalised, quoted
@@ -91,6 +91,8 @@ def join_sides(pair: TablePair, how: str, columns: Sequence[str] | Mapping[str,
     keys = pair.spec.keys
     columns = pair.spec.fields if columns is None else columns
     names = dict(columns) if isinstance(columns, Mapping) else {c: c for c in columns}
+    if pair.spec.on_shared_keys == "match":
+        return matched_sides(pair, how, names, naming)
 
     def one_side(df: DataFrame, side: str, marker: str) -> DataFrame:
         values = [f"{quoted(column)} AS {quoted(naming.format(side=side, name=name))}" for name, column in names.items()]
@@ -105,6 +107,55 @@ def join_sides(pair: TablePair, how: str, columns: Sequence[str] | Mapping[str,
     return joined.selectExpr(*[f"coalesce(`{k}`, `__{k}`) AS `{k}`" for k in keys], *map(quoted, values), IN_SRC, IN_NEW)
 
 
+# Digits of a row's digest that deal the rows of a key over tasks: 256 parts a key and side.
+DEALT_DIGITS = 2
+
+
+def row_digest(columns: Sequence[str]) -> str:
+    """The order in which rows of one key are paired: MD5 of their values as text, NULL as an empty one, joined by bars."""
+    values = [f"coalesce(CAST({quoted(c)} AS STRING), '')" for c in columns]
+    return f"md5(concat_ws('|', {', '.join(values)}))"
+
+
+def matched_sides(pair: TablePair, how: str, names: Mapping[str, str], naming: str) -> DataFrame:
+    """``join_sides`` for keys that a side may hold more than once: n and m rows of a key make max(n, m) rows, not n * m.
+
+    Rows that are equal in all of the columns are paired as often as both sides hold them. What is left of a key is put in the
+    order of ``row_digest`` (ties by the columns) on each side, and the k-th row of one side goes with the k-th of the other; rows
+    beyond stay alone. Copies are combined before the shuffle, the ranks of a key are counted in parts by their digest, and rows
+    meet by key and rank, so that a key with a large part of all rows is spread over many tasks.
+    """
+    if how not in ("full_outer", "inner", "left_outer"):
+        raise ValueError(f"rows of shared keys can be matched for full_outer, inner or left_outer, not {how!r}")
+    keys, columns = list(pair.spec.keys), list(names)
+    sides = pair.src.select(*keys, *columns, F.lit(1).alias("__s")).unionByName(pair.new.select(*keys, *columns, F.lit(-1).alias("__s")))
+    counted = sides.groupBy(*keys, *columns).agg(F.count_if(F.col("__s") > 0).alias("__n_src"), F.count_if(F.col("__s") < 0).alias("__n_new"))
+
+    def shown(side: str) -> list[str]:
+        return [f"{quoted(column)} AS {quoted(naming.format(side=side, name=name))}" for column, name in names.items()]
+
+    in_both = counted.where("__n_src > 0 AND __n_new > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least("__n_src", "__n_new"))))
+    equal = in_both.selectExpr(*map(quoted, keys), *shown("src"), *shown("new"), f"true AS {IN_SRC}", f"true AS {IN_NEW}")
+
+    left = counted.where("__n_src <> __n_new").withColumns({
+        "__is_src": F.col("__n_src") > F.col("__n_new"), "__digest": F.expr(row_digest(columns)),
+        "__copy": F.explode(F.sequence(F.lit(1).cast("long"), F.abs(F.col("__n_src") - F.col("__n_new")))),
+    }).withColumn("__part", F.left("__digest", F.lit(DEALT_DIGITS)))
+    within = Window.partitionBy(*keys, "__is_src", "__part").orderBy("__digest", *columns, "__copy")
+    earlier = Window.partitionBy(*keys, "__is_src").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = left.groupBy(*keys, "__is_src", "__part").agg(F.count("*").alias("__size")).withColumn("__before", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+    placed = left.withColumn("__place", F.row_number().over(within))
+    renamed = parts.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__is_src").alias("__of_src"), F.col("__part").alias("__of_part"), "__before")
+    same_part = [*[F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], F.col("__is_src") == F.col("__of_src"), F.col("__part") == F.col("__of_part")]
+    ranked = placed.join(renamed, same_part).select(*keys, *columns, "__is_src", (F.col("__before") + F.col("__place")).alias("__rank"))
+    src = ranked.where("__is_src").selectExpr(*map(quoted, keys), "__rank", *shown("src"), f"true AS {IN_SRC}")
+    new = ranked.where("NOT __is_src").selectExpr(*[f"{quoted(k)} AS `__{k}`" for k in keys], "__rank AS __new_rank", *shown("new"), f"true AS {IN_NEW}")
+    joined = src.join(new, [*[F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], F.col("__rank") == F.col("__new_rank")], how)
+    its_keys = [f"CASE WHEN {IN_SRC} THEN {quoted(k)} ELSE `__{k}` END AS {quoted(k)}" for k in keys]
+    values = [quoted(naming.format(side=side, name=name)) for side in ("src", "new") for name in names.values()]
+    return equal.unionByName(joined.selectExpr(*its_keys, *values, IN_SRC, IN_NEW))
+
+
 def fingerprint(pair: TablePair, null_mode: str, columns: Sequence[str] | None = None) -> list[Column]:
     """Two independent 64-bit hashes of the compared values of a row: of ``columns``, by default fields and amounts.
 
@@ -123,7 +174,7 @@ def other_columns(pair: TablePair) -> list[str]:
 
 def key_census(pair: TablePair, null_mode: str = "coalesce", columns: Sequence[str] | None = None) -> DataFrame:
     """One row per key of either side with ``n_src``, ``n_new`` and ``is_changed``, which is about ``columns``, by default
-    fields and amounts.
+    fields and amounts. Where rows of shared keys are matched, a key changed as well if the sides hold it unequally often.
 
     Only the keys and two hashes are shuffled, whatever the width of the table, and copies of a row are combined before
     the shuffle. ``is_changed`` is FALSE only where both sides have the key and all hashes agree.
@@ -142,14 +193,15 @@ def key_census(pair: TablePair, null_mode: str = "coalesce", columns: Sequence[s
         *[F.min(h).alias(f"min_{h}") for h in hashes],
         *[F.max(h).alias(f"max_{h}") for h in hashes],
     )
-    same = " AND ".join(["n_src > 0", "n_new > 0", *[f"min_{h} = max_{h}" for h in hashes]])
+    often = ["n_src = n_new"] if pair.spec.on_shared_keys == "match" else []
+    same = " AND ".join(["n_src > 0", "n_new > 0", *often, *[f"min_{h} = max_{h}" for h in hashes]])
     return counted.select(*keys, "n_src", "n_new", (~F.expr(same)).alias("is_changed"))
 
 
-def audited_rows(census: DataFrame) -> DataFrame:
+def audited_rows(census: DataFrame, matched: bool = False) -> DataFrame:
     """One row, ``units``: the rows a full outer join on the keys has. A key held n times by one side and m times by the
-    other stands for n * m of them."""
-    rows = F.greatest("n_src", F.lit(1)) * F.greatest("n_new", F.lit(1))
+    other stands for n * m of them, or for the larger of both if rows are ``matched``."""
+    rows = F.greatest("n_src", "n_new") if matched else F.greatest("n_src", F.lit(1)) * F.greatest("n_new", F.lit(1))
     return census.agg(F.coalesce(F.sum(rows), F.lit(0)).alias("units"))
 
 

@@ -34,7 +34,7 @@ def defect_counts(pair: TablePair, null_mode: str = "coalesce", strategy: str =
     if strategy == "direct":
         return packed_flags(pair, null_mode).agg(F.count("*").alias("units"), *masks.sums(flag_names(pair)))
     census = key_census(pair, null_mode)
-    return changed_defect_counts(changed_pair(pair, census), audited_rows(census), null_mode)
+    return changed_defect_counts(changed_pair(pair, census), audited_rows(census, pair.spec.on_shared_keys == "match"), null_mode)
 
 
 def changed_defect_counts(changed: TablePair, units: DataFrame, null_mode: str = "coalesce") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from twinledger.functions.shape import as_rows
 from twinledger.functions.sigma import sigma_approx, sigma_exact
 from twinledger.model import TablePair
-from twinledger.operators import amounts, fields, keys, lines, masks, quality, rows, scorecard
+from twinledger.operators import amounts, fields, keys, lines, masks, quality, ranges, rows, scorecard
 from twinledger.plans import derived_pairs as pairs
 from twinledger.plans.reconciliation import Comparison, compare
 from twinledger.session import scratch_dir
@@ -227,6 +227,22 @@ def v03_claim_symmetric_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.symmetric_difference(pair.src, pair.new, with_side=True)
 
 
+def _kept(pair: TablePair, folder: str) -> TablePair:
+    """The pair written once, for what reads it several times."""
+    return TablePair(pair.spec, *(tables.write_table(df, f"{folder}/{side}") for side, df in (("src", pair.src), ("new", pair.new))))
+
+
+def _difference_by_ranges(make_pair: Callable, with_side: bool, spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "ranges")
+    pair = _kept(make_pair(spark, sf_dir), folder)
+    return ranges.symmetric_difference(pair.src, pair.new, pair.spec.keys, folder, with_side=with_side)
+
+
+def _one_sided_by_ranges(which: int, spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "ranges")
+    return ranges.one_sided_rows(_kept(pairs.claims_pair(spark, sf_dir), folder), folder)[which]
+
+
 def _defects(make_pair: Callable, spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.field_flags(make_pair(spark, sf_dir), only_defects=True)
 
@@ -394,9 +410,8 @@ def a08_line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _compared(spark: SparkSession, sf_dir: str) -> tuple[Comparison, Comparison]:
     """Members and claims, each derived, stored and compared once; the scorecard is then worked out from what changed."""
     def stored(make_pair: Callable, name: str) -> Comparison:
-        pair, folder = make_pair(spark, sf_dir), scratch_dir(spark, name)
-        kept = TablePair(pair.spec, *(tables.write_table(df, f"{folder}/{side}") for side, df in (("src", pair.src), ("new", pair.new))))
-        return compare(kept, f"{folder}/compared")
+        folder = scratch_dir(spark, name)
+        return compare(_kept(make_pair(spark, sf_dir), folder), f"{folder}/compared")
 
     # Both are derived and compared at the same time: the stages of one fill what those of the other leave idle.
     with ThreadPoolExecutor(2) as pool:
@@ -485,6 +500,14 @@ def queries() -> dict[str, Query]:
         "v02_date_differences": v02_date_differences,
         "v03_member_symmetric_diff": v03_member_symmetric_diff,
         "v03_claim_symmetric_diff": v03_claim_symmetric_diff,
+        "v03_member_symmetric_diff_by_ranges": partial(_difference_by_ranges, members, False),
+        "v03_claim_symmetric_diff_by_ranges": partial(_difference_by_ranges, claims, True),
+        "j05_orphan_claims_by_ranges": partial(_one_sided_by_ranges, 1),
+        "j06_missing_claims_by_ranges": partial(_one_sided_by_ranges, 0),
+        "v05_line_flags_of_shared_keys": on_pair(fields.field_flags, pairs.shared_lines_pair),
+        "v06_line_defects_of_shared_keys": on_pair(fields.field_flags, pairs.shared_lines_pair, only_defects=True),
+        "f02_line_deltas_of_shared_keys": on_pair(amounts.amount_deltas, pairs.shared_lines_pair),
+        "q04_line_quality_of_shared_keys": lambda spark, sf_dir: rounded(quality.column_quality(pairs.shared_lines_pair(spark, sf_dir), strategy="fingerprint")),
         "v04_member_field_flags": on_pair(fields.field_flags, members),
         "v05_claim_field_flags": on_pair(fields.field_flags, claims),
         "v04_member_packed_flags": v04_member_packed_flags,

@@ -70,7 +70,10 @@ SLOT_VALUES = {
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source claims and the numeric order key ``k`` that decides what the new system changed."""
     values = [F.expr(f"{how}({value}) AS {family}") for family, (how, value, _) in SLOT_VALUES.items()]
-    per_slot = read(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_shipdate").alias("last_ship"), *values)
+    # A line that no slot holds would be lost without a word.
+    checked = F.expr(f"CASE WHEN l_linenumber BETWEEN 1 AND {N_SLOTS} THEN l_linenumber "
+                     f"ELSE raise_error(concat('line number ', coalesce(CAST(l_linenumber AS STRING), 'NULL'), ' is not between 1 and {N_SLOTS}')) END")
+    per_slot = read(spark, sf_dir, "lineitem").withColumn("l_linenumber", checked.cast("int")).groupBy("l_orderkey", "l_linenumber").agg(F.max("l_shipdate").alias("last_ship"), *values)
     # Slots are put side by side after they are brought together by order: narrow slot rows are shuffled, not wide ones.
     side_by_side = [
         F.expr(f"max(CASE WHEN l_linenumber = {i} THEN {family} END) AS {family}_{i}")
@@ -154,6 +157,27 @@ def fine_charges_pair(spark: SparkSession, sf_dir: str) -> TablePair:
     return TablePair(FINE_SPEC, src, src.withColumn("CHARGE", F.col("CHARGE") + off))
 
 
+SHARED_SPEC = TableSpec(
+    "Order lines", keys=("ORDER_ID", "LINE_NUM"), fields=("PART", "SUPPLIER", "QUANTITY", "FLAG", "STATUS", "CENTS"), amounts=("CENTS", "QUANTITY"),
+    nullable_keys=False, on_shared_keys="match")
+
+
+def shared_lines_pair(spark: SparkSession, sf_dir: str) -> TablePair:
+    """Order lines, whose keys are not unique; the new system lost, repeated and changed some of them."""
+    src = read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("ORDER_ID"), F.col("l_linenumber").alias("LINE_NUM"), F.col("l_partkey").alias("PART"), F.col("l_suppkey").alias("SUPPLIER"),
+        F.col("l_quantity").cast("long").alias("QUANTITY"), F.col("l_returnflag").alias("FLAG"), F.col("l_linestatus").alias("STATUS"),
+        F.expr(_cents("l_extendedprice")).alias("CENTS"))
+    part, supplier = F.col("PART"), F.col("SUPPLIER")
+    times = F.when((part + supplier) % 97 == 0, 0).when(part % 89 == 0, 2).otherwise(1)
+    new = src.withColumn("copy", F.explode(F.array_repeat(F.lit(1), times))).drop("copy").withColumns({
+        "QUANTITY": F.when(part % 53 == 0, F.col("QUANTITY") + 1).otherwise(F.col("QUANTITY")),
+        "FLAG": F.when(supplier % 71 != 0, F.col("FLAG")),
+        "CENTS": F.when(supplier % 37 == 0, F.col("CENTS") - 5).otherwise(F.col("CENTS")),
+    })
+    return TablePair(SHARED_SPEC, src, new)
+
+
 def state_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations as a state lookup that lacks two codes, so that some states stay unknown."""
     nation = read(spark, sf_dir, "nation")
