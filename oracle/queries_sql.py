@@ -438,6 +438,10 @@ def oracle_sql() -> dict[str, str]:
         control.format(n="source claims", c="LINE_PMT_AMT_1", t="src_claims"),
         control.format(n="new claims", c="LINE_PMT_AMT_1", t="new_claims"),
     ])
+    q["s06_control_totals_of_loads"] = q["s06_control_totals"]
+    paid = "CAST(sum(CAST(LINE_PMT_AMT_1 AS DECIMAL(38,6))) AS DOUBLE)"
+    q["s04_batch_ledger"] = ONLY["claims"] + (
+        f"SELECT count(*) AS n_rows, 0::BIGINT AS n_rejected, {paid} AS file_total, count(*) AS table_rows, {paid} AS table_total FROM src_claims")
     q["s06_control_totals_mismatch"] = ONLY["members"] + """
 SELECT *, abs(file_total - table_total) AS diff, abs(file_total - table_total) < 0.1 AND n_rejected = 0 AS is_match FROM (
   SELECT 'reimbursed' AS check, CAST(sum(CAST(REIMB_AMT AS DECIMAL(38,6))) FILTER (YEAR <> 1996) AS DOUBLE) AS file_total,

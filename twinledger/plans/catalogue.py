@@ -13,6 +13,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinledger.functions.compare import MONEY
 from twinledger.functions.shape import as_rows
 from twinledger.functions.sigma import sigma_approx, sigma_exact
 from twinledger.model import TablePair
@@ -20,7 +21,8 @@ from twinledger.operators import amounts, fields, keys, lines, masks, quality, r
 from twinledger.plans import derived_pairs as pairs
 from twinledger.plans.reconciliation import Comparison, compare
 from twinledger.session import scratch_dir
-from twinledger.sources import controls, lookups, tables
+from twinledger.sources import controls, loading, lookups, tables
+from twinledger.streaming import ledger
 from twinledger.streaming.incremental import load_new_csv_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,13 +60,12 @@ def s01_csv_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def s02_multi_file_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members written as one folder per year without their year, and loaded with the year as a constant."""
+    """Members written as one folder per year without their year, and loaded in one scan with the year out of each file's path."""
     members = pairs.members_pair(spark, sf_dir).new
     path = scratch_dir(spark, "members-by-year")
     members.withColumn("part", F.col("YEAR")).drop("YEAR").write.partitionBy("part").option("header", True).csv(path)
-    years = [row["YEAR"] for row in members.select("YEAR").distinct().collect()]
-    loaded = tables.read_yearly_csv_table(spark, {y: f"{path}/part={y}" for y in years}, members.schema)
-    return loaded.groupBy("YEAR").agg(
+    loaded = loading.load_csv(spark, path, members.schema, scratch_dir(spark, "members"), {"YEAR": loading.from_path(r"part=(\d+)")})
+    return loaded.table.groupBy("YEAR").agg(
         F.count("*").alias("n_rows"), F.sum("COVER_MONS").alias("months"), _money("REIMB_AMT", "reimbursed"),
     )
 
@@ -110,6 +111,30 @@ def s06_control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return controls.control_totals(checks)
 
 
+def s06_control_totals_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same four checks, the files read once: their totals are observed while the tables are written."""
+    checks = {}
+    for kind, pair, column in (("members", pairs.members_pair(spark, sf_dir), "COVER_MONS"),
+                               ("claims", pairs.claims_pair(spark, sf_dir), "LINE_PMT_AMT_1")):
+        for label, df in (("source", pair.src), ("new", pair.new)):
+            files = _csv_copy(spark, df, f"{label}-{kind}")
+            checks[f"{label} {kind}"] = loading.load_csv(spark, files, df.schema, scratch_dir(spark, f"{label}-{kind}-table"), totals=[column]), column
+    return loading.loaded_totals(checks)
+
+
+def s04_batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims loaded from CSV files in batches with a ledger; what the ledger says of all batches."""
+    claims = pairs.claims_pair(spark, sf_dir).src
+    source, folder = _csv_copy(spark, claims, "claims-csv"), scratch_dir(spark, "claims-batches")
+    batches = ledger.BatchLoad(spark, source, claims.columns, claims.schema, folder, totals=["LINE_PMT_AMT_1"], files_per_batch=3)
+    for _ in range(2):
+        batches.run()
+    entries, table = batches.entries(), batches.table()
+    summed = entries.agg(F.sum("n_rows").alias("n_rows"), F.sum("n_rejected").alias("n_rejected"), F.sum("file_total").cast(MONEY).cast("double").alias("file_total"))
+    return summed.unionByName(table.agg(F.count("*").alias("table_rows"), _money("LINE_PMT_AMT_1", "table_total")), allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ("n_rows", "n_rejected", "file_total", "table_rows", "table_total")])
+
+
 def s06_control_totals_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members whose files hold amounts with a currency sign, which are no numbers, and of which the load lost some."""
     members = pairs.members_pair(spark, sf_dir).src
@@ -480,7 +505,9 @@ def queries() -> dict[str, Query]:
         "s05_race_lookup": s05_race_lookup,
         "s05_formulas": s05_formulas,
         "s05_variable_labels": s05_variable_labels,
+        "s04_batch_ledger": s04_batch_ledger,
         "s06_control_totals": s06_control_totals,
+        "s06_control_totals_of_loads": s06_control_totals_of_loads,
         "s06_control_totals_mismatch": s06_control_totals_mismatch,
         "s07_table_counts": s07_table_counts,
         "s08_row_count_comparison": s08_row_count_comparison,

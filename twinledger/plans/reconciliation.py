@@ -7,19 +7,19 @@ out from these rows; only counts, control totals and annual measures read the wh
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from twinledger.model import TablePair
 from twinledger.operators import amounts, fields, keys, lines, quality, rows, scorecard
 from twinledger.session import scratch_dir
-from twinledger.sources import controls, schemas
+from twinledger.sources import controls, loading, schemas
 from twinledger.sources.lookups import state_lookup
-from twinledger.sources.tables import read_csv_table, read_text_csv, typed, union_tables, with_constants, write_csv, write_table
+from twinledger.sources.tables import read_csv_table, write_csv, write_table
 
 # NULL counts as a value here, so that the changed rows hold whatever any of the operators regards as a change.
 CENSUS_MODE = "distinct"
@@ -57,6 +57,8 @@ MEDICAL_CLAIMS = Columns(
 )
 
 
+# Fixed value: the column of the member files whose total is checked, months of coverage.
+MEMBER_TOTAL = "BENE_HI_CVRAGE_TOT_MONS"
 # Results that are written at the same time: each is a small job over the changed rows, which leaves most of a cluster idle.
 WRITERS = 8
 
@@ -252,18 +254,18 @@ def load_medical_claims(spark: SparkSession, members: tuple[dict[int, str | Sequ
                         claims: tuple[str | Sequence[str], str | Sequence[str]], directory: str) -> tuple[TablePair, TablePair]:
     """Loads the exports of both systems (source, new) into parquet below ``directory``: yearly member files by year, and
     claim files. Malformed rows, values that do not fit and control totals that differ between files and tables fail the load."""
-    checks = []
-
-    def loaded(name: str, parts: dict[int | None, str | Sequence[str]], schema: StructType, total: str) -> DataFrame:
-        raws = {year: read_text_csv(spark, paths) for year, paths in parts.items()}
-        tables = [typed(with_constants(raw, {} if year is None else {"YEAR": year}), schema) for year, raw in raws.items()]
-        table = write_table(union_tables(tables), os.path.join(directory, name))
-        checks.append(controls.ControlTotal(name, union_tables([raw.select(total) for raw in raws.values()]), table, total))
-        return table
-
-    m = [loaded(f"{side}-members", paths, schemas.MEMBER_SCHEMA, MEDICAL_CLAIMS.reported) for side, paths in zip(("src", "new"), members)]
-    c = [loaded(f"{side}-claims", {None: paths}, schemas.CLAIM_SCHEMA, MEDICAL_CLAIMS.payment) for side, paths in zip(("src", "new"), claims)]
-    controls.require_match(controls.control_totals(checks))
+    def every(paths: Mapping[int, str | Sequence[str]]) -> list[str]:
+        return [p for some in paths.values() for p in ([some] if isinstance(some, str) else some)]
+
+    def loaded(name: str, paths: str | Sequence[str], schema: StructType, total: str, constants: Mapping[str, Column] | None = None) -> loading.Loaded:
+        return loading.load_csv(spark, paths, schema, os.path.join(directory, name), constants, totals=[total])
+
+    # Files are read once: totals are observed while the tables are written.
+    m = [loaded(f"{side}-members", every(paths), schemas.MEMBER_SCHEMA, MEMBER_TOTAL, {"YEAR": loading.by_path(spark, paths)}) for side, paths in zip(("src", "new"), members)]
+    c = [loaded(f"{side}-claims", paths, schemas.CLAIM_SCHEMA, MEDICAL_CLAIMS.payment) for side, paths in zip(("src", "new"), claims)]
+    checks = {f"{side} {name}": (load, total) for name, loads, total in (("members", m, MEMBER_TOTAL), ("claims", c, MEDICAL_CLAIMS.payment)) for side, load in zip(("src", "new"), loads)}
+    controls.require_match(loading.loaded_totals(checks))
+    m, c = ([load.table for load in loads] for loads in (m, c))
     return TablePair(schemas.MEMBER_SPEC, *m), TablePair(schemas.CLAIM_SPEC, *c)
 
 
