@@ -577,6 +577,7 @@ UNION ALL SELECT 'ALLOWED', 'Allowed', CAST(sum(CAST(LINE_ALLOW_AMT AS DECIMAL(3
         f"SELECT column_name, round({p}, 9) AS process_yield, round({normal_quantile(p)} + 1.5::DOUBLE, 6) AS sigma FROM claims_columns")
     both_flags = with_ctes(CLAIMS, MEMBERS, flags("claims"), flags("members"))
     q["q03_overall_quality"] = both_flags + QUALITY_BOTH
+    q["q03_running_claim_quality"] = flag_query("claims", overall("claims"))
     q["q03_overall_quality_by_fingerprint"] = q["q03_overall_quality"]
     q["q03_claim_quality_fixed_opportunities"] = flag_query("claims", overall("claims", per_row=42))
     for table, op in (("members", "q04_member"), ("claims", "q04_claim")):
@@ -587,6 +588,7 @@ UNION ALL SELECT 'ALLOWED', 'Allowed', CAST(sum(CAST(LINE_ALLOW_AMT AS DECIMAL(3
         q[f"{op}_family_quality"] = with_ctes(
             CLAIMS if table == "claims" else MEMBERS, flags(table), column_quality(table), families(table)
         ) + f"SELECT * FROM {table}_families"
+    q["q05_running_claim_family_quality"] = q["q05_claim_family_quality"]
     q["q07_exact_quality"] = both_flags + overall("claims", exact=EXACT) + "\nUNION ALL" + overall("members", exact=EXACT)
 
     # Lines and rules

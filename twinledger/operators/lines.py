@@ -125,6 +125,9 @@ def line_payment_differences(claims: TablePair, members: TablePair, states: Data
     source system alone never qualify. The state comes from the source member, else the new member, else
     'Unknown/Orphan', of the claim's year; ``fanout=True`` instead joins every year of the member and repeats the claim.
     Differing claims are filtered out before any member is looked up.
+
+    Members are reduced to how often they have each state before they meet the claims, so that a claim finds one row a member (and year):
+    a member of many years and many claims does not multiply them in one task. Copies are made of the finished rows at the end.
     """
     joined = join_sides(claims.keyed_by(claim), "full_outer", (member, from_date, payment, indicator, allowed))
     src_paid, new_paid = (F.coalesce(F.col(f"{s}_{payment}"), F.lit(0.0)) for s in ("src", "new"))
@@ -143,15 +146,18 @@ def line_payment_differences(claims: TablePair, members: TablePair, states: Data
     )
     found = found.withColumn("claim_year", F.left("CLM_FROM_DT", F.lit(4)).try_cast("int"))
     for name, df in (("src", members.src), ("new", members.new)):
-        coded = df.select(F.col(member).alias("m"), F.col(year).alias("y"), F.col(state_code).alias(f"{name}_code"))
-        condition = [F.col("member") == F.col("m")]
-        if not fanout:
-            condition.append(F.col("claim_year") == F.col("y"))
-        found = found.join(coded, condition, "left_outer").drop("m", "y")
+        by = [F.col(member).alias("m")] if fanout else [F.col(member).alias("m"), F.col(year).alias("y")]
+        held = df.groupBy(*by, F.col(state_code).alias("code")).agg(F.count("*").alias("times"))
+        # At most as many entries as there are states.
+        listed = held.groupBy(*(["m"] if fanout else ["m", "y"])).agg(F.collect_list(F.struct("code", "times")).alias(f"{name}_states"))
+        condition = [F.col("member") == F.col("m")] + ([] if fanout else [F.col("claim_year") == F.col("y")])
+        found = found.join(listed, condition, "left_outer").drop("m", "y")
     # Names are looked up last, for the claims found only.
     for name in ("src", "new"):
+        found = found.select("*", F.explode_outer(f"{name}_states").alias("s")).select("*", F.col("s.code").alias(f"{name}_code"), F.coalesce("s.times", F.lit(1)).alias(f"{name}_times")).drop("s")
         found = found.join(states.select(F.col("code").alias(f"{name}_code"), F.col("name").alias(f"{name}_state")), f"{name}_code", "left_outer")
-    return found.select(
+    repeated = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("src_times") * F.col("new_times"))))
+    return repeated.select(
         claim, "record_status", F.coalesce("src_state", "new_state", F.lit("Unknown/Orphan")).alias("STATE_NAME"),
         "CLM_FROM_DT", "src_pmt", "new_pmt", "processing_ind", "allowed_amt", "business_rule_status", "variance",
     )

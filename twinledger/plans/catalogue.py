@@ -24,6 +24,7 @@ from twinledger.session import scratch_dir
 from twinledger.sources import controls, loading, lookups, tables
 from twinledger.streaming import ledger
 from twinledger.streaming.incremental import load_new_csv_files
+from twinledger.streaming.metrics import RunningQuality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -368,6 +369,26 @@ def q03_overall_quality_by_fingerprint(spark: SparkSession, sf_dir: str) -> Data
     return rounded(parts[0].unionByName(parts[1]))
 
 
+def _running(spark: SparkSession, sf_dir: str) -> tuple[TablePair, DataFrame]:
+    """Claims that come in three batches, most rows of the two systems at different times, and the counts after them."""
+    pair = _kept(pairs.claims_pair(spark, sf_dir), scratch_dir(spark, "running-claims"))
+    kept = RunningQuality(spark, pair.spec, pair.src.select(*pair.spec.keys, *pair.spec.fields).schema, scratch_dir(spark, "running"))
+    dealt = [df.withColumn("part", F.pmod(F.xxhash64("CLM_ID", F.lit(side)), F.lit(3))) for side, df in enumerate((pair.src, pair.new))]
+    for number in range(3):
+        kept.add(number, *[df.where(F.col("part") == number).drop("part") for df in dealt])
+    return pair, kept.counts(3)
+
+
+def q03_running_claim_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair, counts = _running(spark, sf_dir)
+    return rounded(quality.overall_from_counts(counts, pair.spec))
+
+
+def q05_running_claim_family_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair, counts = _running(spark, sf_dir)
+    return rounded(quality.family_quality(quality.columns_from_counts(counts, pair.spec)))
+
+
 def q03_claim_quality_fixed_opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(quality.overall_quality(pairs.claims_pair(spark, sf_dir), FIXED_OPPORTUNITIES))
 
@@ -568,6 +589,8 @@ def queries() -> dict[str, Query]:
         "q01_sigma_approx": partial(_yields, sigma_approx),
         "q02_sigma_exact": partial(_yields, sigma_exact),
         "q03_overall_quality": q03_overall_quality,
+        "q03_running_claim_quality": q03_running_claim_quality,
+        "q05_running_claim_family_quality": q05_running_claim_family_quality,
         "q03_overall_quality_by_fingerprint": q03_overall_quality_by_fingerprint,
         "q03_claim_quality_fixed_opportunities": q03_claim_quality_fixed_opportunities,
         "q04_member_column_quality": lambda spark, sf_dir: rounded(_columns(members, spark, sf_dir)),
