@@ -21,6 +21,8 @@ HEADLINES = (
     "v05_claim_field_flags", "v06_claim_defect_rows", "v07_line_payment_differences", "v08_claim_column_profile",
     "f02_claim_amount_deltas", "f04_claim_delta_rollup", "f06_claim_field_totals", "f07_claim_family_impact",
     "q03_overall_quality", "q04_claim_column_quality", "q05_claim_family_quality", "q06_member_family_quality",
+    "v05_claim_packed_flags", "v05_line_flags_of_shared_keys", "v09_claim_mismatch_detail", "v03_claim_symmetric_diff_by_ranges", "j05_orphan_claims_by_ranges",
+    "s02_multi_file_union", "s04_batch_ledger", "s06_control_totals", "s06_control_totals_of_loads", "q03_running_claim_quality", "v07_line_payment_differences_fanout",
     "r05_claim_lines", "r07_annual_measures", "r08_recomputed_vs_reported", "g02_count_grades", "g04_recommendations",
 )
 DERIVED_COLUMNS = Columns(

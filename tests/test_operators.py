@@ -337,6 +337,17 @@ def test_packed_flags_are_the_flags(spark, src, new, mode, one_sided):
     assert sorted(r.n for r in counted.collect()) == sorted(sum(v or 0 for v in row[3:]) for row in rows_of(plain))
 
 
+def test_strategy_goes_by_the_size_of_stored_tables(spark, tmp_path):
+    rows = [(str(i), 1, "x" * 50 + str(i), 1.0, 1.0) for i in range(200)]
+    for side in ("src", "new"):
+        pair_of(spark, rows, rows).src.write.parquet(str(tmp_path / side))
+    pair = TablePair(pair_of(spark, [], []).spec, *(spark.read.parquet(str(tmp_path / side)) for side in ("src", "new")))
+    assert (quality.chosen_strategy(pair, "auto"), quality.chosen_strategy(pair, "auto", 1000), quality.chosen_strategy(pair, "direct", 0)) == ("direct", "fingerprint", "direct")
+    assert rows_of(quality.overall_quality(pair, strategy="auto")) == rows_of(quality.overall_quality(pair))
+    with pytest.raises(ValueError, match="strategy"):
+        quality.chosen_strategy(pair, "guess")
+
+
 def test_masks_of_more_columns_than_one_number_holds(spark):
     names = [f"c{i}" for i in range(138)]
     df = spark.range(300).selectExpr("id", *masks.packed([f"(id * {i + 7}) % 11 = 0" for i in range(138)]))

@@ -19,7 +19,7 @@ from twinledger.operators.keys import IN_NEW, IN_SRC, changed_pair, join_sides,
 ATTRIBUTE_FINDING = "Error: Beneficiary Attributes Changed"
 
 ONE_SIDED_MODES = ("flag", "null_new_only")
-STRATEGIES = ("direct", "fingerprint")
+STRATEGIES = ("direct", "fingerprint", "auto")
 
 
 def flag_conditions(pair: TablePair, null_mode: str = "coalesce") -> list[str]:

@@ -24,14 +24,28 @@ def _plus(columns: Sequence[str]) -> str:
     return " + ".join(map(quoted, columns)) or "0"
 
 
+# Estimated size of the smaller side from which ``auto`` shuffles fingerprints instead of rows.
+FINGERPRINT_BYTES = 16 << 30
+
+
+def chosen_strategy(pair: TablePair, strategy: str, from_bytes: int = FINGERPRINT_BYTES) -> str:
+    """``auto`` by the optimizer's estimate of what would be read, which is exact for stored tables: a second scan of a small table
+    costs more than shuffling it, one of a large table less."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
+    if strategy != "auto":
+        return strategy
+    sizes = [int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) for df in (pair.src, pair.new)]
+    return "fingerprint" if min(sizes) >= from_bytes else "direct"
+
+
 def defect_counts(pair: TablePair, null_mode: str = "coalesce", strategy: str = "direct") -> DataFrame:
     """One row: ``units`` (audited rows) and the defects per column, key flags included.
 
-    ``direct`` joins whole rows. ``fingerprint`` counts units over narrow keys and joins only rows that changed.
+    ``direct`` joins whole rows. ``fingerprint`` counts units over narrow keys and joins only rows that changed. ``auto`` takes the latter for
+    large tables.
     """
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
-    if strategy == "direct":
+    if chosen_strategy(pair, strategy) == "direct":
         return packed_flags(pair, null_mode).agg(F.count("*").alias("units"), *masks.sums(flag_names(pair)))
     census = key_census(pair, null_mode)
     return changed_defect_counts(changed_pair(pair, census), audited_rows(census, pair.spec.on_shared_keys == "match"), null_mode)
@@ -62,7 +76,7 @@ def overall_quality(pair: TablePair, opportunities_per_row: int | None = None, n
                     strategy: str = "direct") -> DataFrame:
     """One row for the table. Every field of a row is one opportunity unless ``opportunities_per_row`` says otherwise;
     key flags are not counted."""
-    if strategy == "direct":
+    if chosen_strategy(pair, strategy) == "direct":
         in_row = packed_flags(pair, null_mode).agg(
             F.count("*").alias("units"), F.expr(f"coalesce(sum({masks.n_set(flag_names(pair), pair.spec.fields)}), 0) AS defects"))
         return _overall(in_row, pair.spec, opportunities_per_row)
