@@ -321,21 +321,27 @@ def model_at(path: str) -> Model:
     return _models[path]
 
 
-def encoded(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """All columns and ``ids_col`` (array of int); a NULL text has no ids. A column of that name is replaced."""
-    rest = [c for c in docs.columns if c != ids_col]
+def encoded(docs: DataFrame, model_path: str, text_col: str = "text", ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all by default) and ``ids_col`` (array of int); a NULL text has no ids. A column of that name is replaced.
+
+    Texts that are not kept go to the tasks only, not back.
+    """
+    rest = [c for c in (docs.columns if keep is None else keep) if c != ids_col]
+    # A text that is kept goes to the tasks once.
+    once = text_col in rest and docs.schema[text_col].dataType == T.StringType()
+    at = rest.index(text_col) if once else len(rest)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_at(model_path)
         for batch in batches:
             for part in _parts(batch):
-                ids = model.encode(as_large_text(part.column(len(rest))).to_pylist())
+                ids = model.encode(as_large_text(part.column(at)).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])])
                 values = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(rest)], values], names=[*rest, ids_col])
 
     schema = T.StructType([docs.schema[c] for c in rest]).add(ids_col, T.ArrayType(T.IntegerType()))
-    source = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text_col}`").cast("string").alias("__text"))
+    source = docs.select(*[F.col(f"`{c}`") for c in rest], *([] if once else [F.col(f"`{text_col}`").cast("string").alias("__text")]))
     return source.mapInArrow(tidy(rows), schema)
 
 
