@@ -236,6 +236,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that stay: the one with the smallest id of each group, with all their columns."""
-    gone = near_duplicates(docs, id_col, text_col, shingle_words, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti").select(*docs.columns)
+    """The documents that stay: the one with the smallest id of each group, with all their columns.
+
+    Different texts that share an id are documents of their own, each judged by its own text; in a group they come after those whose
+    id is theirs alone. Rows that repeat id and text are one document and stay or go together. Rows without an id stay.
+    """
+    keyed = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.col(text_col).cast("string")).alias("_key"))
+    apart = keyed.where("_id IS NOT NULL").groupBy("_id").agg(F.min("_key").alias("x"), F.max("_key").alias("y")).where("x <> y").select("_id")
+    # Numbers hold because they are read from what was written.
+    named = stored(keyed.join(apart, "_id").distinct().withColumn("_number", F.monotonically_increasing_id()), "near-shared-ids")
+    if named.isEmpty():
+        gone = near_duplicates(docs, id_col, text_col, shingle_words, percent).where("NOT kept").select(F.col(id_col).alias("_gone")).distinct()
+        return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti").select(*docs.columns)
+    top = keyed.agg(F.max("_id")).first()[0]
+    numbered = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    its_id, its_text = (F.col(f"_{docs.columns.index(c)}") for c in (id_col, text_col))
+    noded = numbered.withColumns({"_id": its_id.cast("long"), "_key": F.xxhash64(its_text.cast("string"))}).join(named, ["_id", "_key"], "left").withColumn(
+        "_node", F.coalesce(F.col("_number") + (top + 1), "_id"))
+    gone = near_duplicates(noded.select("_node", its_text.alias("_text")), "_node", "_text", shingle_words, percent).where("NOT kept").select(F.col("_node").alias("_gone"))
+    return noded.join(gone.distinct(), F.col("_node") == F.col("_gone"), "left_anti").select(*numbered.columns).toDF(*docs.columns)
