@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-import corpus_pipeline
 from twinledger.llm import (
     decontamination, embedding_dedup, exact_dedup, hard_negatives, html_tree, language_id, mixing, near_dedup, ngram_lm, periodic_runs, sentencepiece_codec,
     token_files, warc,
@@ -71,11 +70,9 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {name: query for name, query in globals().items() if name.startswith("op")}
-    return {**found, "pipeline": corpus_pipeline.run}
+    return {name: query for name, query in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op2_exact_dedup": exact_dedup.SQL, "op9_warc": warc.SQL, "op11_hard_negatives": hard_negatives.SQL, "op12_decontamination": decontamination.SQL,
-           "op13_periodic_runs": periodic_runs.SQL}
-    return {**sql, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+    return {"op2_exact_dedup": exact_dedup.SQL, "op9_warc": warc.SQL, "op11_hard_negatives": hard_negatives.SQL, "op12_decontamination": decontamination.SQL,
+            "op13_periodic_runs": periodic_runs.SQL}
