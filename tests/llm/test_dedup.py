@@ -128,6 +128,16 @@ def test_vectors_against_all_pairs(spark):
     assert all(found[i].component_id <= i for i in range(len(x))) and found[600].component_id == found[0].component_id
 
 
+def test_vectors_of_any_size_are_compared(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(4, 8))
+    vectors = [(base[k] * scale).tolist() for k, scale in enumerate((1e200, 1e-200, 1e307, 5e-324))]
+    vectors = [v for v in vectors for _ in range(2)]
+    rows = [(i, [x * (1.001 if i % 2 and abs(x) < 1e307 else 1.0) for x in v]) for i, v in enumerate(vectors)]
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert all(found[i].n_links >= 1 and found[i + 1].component_id == found[i].component_id for i in range(0, 6, 2))
+
+
 def test_nearest_lattice_points():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(200, 8)) * 2

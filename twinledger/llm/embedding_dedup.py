@@ -80,6 +80,8 @@ def cells(unit: np.ndarray) -> np.ndarray:
 
 def _unit(data: list[bytes], dtype: str) -> np.ndarray:
     values = np.frombuffer(b"".join(data), dtype).reshape(len(data), -1).astype(np.float64)
+    # A power of two changes no digit; squares of the largest or the smallest numbers would be infinite or 0 otherwise.
+    values = np.ldexp(values, -np.frexp(np.abs(values).max(axis=1, keepdims=True))[1])
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
@@ -94,8 +96,7 @@ def _packed(dtype: str):
             out = []
             for a, b in zip(limits[:-1].tolist(), limits[1:].tolist()):
                 vector = values[a:b]
-                with np.errstate(over="ignore"):
-                    usable = b > a and np.isfinite(vector).all() and 0 < np.linalg.norm(vector) < np.inf
+                usable = b > a and np.isfinite(vector).all() and vector.any()
                 out.append((vector + 0.0).astype(dtype).tobytes() if usable else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["_id", "_vec"])
     return rows
@@ -200,8 +201,8 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     given = vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).cast("array<double>").alias("_v"))
     packed = stored(given.mapInArrow(_packed(dtype), "_id long, _vec binary"), "vec-packed")
     linkable = packed.where("_vec IS NOT NULL AND _id IS NOT NULL")
-    # A class goes by a hash of its vector: ids may repeat.
-    classes = stored(linkable.groupBy("_vec").agg(F.min("_id").alias("least_id"), F.count(F.lit(1)).alias("times")).withColumn("rep", F.xxhash64("_vec")), "vec-classes")
+    # A class goes by a number of its own, since ids may repeat; it holds because it is read from what was written.
+    classes = stored(linkable.groupBy("_vec").agg(F.min("_id").alias("least_id"), F.count(F.lit(1)).alias("times")).withColumn("rep", F.monotonically_increasing_id()), "vec-classes")
     partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     owned = classes.select("rep", "_vec").repartition(partitions, "rep").mapInArrow(_celled(dtype), "key long, owner boolean, rep long")
     owned = stored(owned, "vec-cells")
