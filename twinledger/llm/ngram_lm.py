@@ -254,7 +254,9 @@ def _write_sorted(folder: str, statistics: bool):
                     system.create_dir(root, recursive=True)
                     out = tuple(system.open_output_stream(f"{root}/{name}.{part}") for part in ("keys", "values"))
                 out[0].write(keys[a:b].astype("<u8").tobytes())
-                out[1].write(np.minimum(n[a:b], 2**32 - 1).astype("<u4").tobytes())
+                if n[a:b].max() >= 2**32:
+                    raise OverflowError("a word or pair of words occurs 2^32 times or more")
+                out[1].write(n[a:b].astype("<u4").tobytes())
                 rows, total = rows + int(b - a), total + int(n[a:b].sum())
                 tallies += np.bincount(np.minimum(n[a:b], 5), minlength=6)[:5]
                 if statistics:
@@ -297,6 +299,8 @@ def train(docs: DataFrame, text_col: str = "text") -> LanguageModel:
     texts = docs.select(F.col(text_col).cast("string").alias("_text"))
     vocabulary, files, _ = _sorted_files(texts.mapInArrow(_counted, "key long, n long"), f"{folder}/words", 1 << bits, TopBits(bits), False)
     total, distinct = sum(row["a"] for row in files), sum(vocabulary.sizes)
+    if distinct >= 2**32:
+        raise OverflowError("2^32 distinct words or more")
     hot = _hot_words(spark, vocabulary, total)
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
