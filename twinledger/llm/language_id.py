@@ -7,21 +7,25 @@ is fitted on a bounded sample of labelled documents and sent to the tasks; its s
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from twinledger.llm.common import as_large_text, in_training, tidy
 
-# Bounds of the sample that the model is fitted on: documents a language (expected number) and characters a document.
+# Bounds of the sample that the model is fitted on: documents a language, characters a document and a language, languages.
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 100_000
+LANGUAGE_CHARS = 4_000_000
 MAX_LANGUAGES = 200
+# Parts of a language that are sampled on their own first.
+PARTS = 16
 # Hashed n-gram features, and the lengths of n-grams; a word is padded, so those at its ends are its affixes.
 FEATURES = 1 << 16
 GRAMS = (1, 2, 3, 4)
@@ -81,7 +85,7 @@ def words_of(texts: list[str]) -> Words:
     with np.errstate(over="ignore"):
         weights = np.arange(len(padded), dtype=np.uint64) - np.repeat(starts, np.append(lengths + 1, 1)).astype(np.uint64)
         mixed = _hash((padded + np.uint64(7)) * np.uint64(0xD6E8FEB86659FD93) + weights * np.uint64(0xA0761D6478BD642F))
-        hashes = np.add.reduceat(mixed, starts[:-1]) if len(begins) else np.zeros(0, np.uint64)
+        hashes = np.add.reduceat(mixed[:-1], starts[:-1]) if len(begins) else np.zeros(0, np.uint64)
     offset = np.repeat(limits[:-1], counts)
     return Words(padded, starts, hashes, counts, begins - offset, ends - offset)
 
@@ -156,6 +160,81 @@ class Model:
         return out
 
 
+    def shares(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(share of each language in the words of each text, by their posteriors; number of words)."""
+        if len(texts) == 1 and len(texts[0]) > CHUNK_CHARS:
+            share, count = self._share_by_windows(texts[0])
+            return share[None], np.array([count])
+        words = words_of(texts)
+        posterior = self.posteriors(self.emissions(words), words.counts)
+        limits = np.concatenate([[0], np.cumsum(words.counts)])
+        sums = np.concatenate([np.zeros((1, posterior.shape[1])), np.cumsum(posterior, axis=0, dtype=np.float64)])
+        return (sums[limits[1:]] - sums[limits[:-1]]) / np.maximum(1, words.counts)[:, None], words.counts
+
+    def _share_by_windows(self, text: str) -> tuple[np.ndarray, int]:
+        """The same for a long text, with the memory of a part of it: a first pass forward keeps what it knows at the end of each
+        part; a second one, from the last part to the first, goes forward again within a part and takes the message backward along."""
+        step, before, count, total = np.exp(self.transitions), [None], 0, np.zeros(len(self.languages))
+        for part in parts_of(text):
+            gain = self._gain(part)
+            before.append(_forward(gain, step, before[-1])[-1] if len(gain) else before[-1])
+        after = None
+        for k, part in reversed(list(enumerate(parts_of(text)))):
+            gain = self._gain(part)
+            if len(gain):
+                alpha, beta = _forward(gain, step, before[k]), _backward(gain, step, after)
+                gamma = alpha * beta
+                total += (gamma / gamma.sum(axis=1, keepdims=True)).sum(axis=0)
+                count, after = count + len(gain), beta[0] * gain[0]
+        return total / max(1, count), count
+
+    def _gain(self, text: str) -> np.ndarray:
+        emissions = self.emissions(words_of([text])).astype(np.float64)
+        return np.exp(emissions - emissions.max(axis=1, keepdims=True)) if len(emissions) else emissions
+
+
+SPACE, NO_WORD = re.compile(r"\s"), re.compile(r"\W")
+
+
+def parts_of(text: str) -> Iterator[str]:
+    """A text cut between words into parts of about ``CHUNK_CHARS`` characters: at white space if some is near, else at another
+    character that is no letter."""
+    begin = 0
+    while begin < len(text):
+        wanted = begin + CHUNK_CHARS
+        cut = SPACE.search(text, wanted, wanted + CHUNK_CHARS) or NO_WORD.search(text, wanted)
+        end = cut.start() if cut else len(text)
+        yield text[begin:end]
+        begin = end
+
+
+def _forward(gain: np.ndarray, step: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+    """Scaled forward values of the words of one part, ``before`` being those of the word ahead of it."""
+    alpha = np.empty_like(gain)
+    now = gain[0] if before is None else before @ step * gain[0]
+    alpha[0] = now = now / now.sum()
+    for t in range(1, len(gain)):
+        now = now @ step * gain[t]
+        if t % RESCALE == 0:
+            now = now / now.sum()
+        alpha[t] = now
+    alpha[-1] /= alpha[-1].sum()
+    return alpha
+
+
+def _backward(gain: np.ndarray, step: np.ndarray, after: np.ndarray | None) -> np.ndarray:
+    """Scaled backward values of the words of one part, ``after`` being those of the next word times its gain."""
+    beta = np.empty_like(gain)
+    now = np.ones(gain.shape[1]) if after is None else step @ after
+    beta[-1] = now = now / now.sum()
+    for t in range(len(gain) - 1, 0, -1):
+        now = step @ (now * gain[t])
+        if t % RESCALE == 0:
+            now = now / now.sum()
+        beta[t - 1] = now
+    return beta
+
+
 def forward_backward(gain: np.ndarray, lengths: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(posteriors, scaled backward values) of sequences [time, sequence, label] of ascending lengths.
 
@@ -282,22 +361,34 @@ def _lexicon(texts: list[str], labels: np.ndarray, n: int) -> tuple[np.ndarray,
     return known[often], np.log(shares * n).astype(np.float32)
 
 
-def fit_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, folds: int = 5, fold: int = 0) -> Model:
-    """Fits the model on about ``sample_docs`` labelled documents a language of those outside the held-out fold.
+def fit_on(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, folds: int = 5, fold: int = 0,
+           sample_chars: int = SAMPLE_CHARS, language_chars: int = LANGUAGE_CHARS, max_languages: int = MAX_LANGUAGES) -> Model:
+    """Fits the model on at most ``sample_docs`` different labelled texts a language, out of those outside the held-out fold.
 
-    Which ones is decided by a hash of their text. Documents above ``SAMPLE_CHARS`` characters, without a label or without text
-    are not learned from. More than ``MAX_LANGUAGES`` labels are refused.
+    They are the first ones by a hash of the text, whatever number of copies a text has, and by ``language_chars`` in sum. Texts above
+    ``sample_chars`` characters come after the others, and only their first ``sample_chars`` are learned from: a language of which
+    there are no others is learned all the same. Documents without a label or without text are not learned from. More than
+    ``max_languages`` labels are refused.
     """
     usable = docs.where(in_training(id_col, folds, fold)).select(F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).cast("string").alias("_text")).where(
-        F.col("_lang").isNotNull() & F.col("_text").isNotNull() & (F.length("_text") <= SAMPLE_CHARS))
-    counts = {row["_lang"]: row["n"] for row in usable.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    draw = F.pmod(F.xxhash64("_text"), F.lit(1_000_000)) / 1_000_000
-    chosen = F.lit(False)
-    for language, n in counts.items():
-        chosen = chosen | ((F.col("_lang") == language) & (draw < sample_docs / n))
-    rows = sorted((row["_lang"], row["_text"]) for row in usable.where(chosen).collect())
+        "_lang IS NOT NULL AND _text IS NOT NULL")
+    hashed = usable.select("_lang", F.xxhash64("_text").alias("_hash"), F.length("_text").alias("_size"))
+    different = hashed.groupBy("_lang", "_hash").agg(F.min("_size").alias("_size"))
+    order = Window.partitionBy("_lang").orderBy(F.col("_size") > sample_chars, "_hash")
+    # The first ones of parts of a language come first, so that what meets in one task doesn't grow with the table.
+    in_part = Window.partitionBy("_lang", "_part").orderBy(F.col("_size") > sample_chars, "_hash")
+    parted = different.withColumn("_part", F.pmod("_hash", F.lit(PARTS))).withColumn("_place", F.row_number().over(in_part)).where(F.col("_place") <= sample_docs)
+    first = parted.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= sample_docs)
+    before = F.coalesce(F.sum(F.least("_size", F.lit(sample_chars))).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    picked = first.withColumn("_before", before).where(F.col("_before") < language_chars)
+    found = picked.select("_lang", "_hash").limit(max_languages * sample_docs + 1).collect()
+    if len({row["_lang"] for row in found}) > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
+    # The list is bounded by the sample; copies of a text are one before they leave the tasks.
+    listed = docs.sparkSession.createDataFrame([tuple(row) for row in found], "_lang string, _hash long")
+    pieces = usable.withColumn("_hash", F.xxhash64("_text")).join(F.broadcast(listed), ["_lang", "_hash"]).groupBy("_lang", "_hash").agg(
+        F.min(F.left("_text", F.lit(sample_chars))).alias("_text"))
+    rows = sorted((row["_lang"], row["_text"]) for row in pieces.collect())
     return fit([text for _, text in rows], [language for language, _ in rows])
 
 
@@ -317,6 +408,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     With ``keep`` these columns of the document stand in place of its id; none may be named like the two others.
 
+    A long text is worked through in windows with exact messages between them, so that memory is bounded by a window.
     A text that is NULL or has no letter is ``und`` with score 0; so is every text if the model knows no language. Ties go to
     the first language by code point. Other columns are ignored; an empty table gives an empty result.
     """
@@ -332,15 +424,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         for batch in batches:
             texts = as_large_text(batch.column(at)).to_pylist()
             for begin, part in _chunks(texts):
-                words = words_of(part)
                 if field_.languages:
-                    posterior = field_.posteriors(field_.emissions(words), words.counts)
-                    limits = np.concatenate([[0], np.cumsum(words.counts)])
-                    sums = np.concatenate([np.zeros((1, posterior.shape[1])), np.cumsum(posterior, axis=0, dtype=np.float64)])
-                    share = (sums[limits[1:]] - sums[limits[:-1]]) / np.maximum(1, words.counts)[:, None]
+                    share, counts = field_.shares(part)
                     best = share.argmax(axis=1)
-                    languages = [field_.languages[k] if n else UNKNOWN for k, n in zip(best, words.counts)]
-                    scores = np.where(words.counts > 0, np.clip(share[np.arange(len(part)), best], 0, 1), 0.0)
+                    languages = [field_.languages[k] if n else UNKNOWN for k, n in zip(best, counts)]
+                    scores = np.where(counts > 0, np.clip(share[np.arange(len(part)), best], 0, 1), 0.0)
                 else:
                     languages, scores = [UNKNOWN] * len(part), np.zeros(len(part))
                 kept = [batch.column(k).slice(begin, len(part)) for k in range(len(names))]
