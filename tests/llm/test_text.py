@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from test_dedup import words
-from twinledger.llm import html_tree, language_id, ngram_lm, sentencepiece_codec, token_files, warc
+from twinledger.llm import html_tree, language_id, near_dedup, ngram_lm, sentencepiece_codec, token_files, warc
 from twinledger.llm.common import read, shared_folder
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -156,6 +157,15 @@ def test_language_model_against_plain_counts(spark, sf_dir):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_counts_that_no_file_holds_are_refused(tmp_path):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0], pa.int32()), pa.array([1, 2]), pa.array([5, 2**32])], names=["shard", "key", "n"])
+    with pytest.raises(OverflowError):
+        list(ngram_lm._write_sorted(str(tmp_path / "lm"), False)(iter([batch])))
+    assert len(list(ngram_lm._write_sorted(str(tmp_path / "ok"), False)(iter([batch.slice(0, 1)])))) >= 1
+
+
 def test_language_model_without_documents(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     model = ngram_lm.train(docs.limit(0))
@@ -178,6 +188,22 @@ def test_forward_backward_against_all_paths():
         assert np.allclose(found[:n, k], sums / sums.sum(axis=1, keepdims=True))
 
 
+def test_windows_of_a_long_text_give_what_the_whole_gives(monkeypatch):
+    rng = random.Random(6)
+    kinds = {"en": "the of and to in is was he for it with as his on".split(), "fr": "le la et les des en un du une que est pour qui dans".split(), "el": "ΟΔΟΣ και το να της".split()}
+    texts = [" ".join(rng.choice(kinds[k]) for _ in range(60)) for k in kinds for _ in range(20)]
+    model = language_id.fit(texts, [k for k in kinds for _ in range(20)])
+    mixed = ". ".join(" ".join(rng.choice(kinds[rng.choice(list(kinds))]) for _ in range(rng.randrange(1, 30))) for _ in range(150))
+    whole = model.shares([mixed])
+    for size in (50, 333, 5000):
+        monkeypatch.setattr(language_id, "CHUNK_CHARS", size)
+        assert "".join(language_id.parts_of(mixed)) == mixed and len(list(language_id.parts_of(mixed))) > 1
+        share, counts = model.shares([mixed])
+        assert counts.tolist() == whole[1].tolist() and np.allclose(share, whole[0], atol=1e-6)
+    assert model.shares(["1 2 3 " * 2000])[1].tolist() == [0]
+    assert "".join(language_id.parts_of("x" * 20_000 + "-" + "y" * 3000)) == "x" * 20_000 + "-" + "y" * 3000
+
+
 def test_language_id_held_out_and_odd_texts(spark):
     docs = read(spark, "/root/testdata/sf0.01", "documents")
     rows = {r.doc_id: r for r in language_id.identify_with_holdout(docs).collect()}
@@ -288,6 +314,66 @@ def test_language_stage_goes_by_rows_not_ids(spark, sf_dir):
     assert rows(kept) == rows(docs.unionByName(extra.where("text like '%a%'")))
 
 
+def test_long_units_are_encoded_in_segments_as_the_library_does(monkeypatch):
+    library, model = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentencepiece_codec.Model(PIECES)
+    assert model.segmented
+    rng = random.Random(4)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    texts = [draw("abcdefghijklmnopqrstuvwxyz", 5000), draw("的一是在不了有和人这中大为上个国我以要他", 3000), draw("ABCDEFabcdef0123456789+/", 4000), "a" * 3345, "ab" * 2000,
+             draw("theandingion", 2000) + "😀" * 1000 + draw("xyz\x00é", 1000), "word " * 3 + draw("lorem", 3000) + " end"]
+    for text, ids in zip(texts, model.encode(texts)):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode(text), text[:40]
+    # Segments that begin too late for agreement begin earlier.
+    monkeypatch.setattr(sentencepiece_codec, "WARM_UP", model.longest)
+    monkeypatch.setattr(sentencepiece_codec, "SEGMENT", 40)
+    texts = [text[:1500] for text in texts[:6]]
+    for text, ids in zip(texts, model.encode(texts)):
+        assert np.frombuffer(ids, "<i4").tolist() == library.encode(text)
+
+
+def test_a_million_characters_without_a_blank_take_no_minutes():
+    library, model = sentencepiece.SentencePieceProcessor(model_file=PIECES), sentencepiece_codec.Model(PIECES)
+    rng = np.random.default_rng(8)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x4E80, size=500_000))) + "".join(map(chr, rng.integers(97, 123, size=500_000)))
+    started = time.time()
+    ids = model.encode([text])[0]
+    assert time.time() - started < 120
+    assert np.frombuffer(ids, "<i4").tolist() == library.encode(text)
+
+
+def test_languages_of_copies_and_of_long_texts_are_learned(spark):
+    texts = {"aa": ["alpha beta gamma delta"] * 3000, "bb": ["uno dos tres cuatro"] * 5 + ["cinco seis siete"], "cc": ["yksi kaksi kolme neljä " * 50]}
+    rows = [(k * 10_000 + i, t, lang) for k, (lang, some) in enumerate(texts.items()) for i, t in enumerate(some)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_on(docs, sample_docs=2, sample_chars=200, folds=10**6, fold=10**6 - 1)
+    assert model.languages == ["aa", "bb", "cc"]
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(docs, model).collect()}
+    assert (found[0], found[10_000], found[20_000]) == ("aa", "bb", "cc")
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language_id.fit_on(docs, max_languages=2)
+
+
+def test_near_copies_that_share_an_id_are_told_apart(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "a"), (2, text, "b"), (2, "quite another text than the other ones here", "c"), (3, text + " x", "d"), (None, text, "e"), (4, None, "f"), (5, "quite another text than the other ones here", "g"),
+            (4, "", "h"), (6, "same", "i"), (6, "same", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _node string")
+    kept = near_dedup.one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r._node for r in kept.collect()) == ["a", "e", "f", "g", "h", "i", "i"]
+    alone = near_dedup.one_of_each_group(docs.where("_node IN ('a', 'd', 'e', 'g')"))
+    assert sorted(r._node for r in alone.collect()) == ["a", "e", "g"]
+
+
+def test_last_stage_keeps_rows_and_ids_of_the_library(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rows = [(1, "some text here", "en", "s", 3), (1, "some text here", "en", "s", 3), (None, "other", None, None, None), (2, None, "en", "s", 0), (3, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, ids long")
+    found = sorted(map(tuple, corpus_pipeline.pieces(spark, docs, "").collect()), key=str)
+    assert found == sorted(((i, lang, source, len(ids), ids) for i, t, lang, source, _ in rows for ids in [library.encode(t or "")]), key=str)
+    assert corpus_pipeline.pieces(spark, docs.limit(0), "").count() == 0
+
+
 def test_pipeline_stages(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     names = docs.columns

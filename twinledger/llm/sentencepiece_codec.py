@@ -37,6 +37,9 @@ PAIR_BITS = 20
 # Longer units aren't remembered.
 LONG_UNIT = 64
 FILTER_BITS = 22
+# A unit above this many characters is cut into segments, each of which begins so many characters before its place.
+SEGMENT = 1024
+WARM_UP = 256
 # Characters of units of one length that advance together.
 ADVANCE_CHARS = 1 << 19
 
@@ -119,6 +122,8 @@ class Model:
         if self.type == BPE:
             for p, i in self.ids.items():
                 self.histories[i], self.alone[i] = self._history(p)
+        # Then what ends at a character doesn't depend on sums of scores, only on the pieces just before.
+        self.segmented = self.type == BPE and all(c in self.ids for p in self.ids for c in p)
         self.surfaces = [self._surface(i, k) for i, k in enumerate(kinds)]
         self._pair_keys = np.full(1 << PAIR_BITS, -1, np.int64)
         self._pair_answers = np.zeros(1 << PAIR_BITS, dtype=bool)
@@ -247,6 +252,9 @@ class Model:
     def _learn(self, units: list[str], into: dict[str, bytes]) -> None:
         by_length: dict[int, list[str]] = {}
         for unit in units:
+            if self.segmented and len(unit) > 2 * (SEGMENT + WARM_UP):
+                into[unit] = self._of_segments(unit)
+                continue
             by_length.setdefault(len(unit), []).append(unit)
         with np.errstate(over="ignore"):
             for length, all_same in by_length.items():
@@ -270,6 +278,44 @@ class Model:
                     for k, unit in enumerate(same):
                         into[unit] = data[limits[k]: limits[k + 1]]
 
+    def _of_segments(self, unit: str) -> bytes:
+        """Ids of one long unit, whose segments advance together.
+
+        Which piece ends at a character depends on those that end at the ``longest`` characters before it. A segment begins early, as
+        if the text did; where it agrees with the segment before over so many characters, it agrees with the whole from there on. If it
+        does not, all begin earlier.
+        """
+        points, warm_up, reach = np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32), WARM_UP, self.longest
+        n = len(points)
+        last, size = np.empty(n, np.int32), np.empty(n, np.int32)
+
+        def filled(length: int) -> bool:
+            starts, known = np.array([*range(0, n - length, SEGMENT), n - length]), 0
+            step = max(1, ADVANCE_CHARS // length)
+            for begin in range(0, len(starts), step):
+                some = starts[begin: begin + step]
+                lasts, sizes = self._viterbi(points[some[None, :] + np.arange(length)[:, None]].astype(np.uint64))
+                for k, start in enumerate(some.tolist()):
+                    at = known - start
+                    if known and ((lasts[at - reach: at, k] != last[known - reach: known]).any() or (sizes[at - reach: at, k] != size[known - reach: known]).any()):
+                        return False
+                    last[known: start + length], size[known: start + length] = lasts[at:, k], sizes[at:, k]
+                    known = start + length
+            return True
+
+        with np.errstate(over="ignore"):
+            while not filled(min(n, warm_up + SEGMENT)):
+                warm_up *= 4
+        ends, end, sizes = [], n, size.tolist()
+        while end:
+            ends.append(end - 1)
+            end -= sizes[end - 1]
+        marks = np.array(ends[::-1])
+        ids = last[marks]
+        if (ids < 0).any():
+            _, ids = self._with_unknown(np.zeros(len(ids), np.int64), ids, points[marks])
+        return ids.astype("<i4").tobytes()
+
     def _with_unknown(self, row: np.ndarray, ids: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unknown characters as byte pieces, or as the unknown piece, runs of which are one."""
         if self.byte_ids is not None and (points[ids < 0] < 128).all():
