@@ -266,6 +266,78 @@ def test_copies_of_a_page_make_no_template(spark):
     assert tree == {51}
 
 
+def _plain_site(n: int) -> list[tuple[str, str]]:
+    """(html, article) of pages whose names say nothing (numbers in names are one); menus, adverts and footers are drawn anew from short lists on each page."""
+    import random
+
+    draw = random.Random(7)
+    menu, adverts, foot = [f"menu{k}" for k in range(8)], [f"Buy the new box{k} today" for k in range(6)], [f"imprint{k}" for k in range(5)]
+    usual = "the of and to in is with on a for".split()
+    out = []
+    for _ in range(n):
+        blocks = [" ".join(draw.choice(usual) if draw.random() < 0.4 else f"w{draw.randrange(10**6)}" for _ in range(draw.randrange(5, 40))) for _ in range(draw.randrange(1, 5))]
+        links = "".join(f'<li><a href="/{m}">{m}</a></li>' for m in draw.sample(menu, 4))
+        html = (f'<body><div class="ka"><div class="kb"><ul>{links}</ul></div><div class="kc">{"".join(f"<p>{b}</p>" for b in blocks)}'
+                f'<div class="kd">{draw.choice(adverts)}</div></div></div><div class="ke">{" ".join(draw.sample(foot, 3))}</div></body>')
+        out.append((html, "\n".join(blocks)))
+    return out
+
+
+def test_importance_alone_finds_the_article_where_names_say_nothing(spark):
+    site = _plain_site(200)
+    pages = spark.createDataFrame([(i, "http://User@A.example:8080/x" if i % 2 else "//a.EXAMPLE?q", html) for i, (html, _) in enumerate(site)], "page_id long, url string, html string").repartition(8)
+    found = {r.page_id: r.text for r in html_tree.main_texts(pages).collect()}
+    without = {r.page_id: r.text for r in html_tree.main_texts(pages, low=0.0).collect()}
+    assert all(found[i] == article for i, (_, article) in enumerate(site))
+    assert all(without[i] != article and article in without[i] for i, (_, article) in enumerate(site))
+
+
+def test_importance_equals_a_plain_count(spark):
+    from collections import defaultdict
+    from math import log
+
+    site = _plain_site(40)
+    rows = html_tree.style_tree(spark.createDataFrame([("http://a.example", html) for html, _ in site], "url string, html string").repartition(4)).collect()
+    m, styles, having, over = defaultdict(int), defaultdict(lambda: defaultdict(int)), defaultdict(lambda: defaultdict(int)), {}
+    for html, _ in site:
+        page = html_tree.Page(html)
+        words = defaultdict(set)
+        for owner, text in page.blocks:
+            words[owner] |= set(text.split())
+        for owner, target in page.targets:
+            words[owner].add((target,))
+        paths, kids, below = set(), set(), defaultdict(set)
+        for owner, some in words.items():
+            node = owner
+            below[page.path[owner]] |= some
+            while node > 0:
+                paths.add(page.path[node])
+                kids.add((page.path[node], tuple(page.children[node])))
+                if page.judged[node]:
+                    over.setdefault(page.path[owner], set()).add(page.path[node])
+                node = page.parent[node]
+        for path in paths:
+            m[path] += 1
+        for path, style in kids:
+            styles[path][style] += 1
+        for path, some in below.items():
+            for word in some:
+                having[path][word] += 1
+    assert {r.path for r in rows} == {up for ups in over.values() for up in ups}
+    for r in rows:
+        parts = [1 - log(k) / log(m[path]) for path, ups in over.items() if r.path in ups for k in having[path].values()]
+        shares, content = styles[r.path].values(), sum(parts) / len(parts)
+        presentation, weight = 1 - sum(k * log(k) for k in shares) / (sum(shares) * log(m[r.path])), html_tree.GAMMA ** len(shares)
+        assert r.pages == m[r.path] and r.content == pytest.approx(content) and r.importance == pytest.approx((1 - weight) * presentation + weight * content)
+
+
+def test_very_deep_pages_are_read_whole(spark):
+    deep = "".join(f"<div class=a>{k} " for k in range(700))
+    rows = [(i, "http://a.example", f"<body>{deep}<p>own{i}</p></body>") for i in range(20)] + [(99, "http://b.example", "<i>" * 700 + "x")]
+    found = {r.page_id: r.text for r in html_tree.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found[99] == "x" and all(len(html_tree.Page(html).nodes()) < 20_000 for _, _, html in rows) and set(found) == {*range(20), 99}
+
+
 def test_pages_of_the_table_give_their_articles(spark, sf_dir):
     import html
     import re

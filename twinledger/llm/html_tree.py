@@ -1,10 +1,12 @@
 """Main text of web pages by a site style tree.
 
 The element trees of all pages of a host are merged: elements with the same chain of tags, classes and ids are one node. A node is
-important if its presentation (the sequence of its children) or its content (its text) differs between pages; both are measured
-by entropy. Branches of low importance are cut out of every page, as are elements that HTML or their names mark as no article.
-Statistics are aggregates over (host, node, content) that tasks combine beforehand; no host's pages are brought together. Copies of
-a page on its host count once, so they don't make its text look like that of a template.
+important if its presentation (the sequence of its children) or its content (words, link and image targets of it and all below
+it) differs between pages; both are measured by entropy. Branches of low importance are cut out of every page. What differs on
+every page without being the article, such as comments of readers, no entropy can tell: of what the tree leaves, elements that
+HTML or their names mark as no article are cut too. Statistics are aggregates over (host, node, feature) that tasks combine
+beforehand; no host's pages are brought together. Copies of a page on its host count once, so they don't make its text look
+like that of a template.
 """
 
 from __future__ import annotations
@@ -13,18 +15,21 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinledger.llm.common import as_large_text, stored
 
 # A node is cut if its importance, from 0 to 1, is below LOW and it was seen on so many distinct pages of the host.
-LOW = 0.2
+LOW = 0.3
 MIN_PAGES = 10
+# Weight of the content of a node with one presentation; with l of them it is to the power of l.
+GAMMA = 0.9
+# Elements nested deeper than this are part of the node at this level.
+DEPTH = 64
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 # Elements that are no article.
@@ -53,6 +58,7 @@ WORD_EDGE = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=\d)")
 DIGITS = re.compile(r"\d+")
 SPACE = re.compile(r"\s+")
 UNFINISHED = re.compile(r"</?[A-Za-z]|<[!?]")
+HOST = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
 
 
 def named_noise(names: str) -> bool:
@@ -70,7 +76,7 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.path, self.noise, self.named, self.judged, self.hard, self.muted, self.children = [-1], ["#"], [0], [False], [False], [False], [False], [False], [[]]
-        self.stack, self.blocks, self.words = [0], [], []
+        self.stack, self.blocks, self.words, self.targets = [0], [], [], []
         self.feed(html)
         # A page that ends within a tag or comment has no more text.
         if UNFINISHED.match(self.rawdata):
@@ -122,9 +128,13 @@ class Page(HTMLParser):
                     cut = depth
             if cut:
                 self._pop_to(cut)
+        given = dict(attrs)
+        target = given.get("href") if tag == "a" else given.get("src") if tag == "img" else None
+        if target and not self.muted[self.stack[-1]]:
+            self.targets.append((next(n for n in reversed(self.stack) if self.tag[n] in BLOCKS or n == 0), target))
         if tag in VOID:
             return
-        up, given = self.stack[-1], dict(attrs)
+        up = self.stack[-1]
         names = f"{given.get('class') or ''} {given.get('id') or ''}".lower()
         label = f"{tag} {DIGITS.sub('0', names)}" if names != " " else tag
         self.children[up].append(tag)
@@ -154,22 +164,39 @@ class Page(HTMLParser):
                 self._pop_to(depth)
                 return
 
-    def nodes(self) -> Iterator[tuple[int, int, int]]:
-        """(path, hash of the children's tags, hash of the text) of the elements that are judged, if they have text."""
-        texts: dict[int, list[str]] = {}
-        holds_article = set()
-        for node, tag in enumerate(self.tag):
-            if tag in ARTICLES:
-                while node > 0:
-                    node = self.parent[node]
-                    holds_article.add(node)
+    def nodes(self) -> list[int]:
+        """What the style tree counts of this page: for each node with text in or below a judged one its path, the hash of its children's
+        tags, the number of judged nodes it lies in (itself included) and their paths, the number of its own features and their hashes.
+        """
+        count = len(self.tag)
+        holds, level, site, over = [False] * count, [0] * count, [0] * count, [()] * count
+        for node in range(count - 1, 0, -1):
+            if self.tag[node] in ARTICLES or holds[node]:
+                holds[self.parent[node]] = True
+        for node in range(1, count):
+            up = self.parent[node]
+            level[node] = level[up] + 1
+            site[node] = node if level[node] <= DEPTH else site[up]
+            over[node] = (*over[up], self.path[node]) if level[node] <= DEPTH and self.judged[node] and not holds[node] else over[up]
+        features: dict[int, set[int]] = {}
         for owner, text in self.blocks:
-            while owner > 0:
-                if self.judged[owner] and owner not in holds_article:
-                    texts.setdefault(owner, []).append(text)
-                owner = self.parent[owner]
-        for node, parts in texts.items():
-            yield self.path[node], xxhash.xxh64_intdigest(" ".join(self.children[node])) >> 1, xxhash.xxh64_intdigest("\n".join(parts)) >> 1
+            if over[owner]:
+                features.setdefault(site[owner], set()).update(xxhash.xxh64_intdigest(word) >> 1 for word in text.split(" "))
+        for owner, target in self.targets:
+            if site[owner] in features:
+                features[site[owner]].add(xxhash.xxh64_intdigest(target, 1) >> 1)
+        met = set(features)
+        for node in features:
+            # Nodes above were met already where one of them was.
+            node = self.parent[node]
+            while over[node] and node not in met:
+                met.add(node)
+                node = self.parent[node]
+        out: list[int] = []
+        for node in met:
+            own = features.get(node, ())
+            out += (self.path[node], xxhash.xxh64_intdigest(" ".join(self.children[node])) >> 1, len(over[node]), *over[node], len(own), *own)
+        return out
 
     def main_text(self, cut: frozenset[int] | set[int]) -> str:
         """Blocks of the article, or of the whole page if it has none, outside of what is cut.
@@ -196,44 +223,38 @@ class Page(HTMLParser):
         return "\n".join(text for owner, text in self.blocks if not dropped[owner] and (whole or inside[owner]))
 
 
-def host_of(url: str | None) -> str:
-    """The host of a URL in lower case; empty if there is none."""
-    try:
-        return (urlsplit(url or "").hostname or "").lower()
-    except ValueError:
-        return ""
-
-
-def _host_key(host: str) -> int:
-    return xxhash.xxh64_intdigest(host) >> 1
+def host_key(url_col: str) -> Column:
+    """A hash of the host of a URL in lower case; all URLs without one have the same."""
+    return F.xxhash64(F.lower(F.coalesce(F.regexp_extract(F.col(url_col).cast("string"), HOST, 1), F.lit(""))))
 
 
 COMBINE = 200_000
 
 
 def _page_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (url, html) to (host, page, nodes) for pages with judged nodes; page is a hash of the html, nodes holds (path, children,
-    text) one after the other. Copies a task has met lately are left out."""
+    """Rows (host, html) to (host, page, nodes) for pages with judged nodes; page is a hash of the html. Copies a task has met lately
+    are left out."""
     met: set[tuple[int, bytes]] = set()
     for batch in batches:
         hosts, pages, nodes = [], [], []
-        for url, html in zip(as_large_text(batch.column(0)).to_pylist(), as_large_text(batch.column(1)).to_pylist()):
-            key = _host_key(host_of(url)), xxhash.xxh3_128_digest(html.encode("utf-8", "surrogatepass"))
+        for host, html in zip(batch.column(0).to_pylist(), as_large_text(batch.column(1)).to_pylist()):
+            key = host, xxhash.xxh3_128_digest(html.encode("utf-8", "surrogatepass"))
             if key in met:
                 continue
             if len(met) >= COMBINE:
                 met.clear()
             met.add(key)
-            found = [value for node in Page(html).nodes() for value in node]
+            found = Page(html).nodes()
             if found:
-                hosts.append(key[0])
+                hosts.append(host)
                 pages.append(key[1])
                 nodes.append(found)
         yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), pa.array(pages, pa.binary()), pa.array(nodes, pa.list_(pa.int64()))], names=["host", "page", "nodes"])
 
 
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (host, nodes) to (host, path, kind, value, pages), combined: kind 0 is the node itself, 1 its children, 2 its text."""
+    """Rows (host, nodes) to (host, path, kind, value, pages), combined: kind 0 is the node itself, 1 its children, 2 a feature, 3 a
+    judged node it lies in."""
     counts: Counter = Counter()
 
     def out() -> pa.RecordBatch:
@@ -243,10 +264,15 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return batch
 
     for batch in batches:
-        for host, nodes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seen = set()
-            for path, style, text in zip(nodes[::3], nodes[1::3], nodes[2::3]):
-                seen |= {(host, path, 0, 0), (host, path, 1, style), (host, path, 2, text)}
+        for row in range(len(batch)):
+            host, nodes, seen, at = batch.column(0)[row].as_py(), batch.column(1)[row].values.to_pylist(), set(), 0
+            while at < len(nodes):
+                path, style, n = nodes[at: at + 3]
+                end = at + 3 + n
+                seen |= {(host, path, 0, 0), (host, path, 1, style)}
+                seen.update((host, path, 3, up) for up in nodes[at + 3: end])
+                seen.update((host, path, 2, value) for value in nodes[end + 1: end + 1 + nodes[end]])
+                at = end + 1 + nodes[end]
             counts.update(seen)
             if len(counts) >= COMBINE:
                 yield out()
@@ -255,36 +281,46 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def style_tree(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Judged nodes of all hosts: host and path (hashes), distinct pages, importance from 0 to 1.
+    """Judged nodes of all hosts: host and path (hashes), distinct pages, presentation, content and importance from 0 to 1.
 
-    Pages of a host with the same html are one page. A node on m pages with values (children, texts) that k1, k2, ... of them share has importance 1 - sum(k log k) / (n log m)
-    for each of the two, n being the sum of the k: 0 if all pages share one value, 1 if each has its own. The mean counts.
+    Pages of a host with the same html are one page. Presentation of a node on m pages with sequences of children that k1, k2, ... of
+    them share is 1 - sum(k log k) / (n log m), n being the sum of the k: 0 if all pages share one, 1 if each has its own. Content is the mean of
+    1 - log k / log m over all features in or below the node, k being the pages that have the feature in the node whose own it is and m
+    those that have this node: 0 if all have the same words and targets. Importance is (1 - g^l) presentation + g^l content, l
+    being the number of sequences and g ``GAMMA``. On one page all are 1.
     """
-    nodes = pages.select(F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(_page_nodes, "host long, page binary, nodes array<long>")
+    nodes = pages.select(host_key(url_col).alias("host"), F.col(html_col).cast("string")).mapInArrow(_page_nodes, "host long, page binary, nodes array<long>")
     distinct = nodes.groupBy("host", "page").agg(F.first("nodes").alias("nodes"))
     counts = distinct.select("host", "nodes").mapInArrow(_statistics, "host long, path long, kind long, value long, pages long")
     values = counts.groupBy("host", "path", "kind", "value").agg(F.sum("pages").alias("k"))
-    node = values.groupBy("host", "path").agg(
-        F.sum(F.when(F.col("kind") == 0, F.col("k"))).alias("m"),
-        *[F.sum(F.when(F.col("kind") == kind, F.col("k"))).alias(f"n{kind}") for kind in (1, 2)],
-        *[F.sum(F.when(F.col("kind") == kind, F.col("k") * F.log(F.col("k").cast("double")))).alias(f"s{kind}") for kind in (1, 2)],
-    )
-    differing = lambda kind: 1 - F.col(f"s{kind}") / (F.col(f"n{kind}") * F.log(F.col("m").cast("double")))
-    importance = F.when(F.col("m") > 1, (differing(1) + differing(2)) / 2).otherwise(F.lit(1.0))
-    return node.select("host", "path", F.col("m").alias("pages"), importance.alias("importance"))
-
-
-def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    of = lambda kind, what: F.when(F.col("kind") == kind, what)
+    log_k = F.log(F.col("k").cast("double"))
+    # A node lies in as many judged ones as its path has elements, DEPTH at most.
+    node = stored(values.groupBy("host", "path").agg(
+        F.sum(of(0, F.col("k"))).alias("m"), F.sum(of(1, F.col("k"))).alias("n"), F.sum(of(1, F.col("k") * log_k)).alias("s"), F.count(of(1, F.lit(1))).alias("l"),
+        F.count(of(2, F.lit(1))).alias("features"), F.coalesce(F.sum(of(2, log_k)), F.lit(0.0)).alias("shared"), F.collect_set(of(3, F.col("value"))).alias("over")), "style-nodes")
+    log_m = F.log(F.col("m").cast("double"))
+    own = F.col("features") - F.when(F.col("m") > 1, F.col("shared") / log_m).otherwise(F.lit(0.0))
+    below = node.where("features > 0").select("host", F.explode("over").alias("path"), "features", own.alias("own")).groupBy("host", "path").agg(
+        (F.sum("own") / F.sum("features")).alias("content"))
+    weight = F.pow(F.lit(GAMMA), F.col("l"))
+    several = F.col("m") > 1
+    judged = node.join(below, ["host", "path"]).withColumn("presentation", F.when(several, 1 - F.col("s") / (F.col("n") * log_m)).otherwise(F.lit(1.0)))
+    return judged.select("host", "path", F.col("m").alias("pages"), "presentation", "content",
+                         F.when(several, (1 - weight) * F.col("presentation") + weight * F.col("content")).otherwise(F.lit(1.0)).alias("importance"))
+
+
+def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", low: float = LOW, min_pages: int = MIN_PAGES) -> DataFrame:
     """Per page: its id, url, text (blocks joined by line feeds; empty if there is none), n_chars.
 
     A NULL page is an empty one. Pages without a readable URL are one host of their own. Rows that repeat an id are pages of their
-    own. Other columns are ignored; an empty table gives an empty result. Nodes to cut are joined by host; their number depends on
-    the templates of a host, not on its pages, since each was seen on ``MIN_PAGES`` distinct pages with hardly any difference.
+    own. Other columns are ignored; an empty table gives an empty result. Nodes to cut, which are less important than ``low``, are
+    joined by host; their number depends on the templates of a host, not on its pages, since each was seen on ``min_pages``
+    distinct pages with hardly any difference.
     """
-    low = style_tree(pages, url_col, html_col).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW))
-    cuts = stored(low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("_cut")), "style-tree")
-    host = F.udf(lambda url: _host_key(host_of(url)), "long")
-    given = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), F.col(html_col).cast("string").alias("_html")).withColumn("host", host("_url"))
+    unimportant = style_tree(pages, url_col, html_col).where((F.col("pages") >= min_pages) & (F.col("importance") < low))
+    cuts = stored(unimportant.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("_cut")), "style-tree")
+    given = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), F.col(html_col).cast("string").alias("_html")).withColumn("host", host_key("_url"))
     joined = given.join(cuts, "host", "left").select("_id", "_url", "_html", "_cut")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
