@@ -2,9 +2,10 @@
 
 Equal shingle sets become one class first. In each bucket of a band every class is compared with the bucket's lead, the class
 that shares most buckets with others (the original of a family of edited copies is nearer to all of them than they are to each
-other). What these links connect needs no further comparison. A second lead is taken from what the first left apart. Buckets that
-hold several components still are joined to clusters, whose members are compared in blocks inside tasks, which pass on links but
-no pairs. So every pair that shares a bucket is connected or compared.
+other). What these links connect needs no further comparison. A second lead is taken from what the first left apart. Classes of buckets that
+hold several components still are compared in blocks of their bucket inside tasks, which pass on links but no pairs: by
+signatures first, then those classes that are near another one by their full sets. A pair that shares several buckets is compared
+in that of its first shared band. So every pair that shares a bucket is connected or compared, and no other.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ BANDS = 32
 ROWS = 5
 # Pairs whose signatures agree in a share this far below the threshold aren't checked in full: 4 standard deviations.
 SLACK = 0.13
-# Members of a cluster that are compared as one block.
+# Classes of a bucket that are compared as one block, and bytes of their full sets.
 BLOCK = 1024
+BLOCK_BYTES = 16 << 20
 
 _generator = np.random.default_rng(77)
 _FACTORS = _generator.integers(0, 2**63, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -94,16 +96,22 @@ def _signed(size: int):
     return rows
 
 
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _buckets(signatures: np.ndarray) -> np.ndarray:
+    """The bucket of each band, one row per signature."""
+    parts = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
     with np.errstate(over="ignore"):
-        for batch in batches:
-            if not len(batch):
-                continue
-            signatures = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(len(batch), BANDS, ROWS).astype(np.uint64)
-            buckets = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), signatures.shape[:2]).copy()
-            for k in range(ROWS):
-                buckets = mixed(buckets * _CHAIN + signatures[:, :, k])
-            yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel().view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS))], names=["bucket", "rep"])
+        buckets = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), parts.shape[:2]).copy()
+        for k in range(ROWS):
+            buckets = mixed(buckets * _CHAIN + parts[:, :, k])
+    return buckets.view(np.int64)
+
+
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not len(batch):
+            continue
+        buckets = _buckets(np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32))
+        yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS))], names=["bucket", "rep"])
 
 
 @F.pandas_udf(T.DoubleType())
@@ -134,21 +142,56 @@ def _set_rows(size: int):
     return rows
 
 
+def _near(bucket: int, parts: np.ndarray, sizes: np.ndarray, signatures: np.ndarray, percent: float) -> Iterator[tuple[int, np.ndarray]]:
+    """For each class of a bucket the later ones of other components that may be similar enough and whose first shared band is this bucket's.
+
+    Components may be united in ``parts`` between two results.
+    """
+    buckets = _buckets(signatures)
+    for i in range(len(parts) - 1):
+        small, large = np.minimum(sizes[i], sizes[i + 1:]), np.maximum(sizes[i], sizes[i + 1:])
+        rest = np.flatnonzero((parts[i + 1:] != parts[i]) & (100 * small >= percent * large)) + i + 1
+        same = signatures[rest] == signatures[i]
+        likely = same.mean(axis=1) >= percent / 100 - SLACK
+        rest, same = rest[likely], same[likely]
+        first = same.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+        yield i, rest[buckets[i, first] == bucket]
+
+
+def _described(batch: pa.RecordBatch, row: int) -> tuple[int, pa.StructArray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket, classes, numbers of their components, set sizes, signatures) of one pair of blocks."""
+    members = batch.column(3)[row].values
+    _, parts = np.unique(members.field("part").to_numpy(), return_inverse=True)
+    signatures = np.frombuffer(b"".join(members.field("_sig").to_pylist()), np.uint32).reshape(len(members), -1)
+    return batch.column(0)[row].as_py(), members, parts, members.field("_n").to_numpy(), signatures
+
+
+def _candidates(percent: float):
+    """Of blocks of classes without their sets: those that may be similar enough to another one of their block or the other."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                bucket, members, parts, sizes, signatures = _described(batch, row)
+                wanted = np.zeros(len(members), dtype=bool)
+                for i, near in _near(bucket, parts, sizes, signatures, percent):
+                    if len(near):
+                        wanted[i] = wanted[near] = True
+                if wanted.any():
+                    kept = members.filter(pa.array(wanted))
+                    key = [pa.array(np.repeat(batch.column(k)[row].as_py(), len(kept)), batch.schema.field(k).type) for k in range(3)]
+                    yield pa.RecordBatch.from_arrays([*key, kept.field("rep"), kept.field("part")], names=["bucket", "i", "j", "rep", "part"])
+    return rows
+
+
 def _apart(percent: float):
-    """Of blocks of classes (id, component, set size, signature, set): links between components, as many as join them."""
+    """Of blocks of classes with their sets: links between components, as many as join them."""
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(len(batch)):
-                members = batch.column(0)[row].values
-                ids, sizes = members.field("rep").to_numpy(), members.field("_n").to_numpy()
-                _, parts = np.unique(members.field("part").to_numpy(), return_inverse=True)
-                signatures = np.frombuffer(b"".join(members.field("_sig").to_pylist()), np.uint32).reshape(len(ids), -1)
-                sets = [np.frombuffer(x, np.uint64) for x in members.field("_set").to_pylist()]
+                bucket, members, parts, sizes, signatures = _described(batch, row)
+                ids, sets = members.field("rep").to_numpy(), [np.frombuffer(x.as_buffer(), np.uint64) for x in members.field("_set")]
                 found = []
-                for i in range(len(ids) - 1):
-                    small, large = np.minimum(sizes[i], sizes[i + 1:]), np.maximum(sizes[i], sizes[i + 1:])
-                    rest = np.flatnonzero((parts[i + 1:] != parts[i]) & (100 * small >= percent * large)) + i + 1
-                    near = rest[(signatures[rest] == signatures[i]).mean(axis=1) >= percent / 100 - SLACK]
+                for i, near in _near(bucket, parts, sizes, signatures, percent):
                     for j in near.tolist():
                         if parts[i] != parts[j]:
                             common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -219,15 +262,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star_links = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
     first = stored(connected_components(star_links.unionAll(linked(again))), "near-first")
     open_rows = stored(parted(first), "near-open")
-    heads = stored(open_rows.groupBy("bucket").agg(F.min("part").alias("head")), "near-heads")
-    clusters = stored(connected_components(open_rows.join(heads, "bucket").where("part <> head").select(F.col("part").alias("a"), F.col("head").alias("b")).distinct()), "near-clusters")
-    clustered = stored(open_rows.select("rep", "part").distinct().join(clusters.select(F.col("node").alias("part"), F.col("component").alias("cluster")), "part"), "near-clustered")
-    counts = stored(clustered.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "near-counts")
-    # Each block meets itself and every other block of its cluster once.
-    dealt = clustered.join(counts, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "part")
-    described = dealt.join(reps, "rep").join(sets, "rep").select("cluster", "i", "j", F.struct("rep", "part", "_n", "_sig", "_set").alias("m"))
-    second = stored(described.groupBy("cluster", "i", "j").agg(F.collect_list("m").alias("members")).select("members").mapInArrow(tidy(_apart(percent)), "a long, b long"), "near-links")
+    apart = stored(open_rows.select("bucket", "rep", "part").join(reps.select("rep", "_n"), "rep"), "near-apart")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("_n") * 8 / BLOCK_BYTES)).cast("int")
+    counts = stored(apart.groupBy("bucket").agg(blocks.alias("blocks")), "near-counts")
+    # Each block meets itself and every other block of its bucket.
+    dealt = apart.join(counts, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "part")
+
+    def met(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.groupBy("bucket", "i", "j").agg(F.collect_list(F.struct("rep", "part", "_n", "_sig", *columns)).alias("members")).select("bucket", "i", "j", "members")
+
+    near = stored(met(dealt.join(reps, "rep")).mapInArrow(tidy(_candidates(percent)), "bucket long, i int, j int, rep long, part long"), "near-candidates")
+    second = stored(met(near.join(reps, "rep").join(sets, "rep"), "_set").mapInArrow(tidy(_apart(percent)), "a long, b long"), "near-links")
     links = first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(second)
     parts = connected_components(links).withColumnRenamed("node", "rep")
     found = members.join(parts, "rep", "left").select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
