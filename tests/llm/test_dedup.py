@@ -89,48 +89,6 @@ def test_near_duplicates_against_all_pairs(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found.values())
 
 
-def boilerplate(rng, n):
-    """Texts with a common passage in own words, similar by about 0.3, and edited copies of every tenth."""
-    shared = [f"s{k}" for k in range(60)]
-    out = []
-    for i in range(n):
-        base = shared + [f"u{rng.randrange(10**6)}" for _ in range(80)]
-        out.append((i, " ".join(base)))
-        if i % 10 == 0:
-            out.append((1000 + i, edited(rng, base, 3)))
-    return out
-
-
-def test_small_blocks_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK", 3)
-    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 2000)
-    rng = random.Random(5)
-    base = [f"b{k}" for k in range(120)]
-    rows = boilerplate(rng, 60) + [(5000 + i, edited(rng, base, rng.choice([2, 4, 6, 8]))) for i in range(50)]
-    found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(documents(spark, rows), shingle_words=4).collect()}
-    assert found == brute_near(rows, 4)[1]
-
-
-def test_a_pair_is_compared_in_its_first_shared_bucket_only():
-    rng = random.Random(6)
-    rows = boilerplate(rng, 300)
-    shingles = brute_near(rows, 4)[0]
-    sets = [np.array(sorted({hash(x) & 0x7FFFFFFFFFFFFFFF for x in shingles[i]}), np.uint64) for i, _ in rows]
-    with np.errstate(over="ignore"):
-        signatures = near_dedup._signatures(sets)
-    sizes, members = np.array([len(s) for s in sets]), {}
-    for k, buckets in enumerate(near_dedup._buckets(signatures).tolist()):
-        for bucket in buckets:
-            members.setdefault(bucket, []).append(k)
-    pairs = []
-    for bucket, ids in members.items():
-        for i, later in near_dedup._near(bucket, np.arange(len(ids)), sizes[ids], signatures[ids], 80):
-            pairs += [(ids[i], ids[j]) for j in later]
-    linked = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if 5 * len(shingles[rows[a][0]] & shingles[rows[b][0]]) >= 4 * len(shingles[rows[a][0]] | shingles[rows[b][0]])]
-    assert len(pairs) == len(set(pairs)) and linked and set(linked) <= set(pairs)
-    assert len(pairs) < 3 * len(linked)
-
-
 def test_near_duplicates_of_no_rows_null_ids_and_repeated_rows(spark):
     assert near_dedup.near_duplicates(documents(spark, []).limit(0)).count() == 0
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (5, "a b c d e f")]
