@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from twinledger.functions.families import slots
 from twinledger.model import TablePair, TableSpec
 from twinledger.operators.lines import LineLayout, Measure, valid_line_rule
+from twinledger.sources.tables import write_table
 
 N_SLOTS = 7
 CODES = ("HCPCS_CD", "TAX_NUM", "LINE_IND_CD")
@@ -69,17 +70,17 @@ SLOT_VALUES = {
 
 def _claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source claims and the numeric order key ``k`` that decides what the new system changed."""
-    values = [F.expr(f"{how}({value}) AS {family}") for family, (how, value, _) in SLOT_VALUES.items()]
     # A line that no slot holds would be lost without a word.
-    checked = F.expr(f"CASE WHEN l_linenumber BETWEEN 1 AND {N_SLOTS} THEN l_linenumber "
+    checked = F.expr(f"CASE WHEN l_orderkey IS NULL OR l_linenumber BETWEEN 1 AND {N_SLOTS} THEN true "
                      f"ELSE raise_error(concat('line number ', coalesce(CAST(l_linenumber AS STRING), 'NULL'), ' is not between 1 and {N_SLOTS}')) END")
-    per_slot = read(spark, sf_dir, "lineitem").withColumn("l_linenumber", checked.cast("int")).groupBy("l_orderkey", "l_linenumber").agg(F.max("l_shipdate").alias("last_ship"), *values)
-    # Slots are put side by side after they are brought together by order: narrow slot rows are shuffled, not wide ones.
+    lines = read(spark, sf_dir, "lineitem").where(checked.cast("boolean")).select(
+        "l_orderkey", "l_linenumber", "l_shipdate", *[F.expr(f"{value} AS {family}") for family, (_, value, _) in SLOT_VALUES.items()])
+    # Lines go straight to the slots of their order, combined before the only shuffle: the lines of a huge order are few rows by then.
     side_by_side = [
-        F.expr(f"max(CASE WHEN l_linenumber = {i} THEN {family} END) AS {family}_{i}")
-        for family in SLOT_VALUES for i in range(1, N_SLOTS + 1)
+        F.expr(f"{how}(CASE WHEN l_linenumber = {i} THEN {family} END) AS {family}_{i}")
+        for family, (how, _, _) in SLOT_VALUES.items() for i in range(1, N_SLOTS + 1)
     ]
-    per_order = per_slot.repartition("l_orderkey").groupBy("l_orderkey").agg(F.max("last_ship").alias("last_ship"), *side_by_side)
+    per_order = lines.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last_ship"), *side_by_side)
     claims = read(spark, sf_dir, "orders").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
     return claims.selectExpr(
         "o_orderkey AS k",
@@ -96,8 +97,11 @@ def _kept_and_copied(k: Column, dropped_every: int, copied_every: int) -> Column
     return F.explode(F.array_compact(F.array(F.when(k % dropped_every != 0, ""), F.when(k % copied_every == 0, "X"))))
 
 
-def claims_pair(spark: SparkSession, sf_dir: str) -> TablePair:
+def claims_pair(spark: SparkSession, sf_dir: str, folder: str | None = None) -> TablePair:
+    """With ``folder``, which must be shared storage, source claims are written there; both sides are then read from this one table."""
     claims = _claims(spark, sf_dir)
+    if folder:
+        claims = write_table(claims, f"{folder}/claims")
     k = F.col("k")
     new = claims.withColumn("prefix", _kept_and_copied(k, 97, 89)).withColumns({
         "CLM_ID": F.concat("prefix", "CLM_ID"),
@@ -109,7 +113,8 @@ def claims_pair(spark: SparkSession, sf_dir: str) -> TablePair:
     return TablePair(CLAIM_SPEC, claims.drop("k"), new.drop("k", "prefix"))
 
 
-def members_pair(spark: SparkSession, sf_dir: str) -> TablePair:
+def members_pair(spark: SparkSession, sf_dir: str, folder: str | None = None) -> TablePair:
+    """``folder``: as for ``claims_pair``."""
     orders = read(spark, sf_dir, "orders")
 
     def paid(status: str) -> Column:
@@ -133,6 +138,8 @@ def members_pair(spark: SparkSession, sf_dir: str) -> TablePair:
         F.least(F.col("n_orders"), F.lit(12)).cast("int").alias("COVER_MONS"),
         "REIMB_AMT", "RESP_AMT",
     )
+    if folder:
+        members = write_table(members, f"{folder}/members")
     k = F.col("k")
     original = F.col("prefix") == ""  # extra copies are otherwise unchanged
     new = members.withColumn("prefix", _kept_and_copied(k, 41, 43)).withColumns({
