@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinledger.functions.compare import normalised, quoted
-from twinledger.model import TablePair
+from twinledger.model import TablePair, TableSpec
 
 IN_SRC = "in_src"
 IN_NEW = "in_new"
@@ -209,8 +209,9 @@ def changed_pair(pair: TablePair, census: DataFrame) -> TablePair:
     """The pair cut down to rows whose key changed. The few changed keys filter both wide scans; where they are small
     AQE broadcasts them, and then no wide row is shuffled before it is known to matter."""
     changed = census.where("is_changed").select(*pair.spec.keys)
-    if pair.spec.nullable_keys:
-        src, new = (null_safe_join(df, changed, pair.spec.keys, "left_semi") for df in (pair.src, pair.new))
-    else:
-        src, new = (df.join(changed, list(pair.spec.keys), "left_semi") for df in (pair.src, pair.new))
-    return TablePair(pair.spec, src, new)
+    return TablePair(pair.spec, *(rows_of_keys(df, changed, pair.spec) for df in (pair.src, pair.new)))
+
+
+def rows_of_keys(df: DataFrame, wanted: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows whose key is among ``wanted``, joined as ``join_sides`` joins, which then finds them where they are."""
+    return null_safe_join(df, wanted, spec.keys, "left_semi") if spec.nullable_keys else df.join(wanted, list(spec.keys), "left_semi")

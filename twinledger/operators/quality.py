@@ -15,6 +15,7 @@ from twinledger.model import TablePair, TableSpec
 from twinledger.operators import masks
 from twinledger.operators.fields import STRATEGIES, flag_names, packed_flags
 from twinledger.operators.keys import audited_rows, changed_pair, key_census
+from twinledger.sources.tables import write_table
 
 # Fixed value: opportunities per million.
 MILLION = 1_000_000
@@ -39,15 +40,17 @@ def chosen_strategy(pair: TablePair, strategy: str, from_bytes: int = FINGERPRIN
     return "fingerprint" if min(sizes) >= from_bytes else "direct"
 
 
-def defect_counts(pair: TablePair, null_mode: str = "coalesce", strategy: str = "direct") -> DataFrame:
+def defect_counts(pair: TablePair, null_mode: str = "coalesce", strategy: str = "direct", workdir: str | None = None) -> DataFrame:
     """One row: ``units`` (audited rows) and the defects per column, key flags included.
 
     ``direct`` joins whole rows. ``fingerprint`` counts units over narrow keys and joins only rows that changed. ``auto`` takes the latter for
-    large tables.
+    large tables. ``workdir``, in shared storage: the census is written there instead of being made for the units and for each side.
     """
     if chosen_strategy(pair, strategy) == "direct":
         return packed_flags(pair, null_mode).agg(F.count("*").alias("units"), *masks.sums(flag_names(pair)))
     census = key_census(pair, null_mode)
+    if workdir:
+        census = write_table(census, workdir)
     return changed_defect_counts(changed_pair(pair, census), audited_rows(census, pair.spec.on_shared_keys == "match"), null_mode)
 
 
@@ -73,14 +76,14 @@ def with_rates(df: DataFrame) -> DataFrame:
 
 
 def overall_quality(pair: TablePair, opportunities_per_row: int | None = None, null_mode: str = "coalesce",
-                    strategy: str = "direct") -> DataFrame:
+                    strategy: str = "direct", workdir: str | None = None) -> DataFrame:
     """One row for the table. Every field of a row is one opportunity unless ``opportunities_per_row`` says otherwise;
     key flags are not counted."""
     if chosen_strategy(pair, strategy) == "direct":
         in_row = packed_flags(pair, null_mode).agg(
             F.count("*").alias("units"), F.expr(f"coalesce(sum({masks.n_set(flag_names(pair), pair.spec.fields)}), 0) AS defects"))
         return _overall(in_row, pair.spec, opportunities_per_row)
-    return overall_from_counts(defect_counts(pair, null_mode, strategy), pair.spec, opportunities_per_row)
+    return overall_from_counts(defect_counts(pair, null_mode, strategy, workdir), pair.spec, opportunities_per_row)
 
 
 def overall_from_counts(counts: DataFrame, spec: TableSpec, opportunities_per_row: int | None = None) -> DataFrame:

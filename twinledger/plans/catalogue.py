@@ -364,8 +364,9 @@ def q03_overall_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q03_overall_quality_by_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same result by way of narrow fingerprints."""
-    both = (pairs.claims_pair(spark, sf_dir), pairs.members_pair(spark, sf_dir))
-    parts = [quality.overall_quality(pair, strategy="fingerprint") for pair in both]
+    folder = scratch_dir(spark, "fingerprints")
+    both = (pairs.claims_pair(spark, sf_dir, folder), pairs.members_pair(spark, sf_dir, folder))
+    parts = [quality.overall_quality(pair, strategy="fingerprint", workdir=f"{folder}/census-{pair.spec.subject}") for pair in both]
     return rounded(parts[0].unionByName(parts[1]))
 
 
