@@ -102,9 +102,9 @@ def s05_state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s06_control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four tables written as CSV, loaded, and added up on both sides of the load."""
-    checks = []
-    for kind, pair, column in (("members", pairs.members_pair(spark, sf_dir), "COVER_MONS"),
-                               ("claims", pairs.claims_pair(spark, sf_dir), "LINE_PMT_AMT_1")):
+    checks, folder = [], scratch_dir(spark, "derived")
+    for kind, pair, column in (("members", pairs.members_pair(spark, sf_dir, folder), "COVER_MONS"),
+                               ("claims", pairs.claims_pair(spark, sf_dir, folder), "LINE_PMT_AMT_1")):
         for label, df in (("source", pair.src), ("new", pair.new)):
             raw = tables.read_text_csv(spark, _csv_copy(spark, df, f"{label}-{kind}"))
             loaded = tables.write_table(tables.typed(raw, df.schema), scratch_dir(spark, f"{label}-{kind}-table"))
@@ -114,9 +114,9 @@ def s06_control_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def s06_control_totals_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same four checks, the files read once: their totals are observed while the tables are written."""
-    checks = {}
-    for kind, pair, column in (("members", pairs.members_pair(spark, sf_dir), "COVER_MONS"),
-                               ("claims", pairs.claims_pair(spark, sf_dir), "LINE_PMT_AMT_1")):
+    checks, folder = {}, scratch_dir(spark, "derived")
+    for kind, pair, column in (("members", pairs.members_pair(spark, sf_dir, folder), "COVER_MONS"),
+                               ("claims", pairs.claims_pair(spark, sf_dir, folder), "LINE_PMT_AMT_1")):
         for label, df in (("source", pair.src), ("new", pair.new)):
             files = _csv_copy(spark, df, f"{label}-{kind}")
             checks[f"{label} {kind}"] = loading.load_csv(spark, files, df.schema, scratch_dir(spark, f"{label}-{kind}-table"), totals=[column]), column
