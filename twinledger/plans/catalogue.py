@@ -458,7 +458,7 @@ def _compared(spark: SparkSession, sf_dir: str) -> tuple[Comparison, Comparison]
     """Members and claims, each derived, stored and compared once; the scorecard is then worked out from what changed."""
     def stored(make_pair: Callable, name: str) -> Comparison:
         folder = scratch_dir(spark, name)
-        return compare(_kept(make_pair(spark, sf_dir), folder), f"{folder}/compared")
+        return compare(make_pair(spark, sf_dir, folder), f"{folder}/compared")
 
     # Both are derived and compared at the same time: the stages of one fill what those of the other leave idle.
     with ThreadPoolExecutor(2) as pool:
