@@ -65,3 +65,25 @@ def test_members_meet_claims_as_one_row_each(spark):
     """Neither join multiplies: a member comes with a list of its states, whatever number of years it has."""
     plan = payments(spark, 50, 10, fanout=True)[1]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("collect_list") >= 2 and plan.index("Generate explode(sequence") < plan.index("collect_list")
+
+
+def test_rows_of_a_batch_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """Looked up and compared by the same keys: one exchange a side. Rows whose promised keys are NULL still count, each for itself."""
+    from twinledger.streaming import metrics
+
+    plans, flags = [], metrics.packed_flags
+    monkeypatch.setattr(metrics, "packed_flags", lambda pair, mode: plans.append(flags(pair, mode)) or plans[-1])
+    rows = [("a", 1, "x", 1.0, 2.0), (None, 1, "y", 1.0, 2.0)]
+    whole = pair_of(spark, rows, rows, nullable_keys=False)
+    kept = RunningQuality(spark, whole.spec, SCHEMA, str(tmp_path / "running"))
+    kept.add(0, whole.src)
+    kept.add(1, None, whole.new)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plans[-2].select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum("Exchange hashpartitioning" in line and "code" in line for line in plan.split("\n")) <= 2
+    assert plan.count("Exchange hashpartitioning") <= 4 and rows_of(kept.counts(2)) == rows_of(quality.defect_counts(whole)) and kept.counts(2).first()["units"] == 3

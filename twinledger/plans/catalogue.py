@@ -372,7 +372,7 @@ def q03_overall_quality_by_fingerprint(spark: SparkSession, sf_dir: str) -> Data
 
 def _running(spark: SparkSession, sf_dir: str) -> tuple[TablePair, DataFrame]:
     """Claims that come in three batches, most rows of the two systems at different times, and the counts after them."""
-    pair = _kept(pairs.claims_pair(spark, sf_dir), scratch_dir(spark, "running-claims"))
+    pair = pairs.claims_pair(spark, sf_dir, scratch_dir(spark, "running-claims"))
     kept = RunningQuality(spark, pair.spec, pair.src.select(*pair.spec.keys, *pair.spec.fields).schema, scratch_dir(spark, "running"))
     dealt = [df.withColumn("part", F.pmod(F.xxhash64("CLM_ID", F.lit(side)), F.lit(3))) for side, df in enumerate((pair.src, pair.new))]
     for number in range(3):

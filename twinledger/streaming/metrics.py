@@ -9,6 +9,7 @@ with the same content.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from twinledger.functions.compare import quoted
 from twinledger.model import TablePair, TableSpec
 from twinledger.operators import masks
 from twinledger.operators.fields import flag_names, packed_flags
-from twinledger.operators.keys import null_safe_join
+from twinledger.operators.keys import null_key_rows, null_safe_join, rows_of_keys
 
 BATCH = "__batch"
 
@@ -50,6 +51,18 @@ class RunningQuality:
     def _flag_fields(self) -> list[T.StructField]:
         return [*[self.schema[k] for k in self.spec.keys], *[T.StructField(m, T.LongType()) for m in masks.mask_names(len(self._names))]]
 
+    def _of_keys(self, log: DataFrame, wanted: DataFrame) -> list[DataFrame]:
+        """The rows of a log whose key is among ``wanted``, in parts without a common key.
+
+        Where keys are promised not to be NULL, sides meet by plain equality; their rows are then looked up in the same way, so that one
+        shuffle serves both. Rows that break the promise meet nothing there and are a part of their own.
+        """
+        spec, keys = self.spec, self.spec.keys
+        if spec.nullable_keys:
+            return [rows_of_keys(log, wanted, spec)]
+        whole = " AND ".join(f"{quoted(k)} IS NOT NULL" for k in keys)
+        return [rows_of_keys(log.where(whole), wanted, spec), null_safe_join(null_key_rows(log, keys), null_key_rows(wanted, keys), keys, "left_semi")]
+
     def add(self, number: int, src: DataFrame | None = None, new: DataFrame | None = None) -> None:
         """Takes the rows of a batch in. Reads the rows of its keys only; repeating the last batch changes nothing."""
         spec, keys, names = self.spec, list(self.spec.keys), self._names
@@ -60,14 +73,15 @@ class RunningQuality:
         fields = [self.schema[c] for c in columns]
         now = {side: self._log(side, fields, range(number, number + 1)).select(*keys) for side in ("src", "new")}
         touched = now["src"].unionByName(now["new"]).distinct()
-        pair = TablePair(spec, *(null_safe_join(self._log(side, fields, range(number + 1)), touched, keys, "left_semi").select(*columns) for side in ("src", "new")))
-        packed = packed_flags(pair, self.null_mode).drop("in_src", "in_new")
-        packed.write.mode("overwrite").parquet(f"{self.folder}/flags/{BATCH}={number}")
+        sides = [[rows.select(*columns) for rows in self._of_keys(self._log(side, fields, range(number + 1)), touched)] for side in ("src", "new")]
+        packed = [packed_flags(TablePair(spec, *both), self.null_mode).drop("in_src", "in_new") for both in zip(*sides)]
+        reduce(DataFrame.unionByName, packed).write.mode("overwrite").parquet(f"{self.folder}/flags/{BATCH}={number}")
         fresh = self._log("flags", self._flag_fields(), range(number, number + 1))
         # Of what earlier batches counted for these keys, the last counts.
-        earlier = null_safe_join(self._log("flags", self._flag_fields(), range(number)), touched, keys, "left_semi")
         mask_columns = masks.mask_names(len(names))
-        before = earlier.groupBy(*keys).agg(F.max_by(F.struct(*mask_columns), BATCH).alias("m")).select(*keys, "m.*")
+        before = reduce(DataFrame.unionByName, [
+            earlier.groupBy(*keys).agg(F.max_by(F.struct(*mask_columns), BATCH).alias("m")).select(*keys, "m.*")
+            for earlier in self._of_keys(self._log("flags", self._flag_fields(), range(number)), touched)])
         counts = [df.agg((F.count("*") * sign).alias("units"), *masks.sums(names)).select("units", *[(F.col(quoted(n)) * sign).alias(n) for n in names])
                   for sign, df in ((1, fresh), (-1, before))]
         summed = counts[0].unionByName(counts[1]).agg(*[F.sum(quoted(c)).alias(c) for c in ("units", *names)])
