@@ -106,3 +106,20 @@ def test_ledger_refuses_torn_quotes_and_counts_rejects(spark, tmp_path):
     batches.run()
     assert rows_of(batches.entries().select("n_rows", "n_rejected", "file_total")) == [(2, 1, 2.0)]
     assert batches.table().where(F.col("amt").isNull()).count() == 1
+
+
+def test_ledger_parses_a_batch_once_and_takes_no_file_without_rows(spark, tmp_path):
+    """The stream itself passes on lines, so that only the job that writes a batch parses it."""
+    (tmp_path / "in").mkdir()
+    header = ",".join(SCHEMA.names)
+    (tmp_path / "in" / "a.csv").write_text(header + "\n")
+    batches = load_of(spark, tmp_path)
+    batches.run()
+    assert batches.entries().count() == 0
+    seen = []
+    write = batches._write
+    batches._write = lambda batch, number: (seen.append(batch.columns), write(batch, number))
+    (tmp_path / "in" / "b.csv").write_text(header + "\n" + ",".join("1" for _ in SCHEMA.names) + "\n")
+    batches.run()
+    assert seen == [["value", "__file"]]
+    assert [(e["n_rows"], e["n_files"]) for e in batches.entries().collect()] == [(1, 1)]

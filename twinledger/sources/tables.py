@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,8 +43,11 @@ def read_text_csv(spark: SparkSession, paths: str | Sequence[str], multi_line: b
 
 def unbalanced_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines of the files that begin or end within a quoted value."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return spark.read.text(list(paths)).where(quotes % 2 == 1)
+    return spark.read.text(list(paths)).where(unbalanced(F.col("value")))
+
+
+def unbalanced(line: Column) -> Column:
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
 
 
 def with_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from twinledger.functions.compare import MONEY, null_if_token, quoted
-from twinledger.sources.tables import NULL_TOKENS, READ_OPTIONS, typed, unbalanced_lines
+from twinledger.sources.tables import NULL_TOKENS, READ_OPTIONS, typed, unbalanced
 
 ENTRY = "batch long, n_rows long, n_files long, n_rejected long, column string, file_total double"
 
@@ -44,11 +44,11 @@ class BatchLoad:
 
     def run(self) -> None:
         """Loads what is there now and ends; raises what a batch raises."""
-        text = T.StructType([T.StructField(c, T.StringType()) for c in self.file_columns])
-        reader = self.spark.readStream.schema(text).options(**READ_OPTIONS, mode="FAILFAST").option("enforceSchema", False)
+        # Lines only: a batch is parsed once, by the job that writes it.
+        reader = self.spark.readStream
         if self.files_per_batch:
             reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
-        stream = reader.csv(self.directory).select("*", F.col("_metadata.file_path").alias("__file"))
+        stream = reader.text(self.directory).select("value", F.col("_metadata.file_path").alias("__file"))
         query = stream.writeStream.foreachBatch(self._write).option("checkpointLocation", f"{self.folder}/checkpoint").trigger(availableNow=True).start()
         query.awaitTermination()
 
@@ -73,11 +73,21 @@ class BatchLoad:
     def _write(self, batch: DataFrame, number: int) -> None:
         if not self.entries().where(F.col("batch") == number).isEmpty():
             return
-        files = [row["__file"] for row in batch.select("__file").distinct().collect()]
-        if not files:
+        line = F.col("value")
+        found = batch.groupBy("__file").agg(F.count_if(line.rlike(r"[^\x00-\x20]")).alias("lines"), F.count_if(unbalanced(line)).alias("torn")).collect()
+        if not found:
             return
-        if not unbalanced_lines(batch.sparkSession, files).isEmpty():
+        # One line is the header.
+        files = [row["__file"] for row in found if row["lines"] > 1]
+        if any(row["torn"] for row in found if row["lines"] > 1):
             raise ValueError("quoted values hold line breaks, or a quote is missing")
+        text = T.StructType([T.StructField(c, T.StringType()) for c in self.file_columns])
+        parsed = batch.sparkSession.read.schema(text).options(**READ_OPTIONS, mode="FAILFAST").option("enforceSchema", False).csv([row["__file"] for row in found])
+        if not files:
+            parsed.isEmpty()  # headers of files without rows are checked as well
+            return
+        # A constant may come out of a line's path.
+        batch = parsed.select("*", F.col("_metadata.file_path").alias("__file"))
         names = {c.lower(): c for c in batch.columns}
         numbers = []
         for k, name in enumerate(self.totals):
