@@ -166,6 +166,42 @@ def test_counts_that_no_file_holds_are_refused(tmp_path):
     assert len(list(ngram_lm._write_sorted(str(tmp_path / "ok"), False)(iter([batch.slice(0, 1)])))) >= 1
 
 
+def test_words_are_counted_in_the_memory_that_holds_them():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(0)
+    numbers = [rng.integers(0, 3_000_000, 1000).tolist() for _ in range(ngram_lm.COMBINE // 1000 + 300)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([" ".join(map(str, some)) for some in numbers[at: at + 500]])], names=["text"]) for at in range(0, len(numbers), 500)]
+    tracemalloc.start()
+    found, n = 0, 0
+    for rows in ngram_lm._counted(iter(batches)):
+        found, n = found + len(rows), n + int(rows.column(1).to_numpy().sum())
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == sum(len(some) + 1 for some in numbers) and found >= len({x for some in numbers for x in some}) + 1
+    # The buffer itself, and blocks of text and rows; before, five times the buffer.
+    assert most < 2 * 8 * ngram_lm.COMBINE + (32 << 20)
+
+
+def test_equal_values_are_counted_together(monkeypatch):
+    monkeypatch.setattr(ngram_lm, "COMBINE", 100)
+    monkeypatch.setattr(ngram_lm, "BATCH", 4)
+    rng = random.Random(5)
+    for values in ([], [7], [2**64 - 1] * 99, [3] * 1000, [rng.choice([0, 1, 2**63, 2**64 - 1, rng.randrange(50)]) for _ in range(1234)]):
+        cuts = sorted(rng.randrange(len(values) + 1) for _ in range(5))
+        parts = [np.array(values[a:b], np.uint64) for a, b in zip([0, *cuts], [*cuts, len(values)])]
+        found, rows = Counter(), list(ngram_lm._combined(iter(parts)))
+        for batch in rows:
+            keys = batch.column(0).to_numpy().view(np.uint64).tolist()
+            assert keys == sorted(set(keys))
+            found.update(dict(zip(keys, batch.column(1).to_pylist())))
+        assert found == Counter(values)
+        if 0 < len(values) <= 100:
+            assert sum(map(len, rows)) == len(set(values))
+
+
 def test_language_model_without_documents(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     model = ngram_lm.train(docs.limit(0))

@@ -17,12 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from twinledger.llm.common import as_large_text, file_system, in_training, shared_folder, stored, word_hashes
+from twinledger.llm.common import as_large_text, file_system, in_training, shared_folder, stored, tidy, word_hashes
 
 # Hash of the end of a text, which counts as a word.
 END = np.uint64(0x5BD1E995A0761D65)
 # Words and bigrams that a counting task combines before it passes them on.
 COMBINE = 4 << 20
+# Bigrams of a shard whose contexts and continuations are combined at once, which takes about 100 bytes each.
+COMBINE_OF_SHARD = 1 << 20
+# Rows of a batch that a counting task passes on.
+BATCH = 1 << 18
 # A word that makes up more than this share of all words has its bigrams spread over SPREAD shards; there are at most 1000.
 HOT_SHARE = 0.001
 SPREAD = 64
@@ -148,17 +152,31 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(found))
 
 
-def _buffered(parts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Distinct values and their counts of about COMBINE values at a time."""
-    held, size = [], 0
+def _combined(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, n) of the distinct values and their counts of COMBINE values at a time, which are sorted where they are held."""
+    held, size = np.empty(COMBINE, np.uint64), 0
     for part in parts:
-        held.append(part)
-        size += len(part)
-        if size >= COMBINE:
-            yield np.unique(np.concatenate(held), return_counts=True)
-            held, size = [], 0
-    if size:
-        yield np.unique(np.concatenate(held), return_counts=True)
+        while len(part):
+            taken = part[: len(held) - size]
+            held[size: size + len(taken)] = taken
+            size, part = size + len(taken), part[len(taken):]
+            if size == len(held):
+                yield from _counts(held)
+                size = 0
+    yield from _counts(held[:size])
+
+
+def _counts(values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sorts the values in place; rows (key, n) of about BATCH values at a time."""
+    values.sort()
+    at = 0
+    while at < len(values):
+        # Up to the last of equal values.
+        end = int(np.searchsorted(values, values[min(at + BATCH, len(values)) - 1], side="right"))
+        some = values[at:end]
+        starts = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
+        yield pa.RecordBatch.from_arrays([pa.array(some[starts].view(np.int64)), pa.array(np.diff(starts, append=len(some)))], names=["key", "n"])
+        at = end
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -175,9 +193,7 @@ def with_ends(words: np.ndarray, counts: np.ndarray, end) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for values, counts in _buffered(with_ends(hashes, n, END) for hashes, n in _texts(batches)):
-        for at in range(0, len(values), 1 << 18):
-            yield pa.RecordBatch.from_arrays([pa.array(values[at: at + (1 << 18)].view(np.int64)), pa.array(counts[at: at + (1 << 18)].astype(np.int64))], names=["key", "n"])
+    yield from _combined(with_ends(hashes, n, END) for hashes, n in _texts(batches))
 
 
 @dataclass
@@ -217,7 +233,7 @@ def _written(kind: str, shards, ids, columns, path: str = "") -> pa.RecordBatch:
 
 def _write_sorted(folder: str, statistics: bool):
     """Writes rows (shard, key, n), sorted, as arrays; passes on a row 'file' a shard, and the contexts and continuations of
-    bigrams, combined within the shard as far as COMBINE goes."""
+    bigrams, combined within the shard as far as COMBINE_OF_SHARD goes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = file_system(folder)
         current, name, out, rows, total, tallies = None, "", (), 0, 0, np.zeros(5, np.int64)
@@ -261,7 +277,7 @@ def _write_sorted(folder: str, statistics: bool):
                 tallies += np.bincount(np.minimum(n[a:b], 5), minlength=6)[:5]
                 if statistics:
                     held.append((keys[a:b], n[a:b]))
-                    if sum(len(k) for k, _ in held) >= COMBINE:
+                    if sum(len(k) for k, _ in held) >= COMBINE_OF_SHARD:
                         yield from flushed()
         if current is not None:
             yield from closed()
@@ -282,7 +298,7 @@ def _sorted_files(counts: DataFrame, folder: str, shards: int, shard_of, statist
     summed = counts.mapInArrow(sharded, "shard int, key long, n long").repartition(partitions, "shard").groupBy("shard", "key").agg(F.sum("n").alias("n"))
     # As unsigned numbers, the negative keys come last.
     ordered = summed.sortWithinPartitions("shard", F.col("key") < 0, "key").select("shard", "key", "n")
-    written = stored(ordered.mapInArrow(_write_sorted(folder, statistics), WRITTEN), "lm-written")
+    written = stored(ordered.mapInArrow(tidy(_write_sorted(folder, statistics)), WRITTEN), "lm-written")
     files = written.where("kind = 'file'").collect()
     names, sizes = [""] * shards, [0] * shards
     for row in files:
@@ -297,7 +313,7 @@ def train(docs: DataFrame, text_col: str = "text") -> LanguageModel:
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards, bits = 4 * partitions, max(4, (4 * partitions - 1).bit_length())
     texts = docs.select(F.col(text_col).cast("string").alias("_text"))
-    vocabulary, files, _ = _sorted_files(texts.mapInArrow(_counted, "key long, n long"), f"{folder}/words", 1 << bits, TopBits(bits), False)
+    vocabulary, files, _ = _sorted_files(texts.mapInArrow(tidy(_counted), "key long, n long"), f"{folder}/words", 1 << bits, TopBits(bits), False)
     total, distinct = sum(row["a"] for row in files), sum(vocabulary.sizes)
     if distinct >= 2**32:
         raise OverflowError("2^32 distinct words or more")
@@ -308,11 +324,9 @@ def train(docs: DataFrame, text_col: str = "text") -> LanguageModel:
             for hashes, counts in _texts(batches):
                 before, word = id_pairs(vocabulary, distinct, hashes, counts)
                 yield ((before << 32) | word).view(np.uint64)
-        for keys, n in _buffered(pairs()):
-            for at in range(0, len(keys), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at: at + (1 << 18)].view(np.int64)), pa.array(n[at: at + (1 << 18)].astype(np.int64))], names=["key", "n"])
+        yield from _combined(pairs())
 
-    bigrams, files, written = _sorted_files(texts.mapInArrow(paired, "key long, n long"), f"{folder}/bigrams", shards, ByFirstWord(shards, np.array(sorted(hot), np.uint64)), True)
+    bigrams, files, written = _sorted_files(texts.mapInArrow(tidy(paired), "key long, n long"), f"{folder}/bigrams", shards, ByFirstWord(shards, np.array(sorted(hot), np.uint64)), True)
     bigram_discounts = discounts([sum(row[c] for row in files) for c in "bcde"])
     d1, d2, d3 = bigram_discounts
     contexts = written.where("kind = 'context'").groupBy("id").agg(F.sum("a").alias("context"), F.sum(F.col("b") * d1 + F.col("c") * d2 + F.col("d") * d3).alias("held"))
@@ -383,7 +397,7 @@ def _word_files(rows: DataFrame, folder: str, n: int) -> Words:
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocked = rows.select(F.floor(F.col("id") / WORD_BLOCK).cast("int").alias("block"), "id", "continuations", "context", "backoff")
     files = [""] * max(1, -(-n // WORD_BLOCK))
-    for row in stored(blocked.repartition(partitions, "block").sortWithinPartitions("block", "id").mapInArrow(run, WRITTEN), "lm-words").collect():
+    for row in stored(blocked.repartition(partitions, "block").sortWithinPartitions("block", "id").mapInArrow(tidy(run), WRITTEN), "lm-words").collect():
         files[row["shard"]] = row["path"]
     return Words(folder, files, n)
 
@@ -418,7 +432,7 @@ def scored(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_c
     schema = T.StructType().add(id_col, docs.schema[id_col].dataType)
     for name, kind in (("n_tokens", T.LongType()), ("n_known", T.LongType()), ("train_tokens", T.LongType()), ("base_score", T.DoubleType()), ("score", T.DoubleType())):
         schema = schema.add(name, kind)
-    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(rows, schema)
+    return docs.select(id_col, F.col(text_col).cast("string").alias("_text")).mapInArrow(tidy(rows), schema)
 
 
 def scored_with_holdout(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, fold: int = 1) -> DataFrame:
