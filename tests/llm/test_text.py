@@ -119,6 +119,28 @@ def test_token_ids_equal_those_of_the_library_as_it_comes(spark, sf_dir):
         start += len(ids)
 
 
+def test_parts_end_at_line_breaks_and_their_ids_stay_the_librarys():
+    library, encoder = Tokenizer.from_file(BYTES), token_files.Encoder(BYTES, "<u4")
+    rng = random.Random(3)
+    words = [f"w{'x' * k}é" for k in range(30)]
+    # Every pair of words around a line break: parts are remembered by word, not by pair.
+    pairs = [f"{a}.\n{b} {a}" for a in words for b in words]
+    assert len({key for text in pairs for key in encoder.keys(text)}) <= 3 * len(words) + 1
+    signs = [" ", " ", "  ", "\n", "\n", "\n\n", "\t", "\r\n", "\x1c", "\x85", "\xa0", "\u2028", "\u3000", "a", "Bc", "é", "語", "12", "'s", "'", ".", ",\"", "😀", "\x00", "<|endoftext|>"]
+    texts = pairs + ["".join(rng.choices(signs[:-1] if rng.random() < 0.9 else signs, k=rng.randrange(12))) for _ in range(20_000)]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_older_parts_are_let_go(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 20)
+    library, encoder = Tokenizer.from_file(BYTES), token_files.Encoder(BYTES, "<u2")
+    texts = [" ".join(f"{chr(97 + k % 26)}{chr(97 + j)}." for j in range(5)) for k in range(60)]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) + len(encoder.known.older) <= 80
+
+
 def brute_lm(train, rows):
     split = {i: words(t) + [None] for i, t in rows}
     counts = Counter(w for i in train for w in split[i])

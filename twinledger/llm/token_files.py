@@ -10,9 +10,12 @@ length (8 bytes) and the magic.
 
 from __future__ import annotations
 
+import functools
 import json
+import re
+import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,13 +25,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from twinledger.llm.common import Remembered, as_large_text, file_system, shared_folder, stored
+from twinledger.llm.common import as_large_text, file_system, shared_folder, stored
 
 MAGIC = b"EFTOKEN1"
 SAMPLE = 64
 # Pieces of text whose ids a worker remembers; a bound on its memory, not on the vocabulary.
 REMEMBERED = 600_000
-# Documents encoded together.
+# Documents taken out of a batch together.
 PART_ROWS = 500
 # Fixed pattern of the vocabulary's pre-tokenizer.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -44,7 +47,8 @@ def _byte_characters() -> dict[int, str]:
 BYTE_CHARACTERS = _byte_characters()
 
 
-BLANK_THEN_SPACE = regex.compile(r" (?:\s|$)")
+# A line break between other characters than white space is a piece of its own.
+LINE_BREAK = re.compile(r"\n(?<=\S\n)(?=\S)")
 
 
 @dataclass
@@ -107,19 +111,49 @@ class EliasFano:
         return cls(about["n"], about["low_bits"], np.frombuffer(data[:a], np.uint8), np.frombuffer(data[a:b], np.uint8), np.frombuffer(data[b:], f"<u{about['wide']}"))
 
 
+class Differing(Exception):
+    """A part holds a character that the pattern and the library take for different classes."""
+
+
+class BlankThenSpace(Exception):
+    """White space behind a blank, where a text can't be cut without looking at what follows."""
+
+
+class KnownParts(dict):
+    """Ids of parts by key, as bytes. A part that isn't there comes from the older ones or is worked out as it is looked up."""
+
+    def __init__(self, worked_out: Callable[[str], bytes]):
+        super().__init__()
+        self.worked_out, self.older = worked_out, {}
+
+    def turn(self) -> None:
+        """Lets the older parts go once there are enough newer ones."""
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.worked_out(key)
+        self[key] = found
+        return found
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, which is asked once for each piece while it is remembered.
 
     A blank before a character that isn't white space always begins a piece of the vocabulary's pre-tokenizer, so texts are
-    cut there and the parts looked up; an unknown part is cut by the pre-tokenizer's pattern and only new pieces are encoded.
-    Texts that hold an added token, or a character that the pattern and the library class differently, go to the library whole.
+    cut there and at single line breaks and the parts looked up, each once; an unknown part is cut by the pre-tokenizer's pattern
+    and only new pieces are encoded. Texts with white space behind a blank are cut by the pattern altogether. Texts that hold an added token, or a character that the pattern and the library class differently, go to the library whole.
     """
 
     def __init__(self, path: str, dtype: str, special_tokens: bool = True):
-        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, Remembered(REMEMBERED)
+        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, KnownParts(self._ids_of_part)
         self.tokenizer.encode_special_tokens = not special_tokens
+        self.model = self.tokenizer.model
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values() if special_tokens or not token.special]
-        self.tried, self.differing = set(), set()
+        self.alike, self.differing = set(), set()
 
     # Parts go by a key: what follows the blank that begins a part, or a blank and the part itself if it begins with none.
 
@@ -131,15 +165,19 @@ class Encoder:
     def _part(key: str) -> str:
         return key[1:] if key[0] == " " else " " + key
 
-    def keys(self, text: str) -> list[str]:
-        if BLANK_THEN_SPACE.search(text):
-            # White space behind a blank: cut by the pattern, which looks at what follows.
-            return [self._key(piece) for piece in PIECES.findall(text)]
-        keys = text.split(" ")
-        if keys[0]:
-            keys[0] = " " + keys[0]
-            return keys
-        return keys[1:]
+    @staticmethod
+    def keys(text: str) -> list[str]:
+        keys = []
+        for line in LINE_BREAK.split(text):
+            parts = line.split(" ")
+            if parts[0]:
+                parts[0] = " " + parts[0]
+            else:
+                del parts[0]
+            keys += parts
+            keys.append(" \n")
+        keys.pop()
+        return keys
 
     def _differs(self, character: str) -> bool:
         """Whether the library takes a character for another class (letter, number, white space, other) than the pattern does."""
@@ -147,37 +185,51 @@ class Encoder:
         letter, number, other = (len(PIECES.findall(before + character)) == 1 for before in "a1!")
         return (letter, number, other) != (joins("a"), joins("1"), joins("!")) or (character.isalpha() and not letter)
 
-    def _odd(self, keys: set[str]) -> set[str]:
-        """Those of the keys that hold a character of different classes; they are never remembered."""
-        characters = set("".join(keys))
-        self.differing.update(filter(self._differs, characters - self.tried))
-        self.tried |= characters
-        return {key for key in keys if not self.differing.isdisjoint(key)} if not self.differing.isdisjoint(characters) else set()
+    def _ids_of_part(self, key: str) -> bytes:
+        """Ids of a part that isn't known; its pieces are remembered, too."""
+        if not self.alike.issuperset(key):
+            fresh = set(key) - self.alike - self.differing
+            self.differing.update(filter(self._differs, fresh))
+            self.alike |= fresh - self.differing
+            if not self.differing.isdisjoint(key):
+                raise Differing
+        word = key[1:] if key[:1] == " " else key
+        # A part of letters only is one piece as it stands, one of letters before punctuation is two.
+        if not word.isalpha():
+            if not key or key[0] != " " and key[0].isspace():
+                raise BlankThenSpace
+            letters = word.rstrip(string.punctuation)
+            if letters.isalpha():
+                return self.known[key[: len(letters) - len(word)]] + self.known[" " + word[len(letters):]]
+            pieces = PIECES.findall(self._part(key))
+            if len(pieces) > 1:
+                return b"".join([self.known[self._key(piece)] for piece in pieces])
+        # What the library's byte-level pre-tokenizer makes of a piece: one character a byte, printable ASCII for itself.
+        part = self._part(key)
+        shown = part.replace(" ", BYTE_CHARACTERS[32]) if part.isascii() and part.isprintable() else "".join([BYTE_CHARACTERS[b] for b in part.encode("utf-8", "replace")])
+        return b"".join([self.id_bytes[token.id] for token in self.model.tokenize(shown)])
+
+    @functools.cached_property
+    def id_bytes(self) -> list[bytes]:
+        """Every id of the vocabulary as bytes."""
+        width = np.dtype(self.dtype).itemsize
+        return [i.to_bytes(width, "little") for i in range(max(self.tokenizer.get_vocab().values(), default=-1) + 1)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as bytes."""
+        return [self._encoded(text) for text in texts]
+
+    def _encoded(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return self._by_library(text)
         self.known.turn()
-        whole = {k for k, text in enumerate(texts) if any(token in text for token in self.added)}
-        cut = [[] if k in whole else self.keys(text) for k, text in enumerate(texts)]
-        missing = self.known.missing(key for keys in cut for key in keys)
-        odd = self._odd(missing)
-        if odd:
-            missing -= odd
-            whole |= {k for k, keys in enumerate(cut) if not odd.isdisjoint(keys)}
-        known = self.known.new
-        if missing:
-            # A part of letters only is one piece as it stands.
-            pieces = {key: [key] if (key[1:] if key[0] == " " else key).isalpha() else [self._key(p) for p in PIECES.findall(self._part(key))] for key in missing}
-            fresh = self.known.missing(key for found in pieces.values() for key in found)
-            width, encode = np.dtype(self.dtype).itemsize, self.tokenizer.model.tokenize
-            for key in fresh:
-                # What the library's byte-level pre-tokenizer makes of a piece: one character a byte.
-                shown = self._part(key).encode("utf-8", "replace").decode("latin-1").translate(BYTE_CHARACTERS)
-                known[key] = b"".join([token.id.to_bytes(width, "little") for token in encode(shown)])
-            for key, found in pieces.items():
-                if len(found) != 1:
-                    known[key] = b"".join([known[piece] for piece in found])
-        return [self._by_library(texts[k]) if k in whole else b"".join([known[key] for key in keys]) for k, keys in enumerate(cut)]
+        try:
+            try:
+                return b"".join(map(self.known.__getitem__, self.keys(text)))
+            except BlankThenSpace:
+                return b"".join([self.known[self._key(piece)] for piece in PIECES.findall(text)])
+        except Differing:
+            return self._by_library(text)
 
     def _by_library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
